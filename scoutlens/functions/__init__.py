@@ -85,7 +85,7 @@ def clip(c, lo: float, hi: float) -> Column:
 
 def to_number(c) -> Column:
     """``pd.to_numeric(errors='coerce')``: NULL for text that is not a number; NaN → NULL."""
-    v = F.try_cast(col_(c).cast("string"), "double")
+    v = col_(c).cast("string").try_cast("double")
     return F.nanvl(v, F.lit(None).cast("double"))
 
 

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from .. import config as C
 from ..functions import contains_either, normalize_key
-from .joins import join_small
+from .joins import join_small, scalars
 from .order_stats import quantile_columns
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
@@ -124,11 +124,11 @@ def impute_group_median(df: DataFrame, cols: list[str] | None = None,
         filled = filled.withColumn(c, F.coalesce(F.col(c).cast("double"), F.col(f"_gm_{c}")))
     filled = filled.drop(*[f"_gm_{c}" for c in todo])
     glob = (quantile_columns(filled, [], todo, [0.5])
-            .groupBy().pivot("column", todo).agg(F.first("q"))).first()
-    # one scalar per imputed column (bounded by the column count) -> literals
+            .groupBy().pivot("column", todo).agg(F.first("q")))
+    # one value per imputed column, attached as lazy scalar subqueries
+    g = scalars(glob)
     for c in todo:
-        g = glob[c] if glob is not None else None
-        filled = filled.withColumn(c, F.coalesce(F.col(c), F.lit(g).cast("double")))
+        filled = filled.withColumn(c, F.coalesce(F.col(c), g[c].cast("double")))
     return filled.select(*df.columns)
 
 

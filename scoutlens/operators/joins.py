@@ -40,3 +40,19 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
     if fits_broadcast(small, max_rows):
         return big.join(F.broadcast(small), on, how)
     return big.join(small, on, how)
+
+
+def scalars(one_row: DataFrame) -> dict:
+    """Columns of a one-row aggregate as lazy scalar subqueries, by name.
+
+    Used instead of a keyless join to attach global statistics to every row;
+    Spark merges the subqueries into one aggregate job.
+    """
+    return {c: one_row.select(c).scalar() for c in one_row.columns}
+
+
+def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Add every column of a one-row aggregate to each row of ``df``."""
+    for name, col in scalars(one_row).items():
+        df = df.withColumn(name, col)
+    return df

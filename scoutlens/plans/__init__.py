@@ -1,6 +1,6 @@
 """Query catalogue: bindings, composed flows and the registered queries."""
 
-from . import q_features  # noqa: F401  (registers queries)
+from . import q_clean, q_features, q_stats  # noqa: F401  (register queries)
 from .catalog import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]

@@ -196,7 +196,11 @@ D_FEATURES = ["f_chars", "f_words", "f_word_len", "f_digits", "f_upper"]
 D_SQL = """
 SELECT d.doc_id AS row_id, d.source AS "group", d.lang AS position, l.toxic AS y,
        l.quality AS quality, CAST(d.n_chars AS DOUBLE) AS score,
-       CAST(d.n_chars AS DOUBLE) AS f_chars
+       CAST(d.n_chars AS DOUBLE) AS f_chars,
+       CAST(len(string_split_regex(trim(d.text), '\\s+')) AS DOUBLE) AS f_words,
+       CAST(d.n_chars / greatest(len(string_split_regex(trim(d.text), '\\s+')), 1) AS DOUBLE) AS f_word_len,
+       CAST(length(regexp_replace(d.text, '[^0-9]', '', 'g')) AS DOUBLE) AS f_digits,
+       CAST(length(regexp_replace(d.text, '[^A-Z]', '', 'g')) AS DOUBLE) AS f_upper
 FROM documents d JOIN labels l USING (doc_id)
 """
 
