@@ -11,9 +11,11 @@ compute *prefix sums over sorted values* in a distributed way:
    partitioning already clusters them, so no second shuffle);
 3. per partition, running sums in sorted order (Arrow batches, ``mapInPandas``),
    carried across batches;
-4. per (partition, group) totals -> a tiny table (at most groups + partitions
-   rows) whose per-group running sum over partition ids gives each partition's
-   offset; joined back behind a size check.
+4. the per-partition table is checkpointed (partition ids must refer to one
+   physical partitioning), then per (partition, group) totals -> a tiny table
+   (at most groups + partitions rows) whose per-group running sum over
+   partition ids gives each partition's offset; joined back behind a size
+   check.
 
 Every row of the result is one distinct ``(group, value)`` with, for each summed
 measure ``s``: ``s_eq`` (rows at this value), ``s_lt`` (rows strictly before in
@@ -30,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import checkpoint_dir
 from .joins import join_small
 
 _V = "_v"
@@ -114,6 +117,13 @@ def prefix_sums(df: DataFrame, group_cols: list[str], order_col: str,
         + [T.StructField(_PID, T.IntegerType())]
     )
     local = agg.mapInPandas(_local_prefix(group_cols, names), out_schema)
+    # Partition ids are only meaningful for one physical evaluation (AQE may
+    # coalesce the range partitions differently each time the sub-plan is
+    # planned), so the per-partition table is materialised once with a reliable
+    # checkpoint in the shared checkpoint folder; both the offsets and the
+    # final join read the same files, and lineage is cut.
+    checkpoint_dir(df.sparkSession)
+    local = local.checkpoint(eager=True)
 
     part = local.groupBy(_PID, *group_cols).agg(
         *[F.sum(f"{s}_eq").alias(f"{s}_part") for s in names])

@@ -41,12 +41,9 @@ def percentile_rank_avg(df: DataFrame, part: list[str], score: str,
     NULL scores get a NULL percentile and do not count in the group size.
     """
     ranks = average_ranks(df, part, score).select(
-        *[F.col(c).alias(f"_r_{c}") for c in part], F.col(score).alias("_r_score"),
-        (F.col("avg_rank") / F.col("n_tot") * 100).alias("_r_pct"))
-    cond = [df[c].eqNullSafe(ranks[f"_r_{c}"]) for c in part] + [df[score] == ranks["_r_score"]]
-    out_df = join_small(df, ranks, cond, "left")
-    return out_df.withColumn(out, F.col("_r_pct")).drop(
-        *[f"_r_{c}" for c in part], "_r_score", "_r_pct")
+        *part, score, (F.col("avg_rank") / F.col("n_tot") * 100).alias(out))
+    # name-based equi-join: NULL keys / scores match nothing -> NULL percentile
+    return join_small(df, ranks, part + [score], "left").select(*df.columns, out)
 
 
 def best_per(df: DataFrame, key: list[str], score: str, tiebreak: list[str],

@@ -225,4 +225,6 @@ V_SQL = "SELECT vec_id AS row_id, 'v' || CAST(vec_id AS VARCHAR) AS playername,
 
 def with_ctes(body: str, *ctes: tuple[str, str]) -> str:
     """``WITH a AS (...), b AS (...) <body>``."""
+    if not ctes:
+        return body
     return "WITH " + ",\n".join(f"{n} AS ({q})" for n, q in ctes) + "\n" + body
