@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import clean, features, target
+from ..session import checkpoint_dir
 from . import bindings as B
 
 
@@ -19,8 +20,17 @@ def clean_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-split feature rows, materialised as a stage table.
+
+    The reference writes this table between stages; here a reliable
+    checkpoint (shared checkpoint folder) plays that role, so the z-score
+    statistics and the join-back read it once instead of re-running the
+    match-level lineage for each pass.
+    """
     m = features.kill_participation(clean_match(spark, sf_dir), B.MATCH_ROLES)
-    return features.aggregate_players(m, B.MATCH_KEYS, roles=B.MATCH_ROLES)
+    agg = features.aggregate_players(m, B.MATCH_KEYS, roles=B.MATCH_ROLES)
+    checkpoint_dir(spark)
+    return agg.checkpoint(eager=True)
 
 
 def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:

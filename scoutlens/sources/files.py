@@ -37,7 +37,9 @@ def stage_path(spark: SparkSession, name: str) -> str:
 
 def write_yearly_csv(df: DataFrame, root: str, year_col: str) -> str:
     """Write one CSV folder per year in a single job: ``{root}/{year_col}={year}/``."""
-    df.write.mode("overwrite").partitionBy(year_col).option("header", True).csv(root)
+    (df.write.mode("overwrite").partitionBy(year_col).option("header", True)
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+     .csv(root))
     return root
 
 
@@ -97,7 +99,8 @@ def write_stage(df: DataFrame, path: str, partition_by=("_source_year",),
     if fmt == "parquet":
         w.parquet(path)
     else:
-        w.option("header", True).csv(path)
+        (w.option("header", True).option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False).csv(path))
     return path
 
 
