@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The reference pipeline is a weekly batch re-run; it has no streams, windows,
+watermarks, late data or state (SURVEY §2.12), so no streaming operator is
+provided. A refresh is a batch run of the same lazy plans over the new files.
+"""
