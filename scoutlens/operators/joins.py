@@ -39,6 +39,8 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
         small = small.cache()
     if fits_broadcast(small, max_rows):
         return big.join(F.broadcast(small), on, how)
+    if cache:
+        small.unpersist()   # too big to broadcast: do not hold it in memory
     return big.join(small, on, how)
 
 

@@ -60,7 +60,8 @@ ORDER BY dpm_zscore DESC NULLS LAST, playername, league, _source_year, position
 
 @query("top_players", sql_finish(TOP_SQL, ["dpm_zscore"]))
 def top_players(spark, d):
-    f = flows.feature_table(spark, d)
+    f = flows.feature_table(spark, d).select("playername", "league", "_source_year", "position",
+                                             "dpm_zscore", "games_played")
     top = rank.top_players(f, ["playername"], "dpm_zscore", 20,
                            ["league", "_source_year", "position"])
     return finish(top.select("playername", "league", "_source_year", "position",

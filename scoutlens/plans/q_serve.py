@@ -37,8 +37,8 @@ BEST_S = """SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY {key}
     "SELECT playername, row_id, position, talent_score FROM b", S,
     ("b", BEST_S.format(key="playername", src="s"))), ["talent_score"]))
 def peak_season(spark, d):
-    best = rank.best_per(B.scores(spark, d), ["playername"], "talent_score", ["row_id"])
-    return finish(best.select("playername", "row_id", "position", "talent_score"))
+    s = B.scores(spark, d).select("playername", "row_id", "position", "talent_score")
+    return finish(rank.best_per(s, ["playername"], "talent_score", ["row_id"]))
 
 
 @query("top_per_group", sql_finish(W("""
@@ -47,8 +47,8 @@ SELECT position, playername, row_id, talent_score, rank FROM (
          ORDER BY talent_score DESC NULLS LAST, playername, row_id) AS INTEGER) AS rank FROM b)
 WHERE rank <= 3""", S, ("b", BEST_S.format(key="position, playername", src="s"))), ["talent_score"]))
 def top_per_group(spark, d):
-    out = rank.top_per_group(B.scores(spark, d), ["position"], ["playername"], "talent_score", 3,
-                             ["row_id"])
+    s = B.scores(spark, d).select("position", "playername", "row_id", "talent_score")
+    out = rank.top_per_group(s, ["position"], ["playername"], "talent_score", 3, ["row_id"])
     return finish(out.select("position", "playername", "row_id", "talent_score", "rank"))
 
 
@@ -114,7 +114,8 @@ SELECT playername, row_id, talent_score, archetype FROM (
 ORDER BY talent_score DESC NULLS LAST, playername, row_id LIMIT 5""", S, K, P, SK), ["talent_score"]))
 def style_search(spark, d):
     s, k = B.scores(spark, d), B.clusters(spark, d)
-    sk = serve.shortlist(s, k, B.profiles_lookup(spark, d), KEYS4)
+    sk = serve.shortlist(s, k, B.profiles_lookup(spark, d), KEYS4).select(
+        "playername", "row_id", "talent_score", "archetype", "position", "league")
     out = serve.style_search(sk, "click", "Carry", ["view"], tiebreak=["row_id"])
     return finish(out.select("playername", "row_id", "talent_score", "archetype"))
 
@@ -189,6 +190,7 @@ SELECT playername, row_id, match_cluster, match_position, match_split FROM (
           "talent_score DESC NULLS LAST, row_id) AS _rn FROM s) WHERE _rn = 1")))
 def best_match_lookup(spark, d):
     s, k = B.scores(spark, d), B.clusters(spark, d)
+    s = s.select("playername", "row_id", "position", "_source_year", "split", "talent_score")
     ref = rank.best_per(s, ["playername"], "talent_score", ["row_id"])
     out = serve.best_match(ref, k, "playername", ["position", "_source_year", "split"], BM_ORDER,
                            ["cluster", "position", "split"])
@@ -205,7 +207,8 @@ SELECT row_id, playername, position, cluster, talent_score, is_reference FROM (
     ["talent_score"]))
 def same_cluster_similar(spark, d):
     s, k = B.scores(spark, d), B.clusters(spark, d)
-    sk = serve.shortlist(s, k, B.profiles_lookup(spark, d), KEYS4)
+    sk = serve.shortlist(s, k, B.profiles_lookup(spark, d), KEYS4).select(
+        "row_id", "playername", "position", "cluster", "talent_score")
     out = serve.same_cluster(sk, "playername", 7, "talent_score", ["row_id"])
     return finish(out.select("row_id", "playername", "position", "cluster", "talent_score",
                              "is_reference"))

@@ -216,7 +216,8 @@ SELECT playername, axis, value FROM (
         ORDER BY win_rate DESC NULLS LAST, league, _source_year, position LIMIT 1))
 WHERE value IS NOT NULL""", *FC), ["value"]))
 def radar_vector(spark, d):
-    f = flows.feature_table(spark, d)
+    f = flows.feature_table(spark, d).select("playername", "win_rate", "league", "_source_year",
+                                             "position", *ZG)
     return finish(H.radar(f, "playername", RADAR_PLAYER, "win_rate", ZG,
                           ["league", "_source_year", "position"]))
 

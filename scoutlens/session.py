@@ -55,8 +55,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a scratch one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS / object
-    store); we never override it. Only when nothing is configured (tests, local
-    runs) a fresh scratch folder is created.
+    store); we never override it, and without it we refuse to run. Only in
+    local mode with nothing configured (tests) a fresh scratch folder is used.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -69,6 +69,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset config raises
             conf_dir = None
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store); "
+                               "a machine-local scratch folder is only used in local mode")
         conf_dir = tempfile.mkdtemp(prefix="scoutlens-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
