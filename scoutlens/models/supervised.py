@@ -135,33 +135,32 @@ def score_all(model: PipelineModel, df: DataFrame, cols: list[str],
     return percentile_rank_avg(p, [part], score).orderBy(F.col(score).desc())
 
 
-def calibrated_scores(df: DataFrame, cols: list[str], y: str, k: int = C.CALIBRATION_FOLDS,
-                      seed: int = C.SEED, fold_col: str | None = None, train_fn=None,
-                      out: str = "p_calibrated") -> DataFrame:
-    """M-S15: Platt-calibrated ensemble of ``k`` fold models (mean probability).
-
-    Folds are random by row (``rand(seed)``) like the reference, or given by
-    ``fold_col`` (e.g. grouped folds from :func:`metrics.grouped_folds`).
+def fit_calibrated(df: DataFrame, cols: list[str], y: str, k: int = C.CALIBRATION_FOLDS,
+                   seed: int = C.SEED, fold_col: str | None = None, train_fn=None) -> list:
+    """M-S15 (fit): ``k`` (base model, Platt a, Platt b) triples, one per fold.
+
+    Per fold the base model is refitted on the other folds and a one-feature
+    logistic regression is fitted on the held-out margins with Platt's targets
+    t+ = (N+ + 1)/(N+ + 2), t- = 1/(N- + 2) (each held-out row enters as label 1
+    with weight t and as label 0 with weight 1 - t). Folds are stratified by
+    class like the reference's, or given by ``fold_col`` (e.g. grouped folds).
     """
     train_fn = train_fn or (lambda d: train_lr(d, cols, y))
     base = fill_features(df, cols)
     if fold_col is None:
-        base = base.withColumn("_fold", F.pmod(F.xxhash64(F.monotonically_increasing_id(),
-                                                          F.lit(seed)), F.lit(k)).cast("int"))
-        base = base.checkpoint(eager=True)  # fold ids must not change between passes
+        # stratified row folds (round-robin inside each class, pseudo-random order)
+        base = base.withColumn("_rid", F.monotonically_increasing_id()).checkpoint(eager=True)
+        base = metrics.grouped_folds(base, "_rid", y, k, seed, out="_fold").checkpoint(eager=True)
         fold_col = "_fold"
-    scored = base
+    fitted = []
     for i in range(k):
         model = train_fn(base.where(F.col(fold_col) != i))
         held = model.transform(base.where(F.col(fold_col) == i))
-        margin = vector_to_array(F.col("rawPrediction"))[1]
-        held = _label(held.select(margin.alias("_m"), F.col(y)), y)
+        held = _label(held.select(_calibration_input(model).alias("_m"), F.col(y)), y)
         cnt = held.agg(F.sum("label").alias("p"), F.count("*").alias("n"))
         n_pos = cnt.select("p").scalar()          # class counts as scalar subqueries
         n_neg = cnt.select("n").scalar() - n_pos
-        t_pos = (n_pos + 1) / (n_pos + 2)
-        t_neg = 1 / (n_neg + 2)
-        t = F.when(F.col("label") == 1, t_pos).otherwise(t_neg)
+        t = F.when(F.col("label") == 1, (n_pos + 1) / (n_pos + 2)).otherwise(1 / (n_neg + 2))
         two = held.withColumn("_t", t).select(
             F.col("_m"), F.explode(F.array(
                 F.struct(F.lit(1.0).alias("label"), F.col("_t").alias("w")),
@@ -169,15 +168,46 @@ def calibrated_scores(df: DataFrame, cols: list[str], y: str, k: int = C.CALIBRA
         two = two.select(array_to_vector(F.array("_m")).alias("mf"), "_r.label", "_r.w")
         platt = LogisticRegression(featuresCol="mf", labelCol="label", weightCol="w",
                                    regParam=0.0, maxIter=200, tol=1e-10).fit(two)
-        a, b = float(platt.coefficients[0]), float(platt.intercept)
-        all_m = model.transform(scored.drop(*[c for c in ("features", "scaled", "rawPrediction",
-                                                          "probability", "prediction")
-                                              if c in scored.columns]))
-        m_all = vector_to_array(F.col("rawPrediction"))[1]
-        scored = all_m.withColumn(f"_p{i}", 1 / (1 + F.exp(-(a * m_all + b)))).drop(
-            "features", "scaled", "rawPrediction", "probability", "prediction")
-    mean = sum(F.col(f"_p{i}") for i in range(k)) / k
-    return scored.withColumn(out, mean).drop(*[f"_p{i}" for i in range(k)])
+        fitted.append((model, float(platt.coefficients[0]), float(platt.intercept)))
+    return fitted
+
+
+def _calibration_input(model: PipelineModel):
+    """Platt input: the decision margin of a linear model (clamped to a finite
+    range — a degenerate one-class fit has an infinite intercept), else the
+    positive-class probability (trees have no decision function)."""
+    if hasattr(model.stages[-1], "coefficients"):
+        m = vector_to_array(F.col("rawPrediction"))[1]
+        return F.greatest(F.least(m, F.lit(1e6)), F.lit(-1e6))
+    return vector_to_array(F.col("probability"))[1]
+
+
+def apply_calibrated(fitted: list, df: DataFrame, cols: list[str],
+                     out: str = "p_calibrated") -> DataFrame:
+    """M-S15 (apply): mean over the folds of sigmoid(a * margin_k(x) + b)."""
+    drop = ("features", "scaled", "rawPrediction", "probability", "prediction")
+    scored = fill_features(df, cols)
+    for i, (model, a, b) in enumerate(fitted):
+        m = _calibration_input(model)
+        scored = model.transform(scored).withColumn(f"_p{i}", 1 / (1 + F.exp(-(a * m + b)))) \
+            .drop(*drop)
+    mean = sum(F.col(f"_p{i}") for i in range(len(fitted))) / len(fitted)
+    return scored.withColumn(out, mean).drop(*[f"_p{i}" for i in range(len(fitted))])
+
+
+def calibrated_scores(df: DataFrame, cols: list[str], y: str, k: int = C.CALIBRATION_FOLDS,
+                      seed: int = C.SEED, fold_col: str | None = None, train_fn=None,
+                      out: str = "p_calibrated") -> DataFrame:
+    """M-S15: Platt-calibrated ensemble of ``k`` fold models, applied to ``df``."""
+    fitted = fit_calibrated(df, cols, y, k, seed, fold_col, train_fn)
+    return apply_calibrated(fitted, df, cols, out)
+
+
+def score_probability(df: DataFrame, p: str, part: str = "position",
+                      score: str = "talent_score") -> DataFrame:
+    """M-S16 from a probability column: score = p x 100, per-position percentile."""
+    s = df.withColumn(score, F.col(p) * 100)
+    return percentile_rank_avg(s, [part], score).orderBy(F.col(score).desc())
 
 
 def tune_rf(df: DataFrame, cols: list[str], y: str, group: str, grid: dict, n_iter: int,
