@@ -149,6 +149,7 @@ def cluster_by_position(df: DataFrame, cols: list[str], best: dict | DataFrame,
     (lexicographic), so reruns give stable labels.
     """
     if isinstance(best, DataFrame):
+        # one (position, best k) pair per position: bounded
         best = {r[part]: int(r["best_k"]) for r in best.select(part, "best_k").distinct().collect()}
     z = standardize(df, cols, [part], suffix="_std")
     data = _assemble(z, [f"{c}_std" for c in cols]).cache()
@@ -160,7 +161,8 @@ def cluster_by_position(df: DataFrame, cols: list[str], best: dict | DataFrame,
         model, _ = _kmeans_best(sub, k, n_init, seed)
         pred = model.transform(sub)
         centres = [list(map(float, c)) for c in model.clusterCenters()]
-        sizes = {r["cluster"]: r["n"] for r in pred.groupBy("cluster").agg(F.count("*").alias("n")).collect()}
+        sizes = {r["cluster"]: r["n"]   # k cluster sizes
+                 for r in pred.groupBy("cluster").agg(F.count("*").alias("n")).collect()}
         order = sorted(range(len(centres)), key=lambda i: (-sizes.get(i, 0), centres[i]))
         remap = F.create_map(*[e for new, old in enumerate(order) for e in (F.lit(old), F.lit(new))])
         outs.append(pred.withColumn("cluster", remap[F.col("cluster")]).drop("features"))
@@ -181,7 +183,7 @@ def embed_2d(df: DataFrame, cols: list[str], part: str = "position") -> DataFram
     """
     z = standardize(df, cols, [part], suffix="_std")
     data = _assemble(z, [f"{c}_std" for c in cols]).cache()
-    groups = [r[0] for r in data.select(part).distinct().collect()]
+    groups = [r[0] for r in data.select(part).distinct().collect()]  # the few positions
     outs = []
     for g in groups:  # bounded by the number of positions
         sub = data.where(F.col(part) == g)

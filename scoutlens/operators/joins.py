@@ -12,23 +12,48 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Broadcast at most this many rows (overridable per session with
-# ``spark.scoutlens.broadcastMaxRows``).
+# Broadcast at most this many rows / estimated bytes (overridable per session
+# with ``spark.scoutlens.broadcastMaxRows`` / ``spark.scoutlens.broadcastMaxBytes``).
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
+DEFAULT_BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
-def broadcast_limit(df: DataFrame) -> int:
+def _conf_int(df: DataFrame, key: str, default: int) -> int:
     try:
-        v = df.sparkSession.conf.get("spark.scoutlens.broadcastMaxRows")
+        v = df.sparkSession.conf.get(key)
     except Exception:  # noqa: BLE001 - unset key
         v = None
-    return int(v) if v else DEFAULT_BROADCAST_MAX_ROWS
+    return int(v) if v else default
+
+
+def broadcast_limit(df: DataFrame) -> int:
+    return _conf_int(df, "spark.scoutlens.broadcastMaxRows", DEFAULT_BROADCAST_MAX_ROWS)
+
+
+def row_width(schema: T.StructType) -> int:
+    """Rough upper estimate of one row's size in bytes, from its schema."""
+    total = 0
+    for f in schema.fields:
+        dt = f.dataType
+        if isinstance(dt, T.StringType):
+            total += 48
+        elif isinstance(dt, (T.ArrayType, T.MapType)):
+            total += 256
+        elif isinstance(dt, T.StructType):
+            total += row_width(dt)
+        else:
+            total += 8
+    return max(total, 8)
 
 
 def fits_broadcast(small: DataFrame, max_rows: int | None = None) -> bool:
-    """True when ``small`` has at most ``max_rows`` rows (one bounded job)."""
+    """True when ``small`` provably fits a broadcast: at most ``max_rows`` rows and at
+    most ``spark.scoutlens.broadcastMaxBytes`` estimated bytes (one bounded job)."""
     limit = broadcast_limit(small) if max_rows is None else max_rows
+    max_bytes = _conf_int(small, "spark.scoutlens.broadcastMaxBytes", DEFAULT_BROADCAST_MAX_BYTES)
+    limit = min(limit, max_bytes // row_width(small.schema))
     return small.limit(limit + 1).count() <= limit
 
 

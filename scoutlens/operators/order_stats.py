@@ -5,10 +5,10 @@ with a group holding a third of all rows that task holds a third of the data.
 The operators here (exact quantiles, average ranks, threshold curves) instead
 compute *prefix sums over sorted values* in a distributed way:
 
-1. range-partition ``(group, value)`` across all tasks, so a hot group spans many
-   partitions (one shuffle of the few projected columns);
-2. aggregate equal ``(group, value)`` pairs inside each partition (the range
-   partitioning already clusters them, so no second shuffle);
+1. combine equal ``(group, value)`` pairs with a map-side-combined aggregate, so
+   a hot value never travels row by row;
+2. range-partition the distinct pairs across all tasks, so a hot group spans
+   many partitions (balanced: every key is now unique);
 3. per partition, running sums in sorted order (Arrow batches, ``mapInPandas``),
    carried across batches;
 4. the per-partition table is checkpointed (partition ids must refer to one
@@ -104,13 +104,15 @@ def prefix_sums(df: DataFrame, group_cols: list[str], order_col: str,
         *[F.col(c) for c in group_cols], F.col(order_col).alias(_V), *exprs)
     vorder = F.col(_V).desc() if descending else F.col(_V).asc()
     sort_keys = [F.col(c).asc() for c in group_cols] + [vorder]
+    # equal (group, value) pairs are combined map-side first, so a hot value
+    # (say a third of all rows with value 0) collapses before any shuffle
+    distinct = base.groupBy(*group_cols, _V).agg(*[F.sum(s).alias(f"{s}_eq") for s in names])
+    # distinct pairs are then range-partitioned: a hot group spans many tasks
     if num_partitions:
-        ranged = base.repartitionByRange(num_partitions, *sort_keys)
+        ranged = distinct.repartitionByRange(num_partitions, *sort_keys)
     else:
-        ranged = base.repartitionByRange(*sort_keys)
-    agg = (ranged.groupBy(*group_cols, _V)
-           .agg(*[F.sum(s).alias(f"{s}_eq") for s in names])
-           .sortWithinPartitions(*sort_keys))
+        ranged = distinct.repartitionByRange(*sort_keys)
+    agg = ranged.sortWithinPartitions(*sort_keys)
     out_schema = T.StructType(
         list(agg.schema.fields)
         + [T.StructField(f"{s}_loc", T.DoubleType()) for s in names]

@@ -233,7 +233,7 @@ def elbow_table(spark, d):
 @query("cluster_by_position")
 def cluster_by_position(spark, d):
     v = _v(spark, d)
-    best = {r["position"]: 3 for r in v.select("position").distinct().collect()}
+    best = {r["position"]: 3 for r in v.select("position").distinct().collect()}  # positions
     out = U.cluster_by_position(v, FEATS, best, n_init=3)
     return out.select("row_id", "position", "cluster")
 

@@ -120,3 +120,20 @@ def test_nan_is_not_greater(spark):
     df = spark.createDataFrame([(float("nan"),)], "dpm_zscore double")
     out = U.archetypes(df.select(X.nan_to_null("dpm_zscore").alias("dpm_zscore"))).first()
     assert "High DPS" not in out.archetype
+
+
+def test_join_small_broadcasts_only_when_proven(spark):
+    from scoutlens.operators.joins import join_small
+    big = spark.range(1000).withColumn("k", F.col("id") % 10)
+    small = spark.range(10).withColumnRenamed("id", "k").withColumn("v", F.col("k") * 2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # only our hint may broadcast
+    try:
+        yes = join_small(big, small, "k", "left")
+        no = join_small(big, small, "k", "left", max_rows=5)
+        plan_yes = yes._jdf.queryExecution().executedPlan().toString()
+        plan_no = no._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan_yes
+        assert "BroadcastHashJoin" not in plan_no
+        assert sorted(yes.collect()) == sorted(no.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
