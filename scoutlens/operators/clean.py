@@ -98,15 +98,26 @@ def numeric_columns(df: DataFrame, exclude=("_source_year", "result")) -> list[s
             if isinstance(f.dataType, NUMERIC_TYPES) and f.name not in exclude]
 
 
+def _medians(df: DataFrame, keys: list[str], cols: list[str], approx: bool) -> DataFrame:
+    """One row per key with the median of each column (pivoted)."""
+    if approx:
+        # percentile_approx keeps a bounded sketch per group (no exact order)
+        return df.groupBy(*keys).agg(*[F.percentile_approx(F.col(c).cast("double"), 0.5, 10000)
+                                       .alias(c) for c in cols])
+    return (quantile_columns(df, keys, cols, [0.5])
+            .groupBy(*keys).pivot("column", cols).agg(F.first("q")))
+
+
 def impute_group_median(df: DataFrame, cols: list[str] | None = None,
                         keys=("league", "_source_year"),
-                        exclude=("_source_year", "result")) -> DataFrame:
+                        exclude=("_source_year", "result"), approx: bool = False) -> DataFrame:
     """P-C7: NULL -> median of its (league, year) group; still NULL -> median of the
     column *after* the group fill.
 
     Only columns that contain NULLs are imputed (one aggregate job finds them,
     as the reference does). Medians are exact (linear interpolation) and
-    computed for all imputed columns in one distributed sort.
+    computed for all imputed columns in one distributed sort; ``approx=True``
+    switches to ``percentile_approx`` sketches (a data value, not interpolated).
     """
     keys = [k for k in keys if k in df.columns]
     cols = cols if cols is not None else numeric_columns(df, exclude)
@@ -116,15 +127,13 @@ def impute_group_median(df: DataFrame, cols: list[str] | None = None,
     todo = [c for c in cols if nulls[c] > 0]
     if not todo:
         return df
-    group_med = (quantile_columns(df, keys, todo, [0.5])
-                 .groupBy(*keys).pivot("column", todo).agg(F.first("q")))
+    group_med = _medians(df, keys, todo, approx)
     group_med = group_med.select(*keys, *[F.col(c).alias(f"_gm_{c}") for c in todo])
     filled = join_small(df, group_med, keys, "left")
     for c in todo:
         filled = filled.withColumn(c, F.coalesce(F.col(c).cast("double"), F.col(f"_gm_{c}")))
     filled = filled.drop(*[f"_gm_{c}" for c in todo])
-    glob = (quantile_columns(filled, [], todo, [0.5])
-            .groupBy().pivot("column", todo).agg(F.first("q")))
+    glob = _medians(filled, [], todo, approx)
     # one value per imputed column, attached as lazy scalar subqueries
     g = scalars(glob)
     for c in todo:
