@@ -13,6 +13,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -105,6 +107,13 @@ def _kmeans_best(data: DataFrame, k: int, n_init: int, seed: int, max_iter: int
     return best
 
 
+def _parallel(fn, items, workers: int = 4):
+    """Run ``fn`` over a few items from driver threads; Spark schedules the jobs
+    concurrently (used for per-position model fits)."""
+    with ThreadPoolExecutor(max_workers=max(1, min(workers, len(items)))) as pool:
+        return list(pool.map(fn, items))
+
+
 def _assemble(df: DataFrame, cols: list[str]) -> DataFrame:
     return VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep") \
         .transform(df.fillna(0.0, subset=cols))
@@ -123,16 +132,21 @@ def k_sweep(df: DataFrame, cols: list[str], part: str | None = "position", ks=C.
     std = [f"{c}_std" for c in cols]
     data = _assemble(z, std).cache()
     groups = [r[0] for r in data.select(part).distinct().collect()] if part else [None]
-    rows = []
-    for g in groups:  # a handful of positions; every fit below is distributed
+
+    def sweep_group(g):
         sub = data.where(F.col(part) == g) if part else data
         if sub.count() < min_rows:
-            continue
+            return []
+        out = []
         for k in ks:
             model, cost = _kmeans_best(sub, k, n_init, seed)
             pred = model.transform(sub)
             sil = silhouette(pred, "cluster", std).first()["silhouette"]
-            rows.append((g, int(k), float(cost), None if sil is None else float(sil)))
+            out.append((g, int(k), float(cost), None if sil is None else float(sil)))
+        return out
+
+    # a handful of positions, fitted concurrently (each fit is itself distributed)
+    rows = [r for res in _parallel(sweep_group, groups) for r in res]
     data.unpersist()
     sweep = spark.createDataFrame(rows, "position string, k int, inertia double, silhouette double")
     best = best_k(sweep, ["position"])
@@ -152,12 +166,14 @@ def cluster_by_position(df: DataFrame, cols: list[str], best: dict | DataFrame,
         # one (position, best k) pair per position: bounded
         best = {r[part]: int(r["best_k"]) for r in best.select(part, "best_k").distinct().collect()}
     z = standardize(df, cols, [part], suffix="_std")
+    # cached for the iterative fits; the returned lazy result still reads it
     data = _assemble(z, [f"{c}_std" for c in cols]).cache()
-    outs = []
-    for g, k in best.items():  # bounded by the number of positions
+
+    def fit(item):
+        g, k = item
         sub = data.where(F.col(part) == g)
         if sub.count() < min_rows:
-            continue
+            return None
         model, _ = _kmeans_best(sub, k, n_init, seed)
         pred = model.transform(sub)
         centres = [list(map(float, c)) for c in model.clusterCenters()]
@@ -165,15 +181,19 @@ def cluster_by_position(df: DataFrame, cols: list[str], best: dict | DataFrame,
                  for r in pred.groupBy("cluster").agg(F.count("*").alias("n")).collect()}
         order = sorted(range(len(centres)), key=lambda i: (-sizes.get(i, 0), centres[i]))
         remap = F.create_map(*[e for new, old in enumerate(order) for e in (F.lit(old), F.lit(new))])
-        outs.append(pred.withColumn("cluster", remap[F.col("cluster")]).drop("features"))
-    data.unpersist()
+        return pred.withColumn("cluster", remap[F.col("cluster")]).drop("features")
+
+    outs = [o for o in _parallel(fit, list(best.items())) if o is not None]
+    keep = list(df.columns)
+    if not outs:
+        return df.withColumn("cluster", F.lit(-1))
     clustered = outs[0]
     for o in outs[1:]:
         clustered = clustered.unionByName(o)
+    clustered = clustered.select(*keep, "cluster")
     done = clustered.select(part).distinct()
     rest = df.join(done, part, "left_anti").withColumn("cluster", F.lit(-1))
-    keep = [c for c in df.columns]
-    return clustered.select(*keep, "cluster").unionByName(rest.select(*keep, "cluster"))
+    return clustered.unionByName(rest.select(*keep, "cluster"))
 
 
 def embed_2d(df: DataFrame, cols: list[str], part: str = "position") -> DataFrame:
@@ -184,16 +204,17 @@ def embed_2d(df: DataFrame, cols: list[str], part: str = "position") -> DataFram
     z = standardize(df, cols, [part], suffix="_std")
     data = _assemble(z, [f"{c}_std" for c in cols]).cache()
     groups = [r[0] for r in data.select(part).distinct().collect()]  # the few positions
-    outs = []
-    for g in groups:  # bounded by the number of positions
+
+    def fit(g):
         sub = data.where(F.col(part) == g)
         model = PCA(k=2, inputCol="features", outputCol="_pc").fit(sub)
         pc = model.pc.toArray()
         signs = [1.0 if pc[abs(pc[:, j]).argmax(), j] >= 0 else -1.0 for j in range(2)]
         arr = vector_to_array(F.col("_pc"))
-        outs.append(model.transform(sub).withColumn("umap_x", arr[0] * signs[0])
-                    .withColumn("umap_y", arr[1] * signs[1]).drop("_pc", "features"))
-    data.unpersist()
+        return (model.transform(sub).withColumn("umap_x", arr[0] * signs[0])
+                .withColumn("umap_y", arr[1] * signs[1]).drop("_pc", "features"))
+
+    outs = _parallel(fit, groups)
     out = outs[0]
     for o in outs[1:]:
         out = out.unionByName(o)

@@ -24,7 +24,9 @@ import random
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
+from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.tuning import CrossValidator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -210,13 +212,37 @@ def score_probability(df: DataFrame, p: str, part: str = "position",
     return percentile_rank_avg(s, [part], score).orderBy(F.col(score).desc())
 
 
+class AveragePrecisionEvaluator(Evaluator):
+    """Step-wise average precision (sklearn's definition) as a Spark ML evaluator.
+
+    Computed with the distributed threshold prefix sums of :mod:`.metrics`
+    (Spark's ``areaUnderPR`` interpolates and down-samples thresholds).
+    """
+
+    def __init__(self, labelCol: str = "label", probabilityCol: str = "probability"):
+        super().__init__()
+        self.label_col = labelCol
+        self.probability_col = probabilityCol
+
+    def _evaluate(self, dataset: DataFrame) -> float:
+        p = dataset.select(F.col(self.label_col).alias("_y"),
+                           vector_to_array(F.col(self.probability_col))[1].alias("_p"))
+        v = metrics.average_precision(p, "_y", "_p").first()[0]
+        return float(v) if v is not None else 0.0
+
+    def isLargerBetter(self) -> bool:
+        return True
+
+
 def tune_rf(df: DataFrame, cols: list[str], y: str, group: str, grid: dict, n_iter: int,
-            folds: int = C.SEARCH_FOLDS, seed: int = C.SEED) -> DataFrame:
+            folds: int = C.SEARCH_FOLDS, seed: int = C.SEED, parallelism: int = 4) -> DataFrame:
     """M-S13: randomised search over ``grid`` with grouped folds and AP scoring.
 
-    Draws ``n_iter`` parameter maps (seeded), evaluates each by the mean
-    average precision over grouped stratified folds, and returns one row per
-    draw with the best marked. Every fit and every AP is a distributed job.
+    ``n_iter`` parameter maps are drawn (seeded) from the grid and evaluated by
+    Spark ML's ``CrossValidator`` with a grouped-stratified ``foldCol`` (a
+    group never spans two folds), ``parallelism`` concurrent fits, and the
+    step-wise average-precision evaluator. Returns one row per draw (mean CV
+    AP), the best marked; the refit on all rows is ``train_rf(**best)``.
     """
     spark = df.sparkSession
     keys = sorted(grid)
@@ -225,27 +251,24 @@ def tune_rf(df: DataFrame, cols: list[str], y: str, group: str, grid: dict, n_it
     for k_ in keys:
         space = [s + [v] for s in space for v in grid[k_]]
     draws = rnd.sample(space, min(n_iter, len(space)))
-    data = metrics.grouped_folds(_label(fill_features(df, cols), y), group, "label", folds,
-                                 seed).checkpoint(eager=True)
-    rows = []
-    for i, vals in enumerate(draws):
-        params = dict(zip(keys, vals))
-        aps = []
-        for f in range(folds):
-            tr, te = data.where(F.col("fold") != f), data.where(F.col("fold") == f)
-            if te.limit(1).count() == 0:
-                continue
-            model = train_rf(tr, cols, "label", **params, seed=seed)
-            p = positive_probability(model, te, cols)
-            ap = metrics.average_precision(p, "label", "p").first()[0]
-            if ap is not None:
-                aps.append(float(ap))
-        rows.append((i, str(params), float(sum(aps) / len(aps)) if aps else None))
+    data = metrics.grouped_folds(
+        with_balanced_weights(fill_features(df, cols), y), group, "label", folds, seed) \
+        .checkpoint(eager=True)
+    rf = RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight",
+                                seed=seed)
+    names = {"num_trees": rf.numTrees, "max_depth": rf.maxDepth,
+             "min_instances": rf.minInstancesPerNode, "feature_subset": rf.featureSubsetStrategy}
+    maps = [{names[k_]: v for k_, v in zip(keys, vals)} for vals in draws]
+    pipe = Pipeline(stages=[_assembler(cols), rf])
+    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps,
+                        evaluator=AveragePrecisionEvaluator(), foldCol="fold",
+                        numFolds=folds, parallelism=parallelism, seed=seed)
+    model = cv.fit(data)
+    rows = [(i, str(dict(zip(keys, vals))), float(m))
+            for i, (vals, m) in enumerate(zip(draws, model.avgMetrics))]
     res = spark.createDataFrame(rows, "draw int, params string, cv_average_precision double")
-    best = res.orderBy(F.col("cv_average_precision").desc_nulls_last(), "draw").limit(1) \
-        .select(F.col("draw").alias("_b"))
-    return res.join(best, res["draw"] == best["_b"], "left").withColumn(
-        "is_best", F.col("_b").isNotNull()).drop("_b")
+    best = max(range(len(rows)), key=lambda i: (rows[i][2], -i))
+    return res.withColumn("is_best", F.col("draw") == F.lit(best))
 
 
 def save_model(model: PipelineModel, path: str) -> str:
