@@ -34,8 +34,8 @@ ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_ord
 
 
 @query("schema_numeric_report", "SELECT * FROM (" + " UNION ALL ".join(
-    f"SELECT '{c}' AS \"column\", count_if(CAST({c} AS VARCHAR) IS NOT NULL AND "
-    f"TRY_CAST(CAST({c} AS VARCHAR) AS DOUBLE) IS NULL) AS n_bad FROM orders"
+    f"SELECT '{c}' AS \"column\", CAST(count_if(CAST({c} AS VARCHAR) IS NOT NULL AND "
+    f"TRY_CAST(CAST({c} AS VARCHAR) AS DOUBLE) IS NULL) AS BIGINT) AS n_bad FROM orders"
     for c in ORDER_COLS) + ")")
 def schema_numeric_report(spark, d):
     o = B.table(spark, d, "orders")
@@ -60,10 +60,10 @@ SELECT * FROM (
 """, M, ("mn", B.MN_SQL), ("mt", flows.MT_SQL), ("a", """
 SELECT count(*) AS n_rows, count(DISTINCT playername) AS n_players,
   array_to_string(list_sort(list_distinct(list(league) FILTER (WHERE league IN ('2-HIGH')))), ',') AS div1,
-  count_if(league = '1-URGENT') AS n_top,
+  CAST(count_if(league = '1-URGENT') AS BIGINT) AS n_top,
   array_to_string(list_sort(list_distinct(list(position))), ',') AS positions,
-  count_if(promoted_to_lec) AS n_target, count_if(playername IS NULL) AS np,
-  count_if(teamname IS NULL) AS nt, count_if(league IS NULL) AS nl, count_if(position IS NULL) AS npos
+  CAST(count_if(promoted_to_lec) AS BIGINT) AS n_target, CAST(count_if(playername IS NULL) AS BIGINT) AS np,
+  CAST(count_if(teamname IS NULL) AS BIGINT) AS nt, CAST(count_if(league IS NULL) AS BIGINT) AS nl, CAST(count_if(position IS NULL) AS BIGINT) AS npos
 FROM mt"""))
 
 
@@ -223,10 +223,10 @@ def dated_target(spark, d):
 
 
 @query("target_summary", W("""
-SELECT count_if(promoted_to_lec) AS positive_rows,
+SELECT CAST(count_if(promoted_to_lec) AS BIGINT) AS positive_rows,
        count(DISTINCT CASE WHEN promoted_to_lec THEN playername END) AS positive_players,
        count(DISTINCT CASE WHEN league IN ('2-HIGH', '3-MEDIUM') THEN playername END) AS feeder_players,
-       count_if(league IN ('2-HIGH', '3-MEDIUM')) AS feeder_rows FROM ct""", CC, DEB, CT))
+       CAST(count_if(league IN ('2-HIGH', '3-MEDIUM')) AS BIGINT) AS feeder_rows FROM ct""", CC, DEB, CT))
 def target_summary(spark, d):
     return target.target_summary(_career_target(spark, d), CR)
 
@@ -257,8 +257,8 @@ def promotion_label(spark, d):
 
 
 @query("label_cross_check", W("""
-SELECT count(*) AS declared, count_if(b.playername IS NOT NULL) AS confirmed,
-       count_if(b.playername IS NULL) AS undatable
+SELECT count(*) AS declared, CAST(count_if(b.playername IS NOT NULL) AS BIGINT) AS confirmed,
+       CAST(count_if(b.playername IS NULL) AS BIGINT) AS undatable
 FROM (SELECT DISTINCT playername FROM pl WHERE promoted) a
 LEFT JOIN (SELECT DISTINCT playername FROM ct WHERE promoted_to_lec) b USING (playername)""",
        CC, DEB, CT, PROMO))
@@ -269,10 +269,10 @@ def label_cross_check(spark, d):
 
 
 @query("class_balance", W("""
-SELECT count(*) AS n_rows, count_if(promoted_to_lec) AS n_pos_rows,
-  round(count_if(promoted_to_lec) * 100.0 / count(*), 6) AS pos_rate_rows,
-  (SELECT count(*) FROM ent) AS n_entities, (SELECT count_if(y) FROM ent) AS n_pos_entities,
-  (SELECT (count(*) - count_if(y)) // greatest(count_if(y), 1) FROM ent) AS neg_per_pos
+SELECT count(*) AS n_rows, CAST(count_if(promoted_to_lec) AS BIGINT) AS n_pos_rows,
+  round(CAST(count_if(promoted_to_lec) AS BIGINT) * 100.0 / count(*), 6) AS pos_rate_rows,
+  (SELECT count(*) FROM ent) AS n_entities, (SELECT CAST(count_if(y) AS BIGINT) FROM ent) AS n_pos_entities,
+  (SELECT (count(*) - CAST(count_if(y) AS BIGINT)) // greatest(CAST(count_if(y) AS BIGINT), 1) FROM ent) AS neg_per_pos
 FROM ft""", CC, DEB, CT,
     ("ft", "SELECT * FROM ct WHERE league IN ('2-HIGH', '3-MEDIUM')"),
     ("ent", "SELECT playername, bool_or(promoted_to_lec) AS y FROM ft GROUP BY playername")))
@@ -297,13 +297,16 @@ def promoted_by_league(spark, d):
 SELECT o_custkey AS custkey, o_orderkey, NULL::INTEGER AS c_nationkey, o_totalprice AS amount FROM orders
 UNION ALL
 SELECT c_custkey AS custkey, NULL::BIGINT AS o_orderkey, c_nationkey, c_acctbal AS amount FROM customer""",
-                                    ["amount"]))
+                                    ["amount", "o_orderkey", "c_nationkey"]))
 def union_aligned(spark, d):
     o = B.table(spark, d, "orders").select(F.col("o_custkey").alias("custkey"), "o_orderkey",
                                            F.col("o_totalprice").alias("amount"))
     c = B.table(spark, d, "customer").select(F.col("c_custkey").alias("custkey"), "c_nationkey",
                                              F.col("c_acctbal").alias("amount"))
-    return finish(setops.union_aligned(o, c))
+    out = setops.union_aligned(o, c)
+    # nullable integer columns are emitted as doubles (identical in both engines' frames)
+    return finish(out.withColumn("o_orderkey", F.col("o_orderkey").cast("double"))
+                  .withColumn("c_nationkey", F.col("c_nationkey").cast("double")))
 
 
 @query("distinct_rows", W("SELECT DISTINCT playername, position FROM s", ("s", B.S_SQL)))

@@ -27,7 +27,7 @@ FEEDERS = ["2-HIGH", "3-MEDIUM"]
 # --- M-S1 / M-S2 ------------------------------------------------------------------------
 
 @query("oot_split_counts", W("""
-SELECT part, count(*) AS n_rows, count_if(promoted_to_lec) AS n_pos FROM (
+SELECT part, count(*) AS n_rows, CAST(count_if(promoted_to_lec) AS BIGINT) AS n_pos FROM (
   SELECT *, CASE WHEN _source_year IN (1996) THEN 'train' WHEN _source_year IN (1997) THEN 'test' END AS part
   FROM f WHERE league IN ('2-HIGH', '3-MEDIUM')) GROUP BY part""", *FC))
 def oot_split_counts(spark, d):
@@ -185,7 +185,7 @@ def best_k_q(spark, d):
 
 @query("position_summary", sql_finish(W("""
 SELECT p.position, p.n_rows, p.best_archetype, p.best_rate, bk.best_k, bk.best_silhouette FROM (
-  SELECT position, sum(n_players) AS n_rows, arg_max(archetype, (promo_rate, -cluster)) AS best_archetype,
+  SELECT position, CAST(sum(n_players) AS BIGINT) AS n_rows, arg_max(archetype, (promo_rate, -cluster)) AS best_archetype,
          max(promo_rate) AS best_rate FROM prof GROUP BY position) p
 LEFT JOIN bk USING (position)""", V, VC, PROF_SQL, *SWEEP_CTES, SWEEP_SQL, BEST_SQL),
     ["best_rate", "best_silhouette"]))

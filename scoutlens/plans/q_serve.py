@@ -234,20 +234,20 @@ def scalar_strings(spark, d):
         X.label("p_name", "p_brand").alias("label"))
 
 
-@query("scalar_dates", W("""
+@query("scalar_dates", sql_finish(W("""
 SELECT o_orderkey, strftime(CAST(o_orderdate AS VARCHAR)::TIMESTAMP + INTERVAL 18 MONTH, '%Y-%m-%d %H:%M:%S') AS horizon,
   strftime(o_orderdate, '%Y-%m-%d') AS iso_day, CAST(year(o_orderdate) AS INTEGER) AS year,
   TRY_CAST('not a date' || CAST(o_orderkey % 2 AS VARCHAR) AS TIMESTAMP) AS bad
-FROM orders"""))
+FROM orders"""), stamps=["bad"]))
 def scalar_dates(spark, d):
     o = B.table(spark, d, "orders")
     ts = X.parse_ts(F.col("o_orderdate").cast("string"))
-    return o.select(
+    return finish(o.select(
         "o_orderkey",
         F.date_format(X.add_months_keep_time(ts, 18), "yyyy-MM-dd HH:mm:ss").alias("horizon"),
         X.iso_day("o_orderdate").alias("iso_day"), F.year("o_orderdate").alias("year"),
         X.parse_ts(F.concat(F.lit("not a date"), (F.col("o_orderkey") % 2).cast("string")))
-        .alias("bad"))
+        .alias("bad")))
 
 
 @query("scalar_numeric", sql_finish("""

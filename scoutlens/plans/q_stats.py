@@ -55,12 +55,14 @@ CAT_ORDER = ["view", "click", "purchase", "signup", "refund"]
 
 
 @query("counts_by_category", W("""
-SELECT c.position, c.ord, n.n_rows FROM (VALUES ('view', 0), ('click', 1), ('purchase', 2),
+SELECT c.position, c.ord, CAST(n.n_rows AS DOUBLE) AS n_rows FROM (VALUES ('view', 0), ('click', 1), ('purchase', 2),
   ('signup', 3), ('refund', 4)) c(position, ord)
 LEFT JOIN (SELECT position, count(*) AS n_rows FROM s GROUP BY position) n USING (position)""",
                                ("s", B.S_SQL)))
 def counts_by_category(spark, d):
-    return stats.counts_by(B.scores(spark, d), "position", CAT_ORDER)
+    # nullable integer columns are emitted as doubles (identical in both engines' frames)
+    out = stats.counts_by(B.scores(spark, d), "position", CAT_ORDER)
+    return out.withColumn("n_rows", F.col("n_rows").cast("double"))
 
 
 @query("players_per_league", W(
@@ -144,7 +146,7 @@ def zscore_gap(spark, d):
 
 @query("score_separation", sql_finish(W("""
 SELECT median(score) FILTER (WHERE y = 1) AS median_pos, median(score) FILTER (WHERE y = 0) AS median_neg,
-  count_if(y = 1) AS n_pos, count_if(y = 0) AS n_neg,
+  CAST(count_if(y = 1) AS BIGINT) AS n_pos, CAST(count_if(y = 0) AS BIGINT) AS n_neg,
   median(score) FILTER (WHERE y = 1) - median(score) FILTER (WHERE y = 0) AS median_diff FROM d""", D),
     ["median_pos", "median_neg", "median_diff"]))
 def score_separation(spark, d):
@@ -155,7 +157,7 @@ VC = ("vc", "SELECT *, CAST(row_id % 3 AS INTEGER) AS cluster FROM v")
 PROF_SQL = ("prof", f"""
 SELECT position, cluster, n_players, n_promoted, promo_rate, {archetype_sql('m_')} AS archetype,
   {', '.join(f'round(m_{f}, 4) AS {f}' for f in C.CLUSTER_FEATURES)}
-FROM (SELECT position, cluster, count(*) AS n_players, count_if(promoted_to_lec) AS n_promoted,
+FROM (SELECT position, cluster, count(*) AS n_players, CAST(count_if(promoted_to_lec) AS BIGINT) AS n_promoted,
   avg(CAST(promoted_to_lec AS INTEGER)) AS promo_rate,
   {', '.join(f'avg({f}) AS m_{f}' for f in C.CLUSTER_FEATURES)} FROM vc GROUP BY position, cluster)""")
 
@@ -196,7 +198,7 @@ def histogram(spark, d):
 SELECT league, any_value(q1) AS q1, any_value(med) AS median, any_value(q3) AS q3,
   CAST(min(CASE WHEN dpm >= q1 - 1.5 * (q3 - q1) THEN dpm END) AS DOUBLE) AS whisker_lo,
   CAST(max(CASE WHEN dpm <= q3 + 1.5 * (q3 - q1) THEN dpm END) AS DOUBLE) AS whisker_hi,
-  count_if(dpm < q1 - 1.5 * (q3 - q1) OR dpm > q3 + 1.5 * (q3 - q1)) AS n_outliers, count(*) AS n
+  CAST(count_if(dpm < q1 - 1.5 * (q3 - q1) OR dpm > q3 + 1.5 * (q3 - q1)) AS BIGINT) AS n_outliers, count(*) AS n
 FROM m JOIN (SELECT league, quantile_cont(dpm, 0.25) AS q1, median(dpm) AS med,
                     quantile_cont(dpm, 0.75) AS q3 FROM m GROUP BY league) q USING (league)
 WHERE dpm IS NOT NULL GROUP BY league""", M),
@@ -285,7 +287,7 @@ def baseline_rate(spark, d):
 @query("class_weights", sql_finish(W("""
 SELECT row_id, y, CASE WHEN y = 1 THEN n / (2.0 * pos) ELSE n / (2.0 * (n - pos)) END AS weight,
   (n - pos) / greatest(pos, 1) AS pos_weight
-FROM d, (SELECT count(*) AS n, count_if(y = 1) AS pos FROM d) c""", D), ["weight", "pos_weight"]))
+FROM d, (SELECT count(*) AS n, CAST(count_if(y = 1) AS BIGINT) AS pos FROM d) c""", D), ["weight", "pos_weight"]))
 def class_weights(spark, d):
     out = metrics.class_weights(B.supervised(spark, d), "y")
     return finish(out.select("row_id", "y", "weight", F.col("pos_weight").cast("double")))
