@@ -30,11 +30,22 @@ def check_columns(df: DataFrame, required=C.REQUIRED_COLUMNS,
 
 
 def missing_columns_report(df: DataFrame, required, optional=()) -> DataFrame:
-    """Q-B1 report form: one row per absent column, ``(column, kind)``."""
+    """Q-B1 report form: one row per listed column ``(column, kind, present, non_null)``.
+
+    Presence is a schema decision; ``non_null`` counts the column's values over
+    the whole table (one aggregate pass), NULL for absent columns.
+    """
     have = set(df.columns)
-    rows = [(c, "required") for c in required if c not in have] + \
-        [(c, "optional") for c in optional if c not in have]
-    return df.sparkSession.createDataFrame(rows, "column string, kind string")
+    listed = [(c, "required") for c in required] + [(c, "optional") for c in optional]
+    present = [c for c, _ in listed if c in have]
+    counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(f"_nn{i}") for i, c in enumerate(present)]) \
+        if present else df.agg(F.count("*").alias("_n"))
+    idx = {c: i for i, c in enumerate(present)}
+    arr = F.array(*[F.struct(
+        F.lit(c).alias("column"), F.lit(kind).alias("kind"), F.lit(c in have).alias("present"),
+        (F.col(f"_nn{idx[c]}") if c in have else F.lit(None).cast("long")).alias("non_null"))
+        for c, kind in listed])
+    return counts.select(F.inline(arr))
 
 
 def check_numeric(df: DataFrame, cols: list[str]) -> DataFrame:

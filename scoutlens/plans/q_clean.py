@@ -21,12 +21,18 @@ CR = B.MATCH_ROLES  # career rows use the same league roles
 LINEITEM_WANTED = ["l_orderkey", "l_quantity", "l_missing_a", "l_tax", "l_missing_b"]
 
 
-@query("schema_missing_columns",
-       "SELECT * FROM (VALUES ('l_missing_a', 'required'), ('l_missing_b', 'optional')) "
-       "t(\"column\", kind)")
+@query("schema_missing_columns", """
+SELECT * FROM (VALUES ('l_orderkey', 'required', true), ('l_quantity', 'required', true),
+  ('l_missing_a', 'required', false), ('l_tax', 'required', true), ('l_missing_b', 'optional', false))
+  t("column", kind, present)
+LEFT JOIN (SELECT 'l_orderkey' AS "column", CAST(count(l_orderkey) AS DOUBLE) AS non_null FROM lineitem UNION ALL
+           SELECT 'l_quantity', count(l_quantity) FROM lineitem UNION ALL
+           SELECT 'l_tax', count(l_tax) FROM lineitem) c USING ("column")""")
 def schema_missing_columns(spark, d):
     li = B.table(spark, d, "lineitem")
-    return quality.missing_columns_report(li, LINEITEM_WANTED[:3] + ["l_tax"], ["l_missing_b"])
+    out = quality.missing_columns_report(li, LINEITEM_WANTED[:3] + ["l_tax"], ["l_missing_b"])
+    # nullable integer column emitted as double (identical in both engines' frames)
+    return out.withColumn("non_null", F.col("non_null").cast("double"))
 
 
 ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
