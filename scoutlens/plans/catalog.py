@@ -33,12 +33,13 @@ def query(key: str, sql: str | None = None):
 
 
 def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Round doubles, render timestamps as text (engine-neutral output)."""
+    """Round doubles (signed zero folded to 0.0), render timestamps as text."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double"), digits)
+            r = F.round(c.cast("double"), digits)
+            c = F.when(r == 0, F.lit(0.0)).otherwise(r)      # no signed zero
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         cols.append(c.alias(f.name))
@@ -47,7 +48,8 @@ def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 
 def sql_finish(sql: str, doubles=(), stamps=(), digits: int = DIGITS) -> str:
     """Wrap an oracle query: round the listed doubles, format the listed timestamps."""
-    rep = [f'round(CAST("{c}" AS DOUBLE), {digits}) AS "{c}"' for c in doubles]
+    rep = [f'CASE WHEN round(CAST("{c}" AS DOUBLE), {digits}) = 0 THEN 0.0::DOUBLE '
+           f'ELSE round(CAST("{c}" AS DOUBLE), {digits}) END AS "{c}"' for c in doubles]
     rep += [f"strftime(\"{c}\", '%Y-%m-%d %H:%M:%S') AS \"{c}\"" for c in stamps]
     if not rep:
         return sql
