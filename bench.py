@@ -52,15 +52,20 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", int(cpus) * 2,
                           extra={"spark.driver.memory": os.environ.get("BENCH_MEM", "16g")})
     times = {}
+    failed = []
     for name in only or HEADLINE:
         fn = QUERIES[name]
-        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
-        runs = []
-        for _ in range(reps):
-            t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            runs.append(time.perf_counter() - t0)
-        times[name] = round(statistics.median(runs), 4)
+        try:
+            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()  # warm-up
+            runs = []
+            for _ in range(reps):
+                t0 = time.perf_counter()
+                fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                runs.append(time.perf_counter() - t0)
+            times[name] = round(statistics.median(runs), 4)
+        except Exception as e:  # noqa: BLE001 - report, keep benchmarking the rest
+            failed.append(name)
+            print(f"bench: {name} failed: {type(e).__name__}: {str(e)[:200]}", file=sys.stderr)
         spark.catalog.clearCache()
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
@@ -69,6 +74,7 @@ def main() -> None:
         "unit": "sec",
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
+        "failed": failed,
     }))
 
 

@@ -77,5 +77,25 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or conf_dir
 
 
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 target_partition_bytes: int = 256 << 20) -> dict:
+    """Sizing for a large cluster: shuffle partitions so that each holds about
+    ``target_partition_bytes`` of the input (at least 2 waves of tasks), scan
+    splits of the same size, AQE coalescing / skew splitting around it.
+
+    e.g. 100 TB on 1000 executors x 8 cores -> ~400k shuffle partitions of 256 MB.
+    """
+    slots = executors * cores_per_executor
+    parts = max(2 * slots, input_bytes // target_partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    }
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
