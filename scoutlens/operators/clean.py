@@ -118,6 +118,8 @@ def impute_group_median(df: DataFrame, cols: list[str] | None = None,
     as the reference does). Medians are exact (linear interpolation) and
     computed for all imputed columns in one distributed sort; ``approx=True``
     switches to ``percentile_approx`` sketches (a data value, not interpolated).
+    The input is read several times (NULL census, group medians, global
+    medians, fill): pass a staged table rather than a long lineage.
     """
     keys = [k for k in keys if k in df.columns]
     cols = cols if cols is not None else numeric_columns(df, exclude)

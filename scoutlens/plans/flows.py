@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import clean, features, target
 from ..session import checkpoint_dir
+from ..sources import files
 from . import bindings as B
 
 
@@ -19,15 +20,25 @@ def clean_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.dated_target(m, roles=B.MATCH_ROLES)
 
 
+def stage(df: DataFrame) -> DataFrame:
+    """Materialise a stage table as parquet in the shared checkpoint folder.
+
+    The reference writes its clean and feature tables between stages; a
+    multi-pass operator downstream (group totals joined back, z-score
+    statistics joined back) then reads the stage instead of recomputing the
+    whole lineage — at scale, the big match-level join — once per pass.
+    """
+    return files.materialize(df, "stage")
+
+
 def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per-split feature rows, materialised as a stage table.
+    """Per-split feature rows from the clean match stage.
 
-    The reference writes this table between stages; here a reliable
-    checkpoint (shared checkpoint folder) plays that role, so the z-score
-    statistics and the join-back read it once instead of re-running the
-    match-level lineage for each pass.
+    The large clean table is staged as parquet; the per-split table (one row
+    per player x split, orders of magnitude smaller) is cut from its lineage
+    with a reliable checkpoint, which the z-score passes then read.
     """
-    m = features.kill_participation(clean_match(spark, sf_dir), B.MATCH_ROLES)
+    m = features.kill_participation(stage(clean_match(spark, sf_dir)), B.MATCH_ROLES)
     agg = features.aggregate_players(m, B.MATCH_KEYS, roles=B.MATCH_ROLES)
     checkpoint_dir(spark)
     return agg.checkpoint(eager=True)

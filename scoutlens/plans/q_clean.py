@@ -180,7 +180,8 @@ def impute_group_median(spark, d):
     m = B.match(spark, d)
     m = m.withColumn("vspm", F.when((F.col("league") == "5-LOW") & (F.col("_source_year") == 1996),
                                     None).otherwise(F.col("vspm")))
-    out = clean.impute_group_median(m, keys=("league", "_source_year"))
+    # the operator reads its input several times: give it a staged table
+    out = clean.impute_group_median(flows.stage(m), keys=("league", "_source_year"))
     return finish(out.select("gameid", "assists", "vspm"))
 
 

@@ -204,7 +204,8 @@ FROM m JOIN (SELECT league, quantile_cont(dpm, 0.25) AS q1, median(dpm) AS med,
 WHERE dpm IS NOT NULL GROUP BY league""", M),
     ["q1", "median", "q3", "whisker_lo", "whisker_hi"]))
 def boxplot_summary(spark, d):
-    return finish(H.boxplot(B.match(spark, d), "dpm", ["league"]))
+    # quantiles, join-back and whisker pass all read the rows: stage them once
+    return finish(H.boxplot(flows.stage(B.match(spark, d).select("league", "dpm")), "dpm", ["league"]))
 
 
 RADAR_PLAYER = "s5"

@@ -35,6 +35,15 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/stage/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as a parquet table under the shared checkpoint folder and read it
+    back: a stage boundary that cuts lineage (columnar and compressed, unlike an
+    RDD checkpoint) and survives executor loss."""
+    path = stage_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def write_yearly_csv(df: DataFrame, root: str, year_col: str) -> str:
     """Write one CSV folder per year in a single job: ``{root}/{year_col}={year}/``."""
     (df.write.mode("overwrite").partitionBy(year_col).option("header", True)
