@@ -37,9 +37,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     the slots (hash on all columns: deterministic on retry). Inputs made of many
     files / row groups — any cluster-sized table — are left as scanned."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    slots = spark.sparkContext.defaultParallelism
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()  # file-size estimate
-    if df.rdd.getNumPartitions() < slots and int(str(size)) >= SPREAD_MIN_BYTES:
+    try:
+        slots = spark.sparkContext.defaultParallelism
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()  # file-size estimate
+        splits = df.rdd.getNumPartitions()                                      # planning only
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: read as is
+        return df
+    if splits < slots and int(str(size)) >= SPREAD_MIN_BYTES:
         df = df.repartition(slots, *df.columns)
     return df
 

@@ -47,7 +47,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        pass
     return spark
 
 
@@ -58,7 +61,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     store); we never override it, and without it we refuse to run. Only in
     local mode with nothing configured (tests) a fresh scratch folder is used.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns the setting
+        return spark.conf.get("spark.checkpoint.dir")
     current = sc.getCheckpointDir()
     if current:
         return current
