@@ -93,7 +93,7 @@ def train_rf(df: DataFrame, cols: list[str], y: str, num_trees: int = C.RF_TREES
                                 numTrees=num_trees, maxDepth=max_depth, seed=seed,
                                 minInstancesPerNode=min_instances,
                                 featureSubsetStrategy=feature_subset)
-    return Pipeline(stages=[_assembler(cols), rf]).fit(data)
+    return _fit_cached(data, cols, rf)
 
 
 def train_gbt(df: DataFrame, cols: list[str], y: str, rounds: int = C.GBT_ROUNDS,
@@ -104,7 +104,19 @@ def train_gbt(df: DataFrame, cols: list[str], y: str, rounds: int = C.GBT_ROUNDS
                            .otherwise(F.lit(1.0)))
     gbt = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight",
                         maxIter=rounds, maxDepth=depth, stepSize=step, seed=seed)
-    return Pipeline(stages=[_assembler(cols), gbt]).fit(data)
+    return _fit_cached(data, cols, gbt)
+
+
+def _fit_cached(data: DataFrame, cols: list[str], estimator) -> PipelineModel:
+    """Assemble once, cache the (features, label, weight) vectors for the iterative
+    learner, and return assembler + model as one PipelineModel."""
+    asm = _assembler(cols)
+    vec = asm.transform(data).select("features", "label", "weight").cache()
+    try:
+        model = estimator.fit(vec)
+    finally:
+        vec.unpersist()
+    return PipelineModel(stages=[asm, model])
 
 
 def positive_probability(model: PipelineModel, df: DataFrame, cols: list[str],
