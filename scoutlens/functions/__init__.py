@@ -20,7 +20,8 @@ def col_(c) -> Column:
 
 def strip_unicode(c) -> Column:
     """Python ``str.strip()``: remove leading/trailing Unicode white space."""
-    return F.regexp_replace(col_(c), r"^[\s\p{Z}\x{FEFF}]+|[\s\p{Z}\x{FEFF}]+$", "")
+    ws = r"[\s\p{Z}\x{1C}-\x{1F}\x{85}]"   # exactly the characters str.isspace() accepts
+    return F.regexp_replace(col_(c), f"^{ws}+|{ws}+$", "")
 
 
 def normalize_key(c) -> Column:

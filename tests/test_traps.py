@@ -137,3 +137,11 @@ def test_join_small_broadcasts_only_when_proven(spark):
         assert sorted(yes.collect()) == sorted(no.collect())
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_strip_matches_python_isspace(spark):
+    chars = [chr(c) for c in range(0x3100) if chr(c).isspace()] + ["　"]
+    rows = [(f"{ch}Name{ch}",) for ch in chars] + [("﻿Bom",)]
+    df = spark.createDataFrame(rows, "n string")
+    got = [r.s for r in df.select(X.strip_unicode("n").alias("s")).collect()]
+    assert got == [r[0].strip() for r in rows]
