@@ -229,19 +229,33 @@ def archetypes(df: DataFrame, out: str = "archetype") -> DataFrame:
 def similar(df: DataFrame, name_col: str, target: str, cols: list[str], k: int = 5,
             order_col: str = "row_id", out: str = "similarity_distance") -> DataFrame:
     """M-U8: the k rows nearest (Euclidean, standardised space) to the target's first
-    row; all rows of the target (case-insensitive name) excluded; unknown -> empty."""
-    z = standardize(df, cols)
+    row; all rows of the target (case-insensitive name) excluded; unknown -> empty.
+
+    Two bounded actions fetch the per-column mean / population std (2 numbers per
+    feature) and the target's coordinates (one row); the scan then computes each
+    row's distance as plain column arithmetic and keeps ``orderBy().limit(k)``.
+    """
+    stats = df.agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
+                   *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]).first()
+    mean = {c: stats[f"m_{c}"] for c in cols}
+    scale = {c: stats[f"s_{c}"] if stats[f"s_{c}"] else 1.0 for c in cols}
+    z = df.select("*", *[((F.col(c) - F.lit(mean[c])) / F.lit(scale[c])).alias(f"_z_{c}")
+                         for c in cols])
     is_t = F.lower(F.col(name_col)) == F.lit(target.lower())
-    t = z.where(is_t).orderBy(order_col).limit(1).select(*[F.col(c).alias(f"_t_{c}") for c in cols])
-    # the target is one row: its coordinates become scalar subqueries (no join)
-    tv = scalars(t)
+    t = z.where(is_t).orderBy(order_col).select(*[f"_z_{c}" for c in cols]).first()
+    if t is None:
+        return z.limit(0).withColumn(out, F.lit(None).cast("double")).drop(
+            *[f"_z_{c}" for c in cols])
     sq = None
     for c in cols:
-        d = F.col(c) - tv[f"_t_{c}"]
+        d = F.col(f"_z_{c}") - F.lit(t[f"_z_{c}"])
         sq = d * d if sq is None else sq + d * d
     cand = z.where(~is_t | F.col(name_col).isNull()).withColumn(out, F.sqrt(sq)) \
         .where(F.col(out).isNotNull())
-    return cand.orderBy(F.col(out), F.col(order_col)).limit(k)
+    res = cand.orderBy(F.col(out), F.col(order_col)).limit(k)
+    # standardised coordinates replace the raw ones, as in the reference's output space
+    return res.select(*[F.col(f"_z_{c}").alias(c) if c in cols else F.col(c) for c in df.columns],
+                      out)
 
 
 def vectors_to_array(df: DataFrame, col: str = "features", out: str = "features_arr") -> DataFrame:

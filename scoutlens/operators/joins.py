@@ -75,7 +75,9 @@ def scalars(one_row: DataFrame) -> dict:
     Used instead of a keyless join to attach global statistics to every row;
     Spark merges the subqueries into one aggregate job.
     """
-    return {c: one_row.select(c).scalar() for c in one_row.columns}
+    packed = one_row.select(F.struct(*[F.col(f"`{c}`") for c in one_row.columns]).alias("_s"))
+    sq = packed.scalar()        # one subquery for all columns (reused across fields)
+    return {c: sq.getField(c) for c in one_row.columns}
 
 
 def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
