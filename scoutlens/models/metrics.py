@@ -68,24 +68,31 @@ def precision_at_k(df: DataFrame, y: str, score: str, row_id: str) -> DataFrame:
     """M-S9: precision@K and recall@K with K = number of positives.
 
     Rows are ranked by score descending then ``row_id`` ascending (total order).
-    The rank of each row is ``#rows with a higher score`` + its position among
-    equal scores by id — both from distributed prefix sums. NULL when K = 0.
+    One distributed prefix pass over the distinct scores gives, for every score,
+    the rows above it; scores whose whole tie group lies inside the top K
+    contribute all their positives. Only the single boundary score (the tie
+    group that straddles rank K) needs a second prefix pass, by id, over its
+    own rows. NULL when K = 0.
     """
     yv = _y(y)
-    by_score = prefix_sums(df, [], score, {"pos": yv}, descending=True).select(
-        F.col(score).alias("_s"), F.col("n_lt").alias("_before"), F.col("pos_tot").alias("_k"))
-    # position among equal scores, ordered by id (grouped by the score value)
-    within = prefix_sums(df.select(F.col(score).alias("_s"), F.col(row_id), yv.alias("_yv")),
-                         ["_s"], row_id, {"pos": F.col("_yv")}).select(
-        "_s", F.col(row_id), F.col("n_lt").alias("_pos_in_tie"), F.col("pos_eq").alias("_yrow"))
-    ranked = within.join(by_score, "_s")
-    rank0 = F.col("_before") + F.col("_pos_in_tie")
-    a = ranked.agg(F.first("_k").alias("k"),
-                   F.sum(F.when(rank0 < F.col("_k"), F.col("_yrow")).otherwise(0.0)).alias("tp_k"))
-    k = F.col("k")
-    return a.select(F.col("k").cast("long").alias("k"),
-                    F.when(k > 0, F.col("tp_k") / k).alias("precision_at_k"),
-                    F.when(k > 0, F.col("tp_k") / k).alias("recall_at_k"))
+    ps = prefix_sums(df, [], score, {"pos": yv}, descending=True)
+    k = F.col("pos_tot")
+    inside = ps.where(F.col("n_lt") + F.col("n_eq") <= k)
+    full = inside.agg(F.coalesce(F.sum("pos_eq"), F.lit(0.0)).alias("tp"))
+    boundary = ps.where((F.col("n_lt") < k) & (k < F.col("n_lt") + F.col("n_eq"))) \
+        .select(F.col(score).alias("_bs"), (k - F.col("n_lt")).alias("_take"))
+    # at most one boundary score: its value and how many of its rows are in the top K
+    b = boundary.select(F.struct("_bs", "_take").alias("_b")).scalar()
+    tie_rows = df.where(F.col(score) == b["_bs"]).select(F.col(row_id), yv.alias("_yv"))
+    within = prefix_sums(tie_rows, [], row_id, {"pos": F.col("_yv")})
+    part = within.where(F.col("n_lt") < b["_take"]).agg(
+        F.coalesce(F.sum("pos_eq"), F.lit(0.0)).alias("tp"))
+    kk = ps.agg(F.coalesce(F.max("pos_tot"), F.lit(0.0)).alias("k"))
+    tp = full.select("tp").scalar() + part.select("tp").scalar()
+    out = kk.select(F.col("k").cast("long").alias("k"), tp.alias("_tp"))
+    kc = F.col("k")
+    return out.select("k", F.when(kc > 0, F.col("_tp") / kc).alias("precision_at_k"),
+                      F.when(kc > 0, F.col("_tp") / kc).alias("recall_at_k"))
 
 
 def brier(df: DataFrame, y: str, p: str, out: str = "brier") -> DataFrame:
