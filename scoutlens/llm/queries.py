@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, toxicity
+from . import langid, mixing, simhash, toxicity
 from .common import fold_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -19,6 +19,10 @@ def query(fn):
     return fn
 
 
+def sql(name: str, text: str) -> None:
+    ORACLE[name] = text
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -31,6 +35,12 @@ def op4_language_id(spark, sf_dir):
         "doc_id", (fold_of("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score", "runner_up")
 
 
+@query
+def op5_simhash(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 @query
 def op6_toxicity(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
@@ -38,3 +48,66 @@ def op6_toxicity(spark, sf_dir):
     return toxicity.score(docs, model).select(
         "doc_id", (fold_of("doc_id", 3) == 1).alias("held_out"), "score",
         (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+MIX = {"target_entropy": 0.95, "max_repeat": 4.0, "seed": 7}
+
+
+@query
+def op8_mixing(spark, sf_dir):
+    chosen = mixing.plan(table(spark, sf_dir, "documents"), **MIX)
+    return chosen.select("doc_id", "source", "epoch", "n_tokens", "stream_at", F.round("place", 6).alias("place"),
+                         F.round("weight", 6).alias("weight"), "alpha")
+
+
+def _entropy(a: str) -> str:
+    return (f"(SELECT ln(sum(exp(({a}) * l))) - ({a}) * sum(l * exp(({a}) * l)) / sum(exp(({a}) * l)) FROM t)")
+
+
+def _repeat(a: str) -> str:
+    return f"(SELECT exp((({a}) - 1) * min(l)) / sum(exp(({a}) * l)) FROM t)"
+
+
+sql("op8_mixing", rf"""
+WITH RECURSIVE u AS MATERIALIZED (
+  SELECT doc_id, source, sum(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')))::BIGINT AS n_tokens
+  FROM documents GROUP BY doc_id, source, text),
+s AS MATERIALIZED (SELECT source, count(*) AS docs, sum(n_tokens)::BIGINT AS total FROM u GROUP BY 1
+                   HAVING sum(n_tokens) > 0),
+t AS MATERIALIZED (SELECT *, ln(total / (SELECT sum(total) FROM s)) AS l FROM s),
+b(i, lo, hi, lo2, hi2) AS (
+  SELECT 0, 0.0::DOUBLE, 1.0::DOUBLE, 0.0::DOUBLE, 1.0::DOUBLE
+  UNION ALL
+  SELECT i + 1, CASE WHEN up THEN mid ELSE lo END, CASE WHEN up THEN hi ELSE mid END,
+         CASE WHEN up2 THEN mid2 ELSE lo2 END, CASE WHEN up2 THEN hi2 ELSE mid2 END
+  FROM (SELECT *, (lo + hi) / 2 AS mid, (lo2 + hi2) / 2 AS mid2,
+               {_entropy("(lo + hi) / 2")} >= {MIX["target_entropy"]} * ln((SELECT count(*) FROM t)) AS up,
+               {_repeat("(lo2 + hi2) / 2")} > {MIX["max_repeat"]} AS up2
+        FROM b WHERE i < 40)),
+a AS MATERIALIZED (SELECT round(greatest(
+    CASE WHEN {_entropy("1.0::DOUBLE")} >= {MIX["target_entropy"]} * ln((SELECT count(*) FROM t)) THEN 1.0 ELSE lo END,
+    CASE WHEN {_repeat("0.0::DOUBLE")} <= {MIX["max_repeat"]} THEN 0.0 ELSE hi2 END), 6) AS alpha FROM b WHERE i = 40),
+w AS (SELECT t.*, alpha, exp(alpha * l) / (SELECT sum(exp(alpha * l)) FROM t, a) AS weight,
+             (SELECT sum(total) FROM t) AS budget FROM t, a),
+q AS (SELECT *, floor(round(weight * budget, 3))::BIGINT AS quota FROM w),
+r AS (
+  SELECT u.doc_id, u.source, u.n_tokens, q.docs, q.total, q.quota, q.weight, q.alpha,
+         ('0x' || substr(md5('{MIX["seed"]}|' || coalesce(u.doc_id::VARCHAR, '')), 1, 8))::BIGINT
+           % ceil(q.docs / {mixing.BLOCK})::BIGINT AS block,
+         unnest(range(ceil(q.quota / q.total)::BIGINT))::INTEGER AS epoch
+  FROM u JOIN q ON u.source IS NOT DISTINCT FROM q.source WHERE q.quota > 0),
+k AS (SELECT source, epoch, block, sum(n_tokens) AS size FROM r GROUP BY ALL),
+o AS (SELECT source, epoch, block, coalesce(sum(size) OVER (
+        PARTITION BY source, epoch
+        ORDER BY md5('{MIX["seed"]}|' || epoch || '|' || coalesce('s' || source, '') || '|' || block), block
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead FROM k),
+x AS (SELECT r.*, coalesce(sum(n_tokens) OVER (
+        PARTITION BY source, epoch, block
+        ORDER BY md5('{MIX["seed"]}|' || epoch || '|' || coalesce(doc_id::VARCHAR, '')), doc_id
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS inside FROM r),
+y AS (SELECT x.*, (x.epoch * x.total + o.ahead + x.inside)::BIGINT AS stream_at
+      FROM x JOIN o ON x.source IS NOT DISTINCT FROM o.source AND x.epoch = o.epoch AND x.block = o.block)
+SELECT doc_id, source, epoch, n_tokens, stream_at, round((stream_at + 0.5) / quota, 6) AS place,
+       round(weight, 6) AS weight, alpha
+FROM y WHERE stream_at < quota
+""")
