@@ -122,6 +122,28 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", path: str = MOD
     return Model(path, languages, np.maximum(probability, 1e-12))
 
 
+def _judge(column: pa.Array, model: Model, vocab: L.Vocabulary, p: np.ndarray):
+    """For each text the best language's number (one past the last: none), its share of the
+    likelihood, and the second's."""
+    rows, none = len(column), len(model.languages)
+    best, share, second = np.full(rows, none), np.zeros(rows), np.zeros(rows)
+    data, start, end, inverse, bounds = _atoms(column)
+    if len(start) and none:
+        lat = L.match(vocab, data, start, end)
+        mass = np.log(L.total(lat, L.forward(lat, p)))
+        doc = np.repeat(np.arange(rows), np.diff(bounds))
+        like = np.stack([np.bincount(doc, mass[inverse, i], rows) for i in range(none)], axis=1)
+        like = np.exp(like - like.max(axis=1, keepdims=True))
+        like /= like.sum(axis=1, keepdims=True)
+        letters = pc.match_substring_regex(column.fill_null(""), r"\p{L}").to_numpy(zero_copy_only=False)
+        some = (np.diff(bounds) > 0) & letters
+        ranked = np.sort(like, axis=1)
+        best, share = np.where(some, like.argmax(axis=1), none), np.where(some, ranked[:, -1], 0.0)
+        if none > 1:
+            second = np.where(some, ranked[:, -2], 0.0)
+    return best, share, second
+
+
 def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, lang_pred, score): the likeliest language and its share of the likelihood under
     equal priors; ``runner_up`` is the second language's share."""
@@ -129,25 +151,8 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
         vocab = L.vocabulary(model.path)
         p = L.scaled(vocab, model.probability)
         names = pa.array([*model.languages, UNKNOWN])
-        none = len(model.languages)
         for c in T.chunks(batches, limit=CHUNK):
-            best, share, second = np.full(c.num_rows, none), np.zeros(c.num_rows), np.zeros(c.num_rows)
-            data, start, end, inverse, bounds = _atoms(c.column("text"))
-            if len(start) and none:
-                lat = L.match(vocab, data, start, end)
-                mass = np.log(L.total(lat, L.forward(lat, p)))
-                doc = np.repeat(np.arange(c.num_rows), np.diff(bounds))
-                like = np.stack([np.bincount(doc, mass[inverse, i], c.num_rows) for i in range(none)], axis=1)
-                like = np.exp(like - like.max(axis=1, keepdims=True))
-                like /= like.sum(axis=1, keepdims=True)
-                some = np.diff(bounds) > 0
-                best = np.where(some, like.argmax(axis=1), none)
-                ranked = np.sort(like, axis=1)
-                share = np.where(some, ranked[:, -1], 0.0)
-                if none > 1:
-                    second = np.where(some, ranked[:, -2], 0.0)
-            letters = pc.match_substring_regex(c.column("text"), r"\p{L}").to_numpy(zero_copy_only=False)
-            best, share, second = (np.where(letters, x, y) for x, y in ((best, none), (share, 0.0), (second, 0.0)))
+            best, share, second = _judge(c.column("text"), model, vocab, p)
             yield pa.record_batch([c.column("key"), names.take(pa.array(best)), pa.array(share), pa.array(second)],
                                   ["key", "lang_pred", "score", "runner_up"])
 
@@ -155,3 +160,15 @@ def predict(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "tex
     kind = rows.schema["key"].dataType.simpleString()
     return rows.mapInArrow(apply, f"key {kind}, lang_pred string, score double, runner_up double") \
         .withColumnRenamed("key", key)
+
+
+def where_known(docs: DataFrame, model: Model, least: float = 0.5, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text has a language with a share of ``least``."""
+    def apply(batches):
+        vocab = L.vocabulary(model.path)
+        p = L.scaled(vocab, model.probability)
+        for c in T.chunks(batches, text, CHUNK):
+            best, share, _ = _judge(c.column(text), model, vocab, p)
+            yield c.filter(pa.array((best < len(model.languages)) & (share >= least)))
+
+    return docs.mapInArrow(apply, docs.schema)

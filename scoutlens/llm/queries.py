@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, simhash, toxicity
+from . import langid, mixing, sentencepiece, simhash, toxicity
 from .common import fold_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@query
+def op3_sentencepiece(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    found = sentencepiece.decode(sentencepiece.encode(docs, keep=("text",)))
+    whole = F.coalesce(F.col("text"), F.lit(""))
+    return found.select(
+        "doc_id", "sample", F.size("ids").cast("long").alias("n_pieces"), F.hex(F.xxhash64("ids")).alias("ids_hash"),
+        F.round("log_prob", 6).alias("log_prob"), F.round("log_inclusion", 6).alias("log_inclusion"),
+        (F.col("decoded") == whole).alias("round_trip"))
+
+
 @query
 def op4_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")

@@ -180,18 +180,32 @@ def train(positive: np.ndarray, have, kept: np.ndarray, prior: float, params: Pa
     return Model(kept, w, b, prior)
 
 
+def _scores(column: pa.Array, model: Model, table: np.ndarray) -> np.ndarray:
+    margin = np.full(len(column), model.bias)
+    if len(model.features):
+        doc, feature = features(column, table)
+        at = np.searchsorted(model.features, feature)
+        margin += np.bincount(doc, model.weights[at], len(column))
+    return model(margin)
+
+
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(key, score) of every row, score in 0..1."""
     def apply(batches):
         table = _table(model.features)
         for c in T.chunks(batches):
-            margin = np.full(c.num_rows, model.bias)
-            if len(model.features):
-                doc, feature = features(c.column("text"), table)
-                at = np.searchsorted(model.features, feature)
-                margin += np.bincount(doc, model.weights[at], c.num_rows)
-            yield pa.record_batch([c.column("key"), pa.array(model(margin))], ["key", "score"])
+            yield pa.record_batch([c.column("key"), pa.array(_scores(c.column("text"), model, table))], ["key", "score"])
 
     rows = with_key(docs, key, text)
     return rows.mapInArrow(apply, f"key {rows.schema['key'].dataType.simpleString()}, score double") \
         .withColumnRenamed("key", key)
+
+
+def where_clean(docs: DataFrame, model: Model, threshold: float = 0.7, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores less than ``threshold``."""
+    def apply(batches):
+        table = _table(model.features)
+        for c in T.chunks(batches, text):
+            yield c.filter(pa.array(_scores(c.column(text), model, table) < threshold))
+
+    return docs.mapInArrow(apply, docs.schema)
