@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, sentencepiece, simhash, toxicity
+from . import langid, mixing, quality, sentencepiece, simhash, toxicity
 from .common import fold_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -122,3 +122,10 @@ SELECT doc_id, source, epoch, n_tokens, stream_at, round((stream_at + 0.5) / quo
        round(weight, 6) AS weight, alpha
 FROM y WHERE stream_at < quota
 """)
+
+
+@query
+def op10_quality(spark, sf_dir):
+    return quality.verdicts(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.round("word_distance", 6).alias("word_distance"), F.round("char_distance", 6).alias("char_distance"))
