@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, quality, sentencepiece, simhash, toxicity
+from . import chat, langid, licenses, mixing, quality, sentencepiece, simhash, toxicity
 from .common import fold_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,6 +61,47 @@ def op6_toxicity(spark, sf_dir):
         (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+@query
+def op7_chat(spark, sf_dir):
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    both = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", both), (-7, 1, "assistant", both)],
+                                  "conv_id long, turn long, role string, text string")
+    segments = chat.segments(turns.unionByName(extra))
+    return chat.read_back(segments).select(
+        "conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars", "valid")
+
+
+#: the template's rendering of one turn, its control strings escaped, in DuckDB SQL
+_ESCAPED = r"""replace(replace(replace(replace(coalesce({}, ''), '\', '\\'), '### ', '\### '), '</turn>', '\</turn>'), ': ', '\: ')"""
+
+sql("op7_chat", rf"""
+WITH c AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+  UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+o AS (SELECT *, lag(role) OVER w AS before, lead(role) OVER w AS after
+      FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY turn, role, text), ''))
+         AS loss_sha256,
+       sum(length('### ' || {_ESCAPED.format('role')} || ': ' || {_ESCAPED.format('text')} || '</turn>' || chr(10)))::BIGINT
+         AS formatted_chars,
+       bool_and(CASE WHEN before IS NULL THEN role IN ('system', 'user')
+                     WHEN before IN ('system', 'assistant') THEN role = 'user'
+                     WHEN before = 'user' THEN role = 'assistant'
+                     ELSE false END AND (after IS NOT NULL OR role = 'assistant')) AS valid
+FROM o GROUP BY conv_id
+""")
+
+
+@query
+def op9_licenses(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents")).withColumn("score", F.round("score", 6))
+
+
 MIX = {"target_entropy": 0.95, "max_repeat": 4.0, "seed": 7}
 
 
