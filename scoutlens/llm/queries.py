@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, licenses, mixing, quality, sentencepiece, simhash, toxicity
+from . import ann, chat, langid, licenses, mixing, quality, sentencepiece, simhash, toxicity
 from .common import fold_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@query
+def op1_ann(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.search(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
 @query
 def op3_sentencepiece(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
