@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, langid, licenses, mixing, quality, sentencepiece, simhash, toxicity
+from . import ann, chat, langid, licenses, lm, mixing, quality, sentencepiece, simhash, toxicity
 from .common import fold_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,11 @@ def op1_ann(spark, sf_dir):
     return ann.search(vectors, vectors.where("vec_id % 20 = 0"), k=20)
 
 
+@query
+def op2_lm(spark, sf_dir):
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_sentencepiece(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
