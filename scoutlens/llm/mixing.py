@@ -136,11 +136,13 @@ def plan(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
 
 def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` as often as the plan takes them."""
-    chosen = plan(docs, key, source, text, **how).select(
-        F.col(key).alias("_k"), F.coalesce(F.concat(F.lit("s"), F.col(source)), F.lit("")).alias("_s"),
-        F.col("content").alias("_c"))
-    content = F.xxhash64(text_of(text), F.length(text_of(text)))
-    name = F.coalesce(F.concat(F.lit("s"), F.col(source).cast("string")), F.lit(""))
-    rows = docs.withColumn("_c", content).withColumn("_s", name)
-    same = rows[key].eqNullSafe(chosen["_k"]) & (rows["_s"] == chosen["_s"]) & (rows["_c"] == chosen["_c"])
-    return rows.join(chosen, same).select(*[rows[c] for c in docs.columns])
+    def name(c):
+        return F.coalesce(F.concat(F.lit("s"), F.col(c).cast("string")), F.lit(""))
+
+    chosen = plan(docs, key, source, text, **how).select(F.col(key).alias("k"), name(source).alias("s"),
+                                                         F.col("content").alias("c"))
+    rows = docs.select(F.col(key).alias("k"), name(source).alias("s"),
+                       F.xxhash64(text_of(text), F.length(text_of(text))).alias("c"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    same = rows["k"].eqNullSafe(chosen["k"]) & (rows["s"] == chosen["s"]) & (rows["c"] == chosen["c"])
+    return rows.join(chosen, same).select("row.*")

@@ -29,7 +29,9 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from ..operators.joins import join_small
 from . import text as T
@@ -207,12 +209,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = SHINGLE,
              max_bits: int = MAX_BITS) -> DataFrame:
     """One row of each component: the one with the smallest key (of equal keys, the smallest
-    text; of repeated rows, one). Rows with a null key stay."""
+    text, then the smallest hash of the other plain columns). Rows with a null key stay."""
     found = near_duplicates(docs, key, text, words, max_bits).where(F.col(key) == F.col("component_id")) \
-        .select(F.col(key).alias("_kept")).distinct()
-    rest = docs.columns
-    first = docs.where(F.col(key).isNotNull()).join(found, F.col(key).cast("long") == F.col("_kept"), "left_semi")
-    from pyspark.sql import Window
-    order = Window.partitionBy(key).orderBy(F.col(text).asc_nulls_first(), F.xxhash64(*[F.col(f"`{c}`") for c in rest]))
-    one = first.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
-    return one.unionByName(docs.where(F.col(key).isNull()))
+        .select(F.col(key).alias("id")).distinct()
+    plain = [F.col(f"`{f.name}`") for f in docs.schema if isinstance(f.dataType, AtomicType)]
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("by"), F.xxhash64(*plain).alias("then"),
+                       F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    order = W.partitionBy("id").orderBy(F.col("by").asc_nulls_first(), "then")
+    one = rows.join(found, "id", "left_semi").withColumn("n", F.row_number().over(order)).where("n = 1")
+    return one.select("row").unionByName(rows.where("id is null").select("row")).select("row.*")
