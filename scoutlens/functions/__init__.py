@@ -121,8 +121,3 @@ def not_in(c, values) -> Column:
 
 
 # --- X-5 nested -----------------------------------------------------------------
-
-
-def set_text(c) -> Column:
-    """``collect_set`` rendered as sorted text (order-free comparison)."""
-    return F.array_join(F.array_sort(F.collect_set(col_(c))), ",")

@@ -4,9 +4,9 @@
   silhouette uses the squared-Euclidean decomposition (cluster sums of x and of
   ||x||^2), so each point is compared with k cluster summaries, never with
   other points — no pair of rows is ever materialised.
-* K-Means / PCA are Spark ML estimators fitted per position (a short loop over
-  the few position values, each fit distributed); restarts are repeated fits
-  with different seeds keeping the lowest training cost.
+* K-Means runs all groups, values of k and restarts at once: each iteration is
+  one pass over the rows in Arrow batches with per-task sums. PCA is Spark ML's,
+  fitted per position (a short loop over the few position values).
 * Similarity search broadcasts the single target vector and keeps the top k
   with ``orderBy().limit()``.
 """
@@ -15,15 +15,21 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.clustering import KMeans
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import config as C
 from ..operators.joins import attach_scalars, join_small, scalars
 from ..operators.stats import archetype_expr
+from ..session import materialize
+
+MAX_GROUPS = 1000      # groups that get models of their own
+INIT_ROWS = 2048       # rows of a group that K-Means starts are drawn from
 
 
 def standardize(df: DataFrame, cols: list[str], part: list[str] | None = None,
@@ -51,15 +57,19 @@ def silhouette(df: DataFrame, cluster: str, cols: list[str], part: list[str] | N
     For a point x and a cluster C with n_C points, sum S_C and sum of squared
     norms Q_C, the mean squared distance is (n_C|x|^2 - 2 x.S_C + Q_C) / n_C
     (own cluster: divided by n_C - 1, excluding the point itself). A point in a
-    singleton cluster scores 0; a group with one cluster (or all singletons)
+    singleton cluster, or on one spot with all others, scores 0; a group with one cluster (or all singletons)
     has no silhouette (NULL). Same definition as Spark's ClusteringEvaluator.
     """
     part = list(part or [])
     v = _vec(cols)
     pts = df.select(*part, F.col(cluster).alias("_c"), v.alias("_x"))
+    return _silhouette(pts, part, len(cols), out)
+
+
+def _silhouette(pts: DataFrame, part: list[str], dim: int, out: str = "silhouette") -> DataFrame:
+    """:func:`silhouette` of points (part..., _c, _x: array of ``dim`` numbers)."""
     sq = F.aggregate("_x", F.lit(0.0), lambda acc, e: acc + e * e)
     pts = pts.withColumn("_xx", sq)
-    dim = len(cols)
     summ = pts.groupBy(*part, "_c").agg(
         F.count("*").alias("_n"), F.sum("_xx").alias("_q"),
         F.array(*[F.sum(F.col("_x")[i]) for i in range(dim)]).alias("_s"))
@@ -79,7 +89,7 @@ def silhouette(df: DataFrame, cluster: str, cols: list[str], part: list[str] | N
     others = F.transform(F.filter("_cl", lambda c: c["_c"] != F.col("_c")),
                          lambda c: mean_sq(c) / c["_n"])
     b = F.array_min(others)
-    s = F.when(own["_n"] <= 1, F.lit(0.0)).otherwise((b - a) / F.greatest(a, b))
+    s = F.when(own["_n"] <= 1, F.lit(0.0)).otherwise(F.coalesce(F.try_divide(b - a, F.greatest(a, b)), F.when(F.greatest(a, b) == 0, F.lit(0.0))))
     res = j.withColumn("_sil", s).groupBy(*part).agg(
         F.avg("_sil").alias(out), F.first("_k").alias("n_clusters"),
         F.count("*").alias("n_points"))
@@ -95,18 +105,6 @@ def best_k(sweep: DataFrame, part: list[str], k: str = "k", score: str = "silhou
         F.max(score).alias("best_silhouette"))
 
 
-def _kmeans_best(data: DataFrame, k: int, n_init: int, seed: int, max_iter: int = 100):
-    best = None
-    for i in range(n_init):
-        km = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="features",
-                    predictionCol="cluster")
-        model = km.fit(data)
-        cost = model.summary.trainingCost
-        if best is None or cost < best[1]:
-            best = (model, cost)
-    return best
-
-
 def _parallel(fn, items, workers: int = 4):
     """Run ``fn`` over a few items from driver threads; Spark schedules the jobs
     concurrently (used for per-position model fits)."""
@@ -115,43 +113,173 @@ def _parallel(fn, items, workers: int = 4):
 
 
 def _assemble(df: DataFrame, cols: list[str]) -> DataFrame:
-    return VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep") \
-        .transform(df.fillna(0.0, subset=cols))
+    return VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep").transform(df)
+
+
+def fill_missing(df: DataFrame, cols: list[str]) -> DataFrame:
+    """NULL and NaN features -> 0, before anything is scaled."""
+    return df.fillna(0.0, subset=cols)
+
+
+def _groups(df: DataFrame, part: str, most: int = MAX_GROUPS) -> dict:
+    """Rows by group, after checking that the groups are few (models are fitted for each)."""
+    rows = df.groupBy(part).count().limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"{part} has over {most} groups; fit them in several calls")
+    return {r[0]: r["count"] for r in rows}
+
+
+def _points(df: DataFrame, cols: list[str], part: str) -> DataFrame:
+    """A stage table (g, x): standardised features of every row, missing ones 0 before scaling."""
+    z = standardize(fill_missing(df, cols), cols, [part], suffix="_std")
+    return materialize(z.select(F.col(part).alias("g"), _vec([f"{c}_std" for c in cols]).alias("x")), "points")
+
+
+def _plus_plus(x: np.ndarray, k: int, rng) -> np.ndarray:
+    """k-means++ start from the rows of ``x``."""
+    at = [int(rng.integers(len(x)))]
+    d = ((x - x[at[0]]) ** 2).sum(axis=1)
+    for _ in range(1, k):
+        at.append(int(rng.choice(len(x), p=d / d.sum()) if d.sum() > 0 else rng.integers(len(x))))
+        d = np.minimum(d, ((x - x[at[-1]]) ** 2).sum(axis=1))
+    return x[at].copy()
+
+
+def _matrix(column) -> np.ndarray:
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _assign(x: np.ndarray, centres: list[np.ndarray]):
+    """Nearest centre and squared distance of each row, for every model."""
+    scores = x @ np.concatenate(centres).T
+    at = 0
+    for c in centres:
+        half = scores[:, at:at + len(c)] - (c**2).sum(axis=1) / 2
+        at += len(c)
+        label = half.argmax(axis=1)
+        yield label, np.maximum((x**2).sum(axis=1) - 2 * half[np.arange(len(x)), label], 0.0)
+
+
+def _totals(points: DataFrame, centres: dict, dim: int) -> DataFrame:
+    """(g, model, cluster, n, cost, s0...): sums over all rows for every model, added up inside
+    each task first."""
+    names = [f"s{i}" for i in range(dim)]
+
+    def apply(batches):
+        sums: dict = {}
+        for b in batches:
+            groups = b.column("g").to_pylist()
+            x = _matrix(b.column("x"))
+            for g in set(groups) & set(centres):
+                rows = x[[h == g for h in groups]]
+                models = list(centres[g])
+                for m, (label, cost) in zip(models, _assign(rows, [centres[g][m] for m in models])):
+                    hot = np.zeros((len(rows), len(centres[g][m])))
+                    hot[np.arange(len(rows)), label] = 1.0
+                    part = np.column_stack([hot.sum(axis=0), hot.T @ cost, hot.T @ rows])
+                    sums[g, m] = sums[g, m] + part if (g, m) in sums else part
+        for (g, m), part in sums.items():
+            n = len(part)
+            yield pa.record_batch([pa.array([g] * n), pa.array([m] * n), pa.array(np.arange(n)),
+                                   *map(pa.array, part.T)], ["g", "model", "cluster", "n", "cost", *names])
+
+    kind = points.schema["g"].dataType.simpleString()
+    parts = points.mapInArrow(apply, f"g {kind}, model long, cluster long, n double, cost double, "
+                              + ", ".join(f"{c} double" for c in names))
+    return parts.groupBy("g", "model", "cluster").agg(*[F.sum(c).alias(c) for c in ("n", "cost", *names)])
+
+
+def kmeans_many(points: DataFrame, wanted: dict, dim: int, n_init: int, seed: int = C.SEED,
+                max_iter: int = 100, tol: float = 1e-4) -> dict:
+    """Lloyd's K-Means for many (group, k, restart) at once: {(group, k): (centres, inertia)} of
+    the restart with the lowest inertia.
+
+    ``wanted``: the values of k for each group. Every iteration is one pass over ``points``
+    (g, x) for all models that still move; tasks send one row per model and cluster. Starts
+    are k-means++ on at most ``INIT_ROWS`` rows of each group, the smallest by hash.
+    """
+    first = Window.partitionBy("g").orderBy(F.xxhash64("x", F.lit(seed)))
+    drawn = points.where(F.col("g").isin(list(wanted))).withColumn("n", F.row_number().over(first)) \
+        .where(F.col("n") <= INIT_ROWS).orderBy("g", "n").drop("n").toArrow()
+    labels, x = np.array(drawn["g"].to_pylist(), object), _matrix(drawn["x"].combine_chunks())
+    centres: dict = {}
+    spec: dict = {}
+    for g, ks in wanted.items():
+        mine = x[labels == g]
+        rng = np.random.default_rng(seed)
+        centres[g] = {}
+        for k in ks:
+            for _ in range(n_init):
+                m = len(centres[g])
+                spec[g, m] = k
+                centres[g][m] = _plus_plus(mine, min(k, len(mine)), rng)
+    moving = {g: dict(c) for g, c in centres.items()}
+    for _ in range(max_iter):
+        moving = {g: c for g, c in moving.items() if c}
+        if not moving:
+            break
+        t = _totals(points, moving, dim).toArrow()         # groups x models x k rows at most
+        sums = np.column_stack([t[f"s{i}"].to_numpy() for i in range(dim)])
+        n, cluster = t["n"].to_numpy(), t["cluster"].to_numpy()
+        new = {g: {m: c.copy() for m, c in ms.items()} for g, ms in moving.items()}
+        for i, (g, m) in enumerate(zip(t["g"].to_pylist(), t["model"].to_pylist())):
+            if n[i] > 0:
+                new[g][m][cluster[i]] = sums[i] / n[i]
+        for g, ms in new.items():
+            for m, c in ms.items():
+                still = ((c - moving[g][m]) ** 2).sum(axis=1).max() > tol**2
+                centres[g][m] = c
+                if not still:
+                    del moving[g][m]
+                else:
+                    moving[g][m] = c
+    cost = _totals(points, centres, dim).groupBy("g", "model").agg(F.sum("cost").alias("cost")).collect()
+    best: dict = {}
+    for r in sorted(cost, key=lambda r: r["model"]):
+        at = r["g"], spec[r["g"], r["model"]]
+        if at not in best or r["cost"] < best[at][1] - 1e-9:
+            best[at] = (centres[r["g"]][r["model"]], float(r["cost"]))
+    return best
 
 
 def k_sweep(df: DataFrame, cols: list[str], part: str | None = "position", ks=C.K_RANGE,
             n_init: int = 10, seed: int = C.SEED, min_rows: int = C.MIN_ROWS_TO_CLUSTER) -> DataFrame:
     """M-U2 / M-U10: for each k, K-Means with restarts; inertia and silhouette.
 
-    Features are standardised per group (population std) first. Groups with
-    fewer than ``min_rows`` rows are skipped. Returns (part, k, inertia,
-    silhouette, is_best). The input is cached for the repeated fits.
+    Missing features count 0, then features are standardised per group (population
+    std). Groups with fewer than ``min_rows`` rows are skipped. Returns (part, k,
+    inertia, silhouette, best_k, is_best); without ``part`` all rows are one group and
+    the result has no group column. All k and restarts of all groups share each pass
+    over the rows, and one plan gives all silhouettes.
     """
     spark = df.sparkSession
-    z = standardize(df, cols, [part] if part else None, suffix="_std")
-    std = [f"{c}_std" for c in cols]
-    data = _assemble(z, std).cache()
-    groups = [r[0] for r in data.select(part).distinct().collect()] if part else [None]
-
-    def sweep_group(g):
-        sub = data.where(F.col(part) == g) if part else data
-        if sub.count() < min_rows:
-            return []
-        out = []
-        for k in ks:
-            model, cost = _kmeans_best(sub, k, n_init, seed)
-            pred = model.transform(sub)
-            sil = silhouette(pred, "cluster", std).first()["silhouette"]
-            out.append((g, int(k), float(cost), None if sil is None else float(sil)))
-        return out
-
-    # a handful of positions, fitted concurrently (each fit is itself distributed)
-    rows = [r for res in _parallel(sweep_group, groups) for r in res]
-    data.unpersist()
-    sweep = spark.createDataFrame(rows, "position string, k int, inertia double, silhouette double")
-    best = best_k(sweep, ["position"])
-    return sweep.join(best, "position", "left").withColumn(
-        "is_best", F.col("k") == F.col("best_k")).drop("best_silhouette")
+    name = part or "_all"
+    points = _points(df if part else df.withColumn("_all", F.lit("all")), cols, name)
+    kind = points.schema["g"].dataType.simpleString()
+    groups = [g for g, n in _groups(points, "g").items() if g is not None and n >= min_rows]
+    schema = f"g {kind}, k int, inertia double"
+    if not groups:
+        sweep = spark.createDataFrame([], schema).withColumn("silhouette", F.lit(None).cast("double"))
+    else:
+        best = kmeans_many(points, {g: list(ks) for g in groups}, len(cols), n_init, seed)
+
+        def label(batches):
+            for b in batches:
+                x, of = _matrix(b.column("x")), np.array(b.column("g").to_pylist(), object)
+                for g in set(of.tolist()) & set(groups):
+                    rows = np.flatnonzero(of == g)
+                    mine = b.take(pa.array(rows))
+                    for k, (c, _) in zip(ks, _assign(x[rows], [best[g, k][0] for k in ks])):
+                        yield pa.record_batch([mine.column("g"), pa.array(np.full(len(rows), k), pa.int32()),
+                                               pa.array(c, pa.int32()), mine.column("x")], ["g", "k", "_c", "_x"])
+
+        labelled = points.mapInArrow(label, f"g {kind}, k int, _c int, _x array<double>")
+        sil = _silhouette(labelled, ["g", "k"], len(cols)).select("g", "k", "silhouette")
+        cost = spark.createDataFrame([(g, int(k), v[1]) for (g, k), v in best.items()], schema)
+        sweep = cost.join(sil, ["g", "k"], "left")
+    out = sweep.join(best_k(sweep, ["g"]), "g", "left") \
+        .withColumn("is_best", F.col("k") == F.col("best_k")).drop("best_silhouette")
+    return out.withColumnRenamed("g", part) if part else out.drop("g")
 
 
 def cluster_by_position(df: DataFrame, cols: list[str], best: dict | DataFrame,
@@ -160,40 +288,37 @@ def cluster_by_position(df: DataFrame, cols: list[str], best: dict | DataFrame,
     """M-U5: final K-Means per position at its best k; small positions get cluster -1.
 
     Cluster ids are canonicalised: by size descending, then by centre
-    (lexicographic), so reruns give stable labels.
+    (lexicographic), so reruns give stable labels. Returns ``df`` with ``cluster``.
     """
     if isinstance(best, DataFrame):
-        # one (position, best k) pair per position: bounded
-        best = {r[part]: int(r["best_k"]) for r in best.select(part, "best_k").distinct().collect()}
-    z = standardize(df, cols, [part], suffix="_std")
-    # cached for the iterative fits; the returned lazy result still reads it
-    data = _assemble(z, [f"{c}_std" for c in cols]).cache()
-
-    def fit(item):
-        g, k = item
-        sub = data.where(F.col(part) == g)
-        if sub.count() < min_rows:
-            return None
-        model, _ = _kmeans_best(sub, k, n_init, seed)
-        pred = model.transform(sub)
-        centres = [list(map(float, c)) for c in model.clusterCenters()]
-        sizes = {r["cluster"]: r["n"]   # k cluster sizes
-                 for r in pred.groupBy("cluster").agg(F.count("*").alias("n")).collect()}
-        order = sorted(range(len(centres)), key=lambda i: (-sizes.get(i, 0), centres[i]))
-        remap = F.create_map(*[e for new, old in enumerate(order) for e in (F.lit(old), F.lit(new))])
-        return pred.withColumn("cluster", remap[F.col("cluster")]).drop("features")
-
-    outs = [o for o in _parallel(fit, list(best.items())) if o is not None]
-    keep = list(df.columns)
-    if not outs:
+        few = best.select(part, "best_k").distinct().limit(MAX_GROUPS + 1).collect()
+        best = {r[part]: int(r["best_k"]) for r in few if r["best_k"] is not None}
+    points = _points(df, cols, part)
+    sizes = _groups(points, "g")
+    wanted = {g: [k] for g, k in best.items() if sizes.get(g, 0) >= min_rows}
+    if not wanted:
         return df.withColumn("cluster", F.lit(-1))
-    clustered = outs[0]
-    for o in outs[1:]:
-        clustered = clustered.unionByName(o)
-    clustered = clustered.select(*keep, "cluster")
-    done = clustered.select(part).distinct()
-    rest = df.join(done, part, "left_anti").withColumn("cluster", F.lit(-1))
-    return clustered.unionByName(rest.select(*keep, "cluster"))
+    found = kmeans_many(points, wanted, len(cols), n_init, seed)
+    centres = {g: {0: found[g, k][0]} for g, (k,) in wanted.items()}
+    size = {(r["g"], r["cluster"]): r["n"] for r in _totals(points, centres, len(cols)).select("g", "cluster", "n").collect()}
+    for g, c in centres.items():
+        order = sorted(range(len(c[0])), key=lambda i: (-size.get((g, i), 0), c[0][i].tolist()))
+        centres[g] = c[0][order]
+    z = standardize(fill_missing(df, cols), cols, [part], suffix="_std")
+    row = df.columns
+
+    def label(batches):
+        for b in batches:
+            x, of = _matrix(b.column("_x")), np.array(b.column(part).to_pylist(), object)
+            out = np.full(b.num_rows, -1)
+            for g in set(of.tolist()) & set(centres):
+                rows = np.flatnonzero(of == g)
+                out[rows] = next(_assign(x[rows], [centres[g]]))[0]
+            yield pa.record_batch([*[b.column(c) for c in row], pa.array(out, pa.int32())], [*row, "cluster"])
+
+    wide = z.select(*row, _vec([f"{c}_std" for c in cols]).alias("_x"))
+    schema = T.StructType([*df.schema.fields, T.StructField("cluster", T.IntegerType())])
+    return wide.mapInArrow(label, schema)
 
 
 def embed_2d(df: DataFrame, cols: list[str], part: str = "position") -> DataFrame:
@@ -201,12 +326,13 @@ def embed_2d(df: DataFrame, cols: list[str], part: str = "position") -> DataFram
 
     Each component's sign is fixed so its largest-magnitude loading is positive.
     """
-    z = standardize(df, cols, [part], suffix="_std")
-    data = _assemble(z, [f"{c}_std" for c in cols]).cache()
-    groups = [r[0] for r in data.select(part).distinct().collect()]  # the few positions
+    z = standardize(fill_missing(df, cols), cols, [part], suffix="_std")
+    z = materialize(z.select(*df.columns, *[f"{c}_std" for c in cols]), "embedding")
+    data = _assemble(z, [f"{c}_std" for c in cols])
+    groups = list(_groups(z, part))
 
     def fit(g):
-        sub = data.where(F.col(part) == g)
+        sub = data.where(F.col(part).eqNullSafe(F.lit(g)))
         model = PCA(k=2, inputCol="features", outputCol="_pc").fit(sub)
         pc = model.pc.toArray()
         signs = [1.0 if pc[abs(pc[:, j]).argmax(), j] >= 0 else -1.0 for j in range(2)]
@@ -235,6 +361,7 @@ def similar(df: DataFrame, name_col: str, target: str, cols: list[str], k: int =
     feature) and the target's coordinates (one row); the scan then computes each
     row's distance as plain column arithmetic and keeps ``orderBy().limit(k)``.
     """
+    df = fill_missing(df, cols)
     stats = df.agg(*[F.avg(c).alias(f"m_{c}") for c in cols],
                    *[F.stddev_pop(c).alias(f"s_{c}") for c in cols]).first()
     mean = {c: stats[f"m_{c}"] for c in cols}
@@ -250,14 +377,9 @@ def similar(df: DataFrame, name_col: str, target: str, cols: list[str], k: int =
     for c in cols:
         d = F.col(f"_z_{c}") - F.lit(t[f"_z_{c}"])
         sq = d * d if sq is None else sq + d * d
-    cand = z.where(~is_t | F.col(name_col).isNull()).withColumn(out, F.sqrt(sq)) \
-        .where(F.col(out).isNotNull())
+    cand = z.where(~is_t | F.col(name_col).isNull()).withColumn(out, F.sqrt(sq))
     res = cand.orderBy(F.col(out), F.col(order_col)).limit(k)
     # standardised coordinates replace the raw ones, as in the reference's output space
     return res.select(*[F.col(f"_z_{c}").alias(c) if c in cols else F.col(c) for c in df.columns],
                       out)
 
-
-def vectors_to_array(df: DataFrame, col: str = "features", out: str = "features_arr") -> DataFrame:
-    return df.withColumn(out, vector_to_array(F.col(col)))
-

@@ -81,14 +81,16 @@ def precision_at_k(df: DataFrame, y: str, score: str, row_id: str) -> DataFrame:
     full = inside.agg(F.coalesce(F.sum("pos_eq"), F.lit(0.0)).alias("tp"))
     boundary = ps.where((F.col("n_lt") < k) & (k < F.col("n_lt") + F.col("n_eq"))) \
         .select(F.col(score).alias("_bs"), (k - F.col("n_lt")).alias("_take"))
-    # at most one boundary score: its value and how many of its rows are in the top K
-    b = boundary.select(F.struct("_bs", "_take").alias("_b")).scalar()
-    tie_rows = df.where(F.col(score) == b["_bs"]).select(F.col(row_id), yv.alias("_yv"))
-    within = prefix_sums(tie_rows, [], row_id, {"pos": F.col("_yv")})
-    part = within.where(F.col("n_lt") < b["_take"]).agg(
-        F.coalesce(F.sum("pos_eq"), F.lit(0.0)).alias("tp"))
     kk = ps.agg(F.coalesce(F.max("pos_tot"), F.lit(0.0)).alias("k"))
-    tp = full.select("tp").scalar() + part.select("tp").scalar()
+    tp = full.select("tp").scalar()
+    # at most one boundary score: its value and how many of its rows are in the top K
+    b = boundary.first()
+    if b is not None:
+        tie_rows = df.where(F.col(score) == F.lit(b["_bs"])).select(F.col(row_id), yv.alias("_yv"))
+        within = prefix_sums(tie_rows, [], row_id, {"pos": F.col("_yv")})
+        part = within.where(F.col("n_lt") < F.lit(b["_take"])).agg(
+            F.coalesce(F.sum("pos_eq"), F.lit(0.0)).alias("tp"))
+        tp = tp + part.select("tp").scalar()
     out = kk.select(F.col("k").cast("long").alias("k"), tp.alias("_tp"))
     kc = F.col("k")
     return out.select("k", F.when(kc > 0, F.col("_tp") / kc).alias("precision_at_k"),
@@ -134,9 +136,10 @@ def grouped_folds(df: DataFrame, group: str, y: str, k: int = 5, seed: int = 42,
         else F.col(group)
     g = g.withColumn("_okey", okey)
     ranks = prefix_sums(g, ["_label"], "_okey").select("_label", "_okey", F.col("n_lt").alias("_r"))
-    folds = g.join(ranks, ["_label", "_okey"]).select(
-        group, (F.col("_r").cast("long") % k).cast("int").alias(out))
-    return df.join(folds, group, "left")
+    folds = g.join(ranks, ["_label", "_okey"], "left").select(
+        F.col(group).alias("_g"), (F.coalesce("_r", F.lit(0)).cast("long") % k).cast("int").alias(out))
+    # a NULL group is a group of its own
+    return df.join(folds, df[group].eqNullSafe(folds["_g"]), "left").drop("_g")
 
 
 def model_comparison(df: DataFrame, y: str, scores: dict[str, str]) -> DataFrame:

@@ -19,13 +19,14 @@ model parameters and per-fold scalar metrics.
 
 from __future__ import annotations
 
+import ast
 import random
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import Evaluator
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
 from pyspark.ml.tuning import CrossValidator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
@@ -33,6 +34,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..operators.rank import percentile_rank_avg
+from ..session import materialize
 from . import metrics
 
 
@@ -76,9 +78,13 @@ def train_lr(df: DataFrame, cols: list[str], y: str, c: float = C.LR_C,
     lr = LogisticRegression(featuresCol="scaled", labelCol="label", weightCol="weight",
                             regParam=1.0 / (c * total_w), elasticNetParam=0.0,
                             standardization=False, maxIter=max_iter, tol=1e-8)
+    # the scaler divides by the sample deviation; the factor makes it the population's
+    n = data.count()
     pipe = Pipeline(stages=[_assembler(cols),
-                            StandardScaler(inputCol="features", outputCol="scaled",
-                                           withMean=True, withStd=True), lr])
+                            StandardScaler(inputCol="features", outputCol="sampled",
+                                           withMean=True, withStd=True),
+                            ElementwiseProduct(scalingVec=[(n / (n - 1)) ** 0.5 if n > 1 else 1.0] * len(cols),
+                                               inputCol="sampled", outputCol="scaled"), lr])
     model = pipe.fit(data)
     data.unpersist()
     return model
@@ -123,7 +129,7 @@ def positive_probability(model: PipelineModel, df: DataFrame, cols: list[str],
                          out: str = "p") -> DataFrame:
     pred = model.transform(fill_features(df, cols))
     return pred.withColumn(out, vector_to_array(F.col("probability"))[1]).drop(
-        "features", "scaled", "rawPrediction", "probability", "prediction")
+        "features", "sampled", "scaled", "rawPrediction", "probability", "prediction")
 
 
 def importances(model: PipelineModel, cols: list[str]) -> DataFrame:
@@ -163,12 +169,16 @@ def fit_calibrated(df: DataFrame, cols: list[str], y: str, k: int = C.CALIBRATIO
     base = fill_features(df, cols)
     if fold_col is None:
         # stratified row folds (round-robin inside each class, pseudo-random order)
-        base = base.withColumn("_rid", F.monotonically_increasing_id()).checkpoint(eager=True)
-        base = metrics.grouped_folds(base, "_rid", y, k, seed, out="_fold").checkpoint(eager=True)
+        base = materialize(base.withColumn("_rid", F.monotonically_increasing_id()), "rows")
+        base = materialize(metrics.grouped_folds(base, "_rid", y, k, seed, out="_fold"), "folds")
         fold_col = "_fold"
     fitted = []
     for i in range(k):
-        model = train_fn(base.where(F.col(fold_col) != i))
+        part = base.where(F.col(fold_col) != i)
+        classes = part.agg(F.min(F.col(y).cast("int")).alias("lo"), F.max(F.col(y).cast("int")).alias("hi")).first()
+        if classes["lo"] == classes["hi"]:
+            continue                                      # one class (or no row): nothing to learn
+        model = train_fn(part)
         held = model.transform(base.where(F.col(fold_col) == i))
         held = _label(held.select(_calibration_input(model).alias("_m"), F.col(y)), y)
         cnt = held.agg(F.sum("label").alias("p"), F.count("*").alias("n"))
@@ -183,23 +193,24 @@ def fit_calibrated(df: DataFrame, cols: list[str], y: str, k: int = C.CALIBRATIO
         platt = LogisticRegression(featuresCol="mf", labelCol="label", weightCol="w",
                                    regParam=0.0, maxIter=200, tol=1e-10).fit(two)
         fitted.append((model, float(platt.coefficients[0]), float(platt.intercept)))
+    if not fitted:
+        raise ValueError("calibration needs rows of both classes outside some fold")
     return fitted
 
 
 def _calibration_input(model: PipelineModel):
-    """Platt input: the decision margin of a linear model (clamped to a finite
-    range — a degenerate one-class fit has an infinite intercept), else the
-    positive-class probability (trees have no decision function)."""
+    """Platt input: the decision margin of a linear model (finite, because a
+    fold without both classes is never fitted), else the positive-class
+    probability (trees have no decision function)."""
     if hasattr(model.stages[-1], "coefficients"):
-        m = vector_to_array(F.col("rawPrediction"))[1]
-        return F.greatest(F.least(m, F.lit(1e6)), F.lit(-1e6))
+        return vector_to_array(F.col("rawPrediction"))[1]
     return vector_to_array(F.col("probability"))[1]
 
 
 def apply_calibrated(fitted: list, df: DataFrame, cols: list[str],
                      out: str = "p_calibrated") -> DataFrame:
     """M-S15 (apply): mean over the folds of sigmoid(a * margin_k(x) + b)."""
-    drop = ("features", "scaled", "rawPrediction", "probability", "prediction")
+    drop = ("features", "sampled", "scaled", "rawPrediction", "probability", "prediction")
     scored = fill_features(df, cols)
     for i, (model, a, b) in enumerate(fitted):
         m = _calibration_input(model)
@@ -254,7 +265,10 @@ def tune_rf(df: DataFrame, cols: list[str], y: str, group: str, grid: dict, n_it
     Spark ML's ``CrossValidator`` with a grouped-stratified ``foldCol`` (a
     group never spans two folds), ``parallelism`` concurrent fits, and the
     step-wise average-precision evaluator. Returns one row per draw (mean CV
-    AP), the best marked; the refit on all rows is ``train_rf(**best)``.
+    AP), the best marked; :func:`tuned_rf` refits the best on all rows.
+
+    The reference's smallest node to split (5 rows) has no counterpart in Spark's
+    trees; ``min_instances`` (rows in each child) is the nearest.
     """
     spark = df.sparkSession
     keys = sorted(grid)
@@ -263,9 +277,8 @@ def tune_rf(df: DataFrame, cols: list[str], y: str, group: str, grid: dict, n_it
     for k_ in keys:
         space = [s + [v] for s in space for v in grid[k_]]
     draws = rnd.sample(space, min(n_iter, len(space)))
-    data = metrics.grouped_folds(
-        with_balanced_weights(fill_features(df, cols), y), group, "label", folds, seed) \
-        .checkpoint(eager=True)
+    data = materialize(metrics.grouped_folds(
+        with_balanced_weights(fill_features(df, cols), y), group, "label", folds, seed), "folds")
     rf = RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight",
                                 seed=seed)
     names = {"num_trees": rf.numTrees, "max_depth": rf.maxDepth,
@@ -283,6 +296,14 @@ def tune_rf(df: DataFrame, cols: list[str], y: str, group: str, grid: dict, n_it
     return res.withColumn("is_best", F.col("draw") == F.lit(best))
 
 
+def tuned_rf(df: DataFrame, cols: list[str], y: str, group: str, grid: dict = C.RF_GRID,
+             n_iter: int = C.SEARCH_DRAWS, folds: int = C.SEARCH_FOLDS, seed: int = C.SEED):
+    """M-S13 to its end: (search table, the best draw's forest refitted on all rows)."""
+    search = tune_rf(df, cols, y, group, grid, n_iter, folds, seed)
+    best = ast.literal_eval(search.where("is_best").first()["params"])
+    return search, train_rf(df, cols, y, seed=seed, **best)
+
+
 def save_model(model: PipelineModel, path: str) -> str:
     """S-A7: persist a fitted pipeline (Spark ML format)."""
     model.write().overwrite().save(path)

@@ -135,6 +135,10 @@ def impute_group_median(df: DataFrame, cols: list[str] | None = None,
     for c in todo:
         filled = filled.withColumn(c, F.coalesce(F.col(c).cast("double"), F.col(f"_gm_{c}")))
     filled = filled.drop(*[f"_gm_{c}" for c in todo])
+    left = filled.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in todo]).first()
+    todo = [c for c in todo if left[c] > 0]               # groups without any value
+    if not todo:
+        return filled.select(*df.columns)
     glob = _medians(filled, [], todo, approx)
     # one value per imputed column, attached as lazy scalar subqueries
     g = scalars(glob)

@@ -1,11 +1,11 @@
 """Joins whose small side is broadcast only behind a size check.
 
-``join_small`` materialises the (already aggregated) small side, counts it with
-``limit(max_rows + 1)`` and broadcasts it only when the count proves it fits;
-otherwise it falls back to a shuffle join, where AQE's skew-join handling splits
-any hot key of the large side. The small side is cached so the count and the
-join read it once; a lost executor only means the cache is recomputed from
-lineage.
+``join_small`` writes the (already aggregated) small side as a stage table in the
+shared folder, counts it with a plain partial aggregate and broadcasts it only
+when the count proves it fits; otherwise it falls back to a shuffle join, where
+AQE's skew-join handling splits any hot key of the large side. The side is
+computed once whatever its size, nothing is held in memory, and a lost executor
+only means that the stage is read again.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import materialize
+
 # Broadcast at most this many rows / estimated bytes (overridable per session
 # with ``spark.scoutlens.broadcastMaxRows`` / ``spark.scoutlens.broadcastMaxBytes``).
 DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
@@ -50,23 +52,23 @@ def row_width(schema: T.StructType) -> int:
 
 def fits_broadcast(small: DataFrame, max_rows: int | None = None) -> bool:
     """True when ``small`` provably fits a broadcast: at most ``max_rows`` rows and at
-    most ``spark.scoutlens.broadcastMaxBytes`` estimated bytes (one bounded job)."""
+    most ``spark.scoutlens.broadcastMaxBytes`` estimated bytes (one count per task)."""
     limit = broadcast_limit(small) if max_rows is None else max_rows
     max_bytes = _conf_int(small, "spark.scoutlens.broadcastMaxBytes", DEFAULT_BROADCAST_MAX_BYTES)
     limit = min(limit, max_bytes // row_width(small.schema))
-    return small.limit(limit + 1).count() <= limit
+    return small.agg(F.count(F.lit(1))).first()[0] <= limit
 
 
 def join_small(big: DataFrame, small: DataFrame, on, how: str = "left",
-               max_rows: int | None = None, cache: bool = True) -> DataFrame:
-    """Join ``big`` with ``small``; broadcast ``small`` only if its size is proven."""
-    if cache:
-        small = small.cache()
-    if fits_broadcast(small, max_rows):
-        return big.join(F.broadcast(small), on, how)
-    if cache:
-        small.unpersist()   # too big to broadcast: do not hold it in memory
-    return big.join(small, on, how)
+               max_rows: int | None = None, stage: bool = True) -> DataFrame:
+    """Join ``big`` with ``small``; broadcast ``small`` only if its size is proven.
+
+    ``on`` names columns, or is a function of the staged side giving the condition.
+    ``stage=False``: ``small`` is a table that is cheap to read twice."""
+    if stage:
+        small = materialize(small, "side")
+    cond = on(small) if callable(on) else on
+    return big.join(F.broadcast(small) if fits_broadcast(small, max_rows) else small, cond, how)
 
 
 def scalars(one_row: DataFrame) -> dict:

@@ -11,8 +11,8 @@ compute *prefix sums over sorted values* in a distributed way:
    many partitions (balanced: every key is now unique);
 3. per partition, running sums in sorted order (Arrow batches, ``mapInPandas``),
    carried across batches;
-4. the per-partition table is checkpointed (partition ids must refer to one
-   physical partitioning), then per (partition, group) totals -> a tiny table
+4. the per-partition table is written as a stage table (partition ids must refer
+   to one physical partitioning), then per (partition, group) totals -> a tiny table
    (at most groups + partitions rows) whose per-group running sum over
    partition ids gives each partition's offset; joined back behind a size
    check.
@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import checkpoint_dir
+from ..session import materialize
 from .joins import join_small
 
 _V = "_v"
@@ -100,8 +100,11 @@ def prefix_sums(df: DataFrame, group_cols: list[str], order_col: str,
     exprs = [F.lit(1).cast("double").alias("n")] + [
         F.coalesce(sums[s].cast("double"), F.lit(0.0)).alias(s) for s in names[1:]
     ]
-    base = df.where(F.col(order_col).isNotNull()).select(
-        *[F.col(c) for c in group_cols], F.col(order_col).alias(_V), *exprs)
+    value = F.col(order_col)
+    if isinstance(df.schema[order_col].dataType, (T.DoubleType, T.FloatType)):
+        value = F.when(~F.isnan(value), value)               # NaN is missing, as in pandas
+    base = df.select(*[F.col(c) for c in group_cols], value.alias(_V), *exprs) \
+        .where(F.col(_V).isNotNull())
     vorder = F.col(_V).desc() if descending else F.col(_V).asc()
     sort_keys = [F.col(c).asc() for c in group_cols] + [vorder]
     # equal (group, value) pairs are combined map-side first, so a hot value
@@ -121,11 +124,9 @@ def prefix_sums(df: DataFrame, group_cols: list[str], order_col: str,
     local = agg.mapInPandas(_local_prefix(group_cols, names), out_schema)
     # Partition ids are only meaningful for one physical evaluation (AQE may
     # coalesce the range partitions differently each time the sub-plan is
-    # planned), so the per-partition table is materialised once with a reliable
-    # checkpoint in the shared checkpoint folder; both the offsets and the
-    # final join read the same files, and lineage is cut.
-    checkpoint_dir(df.sparkSession)
-    local = local.checkpoint(eager=True)
+    # planned), so the per-partition table is written once as a stage table in
+    # the shared folder; both the offsets and the final join read its files.
+    local = materialize(local, "prefix")
 
     part = local.groupBy(_PID, *group_cols).agg(
         *[F.sum(f"{s}_eq").alias(f"{s}_part") for s in names])
@@ -140,9 +141,14 @@ def prefix_sums(df: DataFrame, group_cols: list[str], order_col: str,
     )
     # null-safe equality on the group keys
     ren = offs.select(*[F.col(c).alias(f"_o_{c}") for c in offs.columns])
-    cond = [local[_PID] == ren[f"_o_{_PID}"]] + [
-        local[c].eqNullSafe(ren[f"_o_{c}"]) for c in group_cols]
-    joined = join_small(local, ren, cond, "inner")
+
+    def same(r):
+        cond = local[_PID] == r[f"_o_{_PID}"]
+        for c in group_cols:
+            cond = cond & local[c].eqNullSafe(r[f"_o_{c}"])
+        return cond
+
+    joined = join_small(local, ren, same, "inner")
     cols = [F.col(c) for c in group_cols] + [F.col(_V).alias(order_col)]
     for s in names:
         cols += [
@@ -167,9 +173,12 @@ def exact_quantiles(df: DataFrame, group_cols: list[str], value_col: str,
     first, last = F.col("n_lt"), F.col("n_lt") + F.col("n_eq") - 1
     has_lo = (first <= lo) & (lo <= last)
     has_hi = (first <= hi) & (hi <= last)
-    cand = (ps.withColumn("p", F.explode(p_arr))
-            .withColumn("_has_lo", has_lo).withColumn("_has_hi", has_hi)
-            .where(F.col("_has_lo") | F.col("_has_hi")))
+    # only the probabilities whose rank falls on this value are unfolded
+    at = lambda p, edge: (F.col("n_lt") <= edge((F.col("n_tot") - 1) * p)) \
+        & (edge((F.col("n_tot") - 1) * p) < F.col("n_lt") + F.col("n_eq"))
+    hits = F.filter(p_arr, lambda p: at(p, F.floor) | at(p, F.ceil))
+    cand = (ps.withColumn("p", F.explode(hits))
+            .withColumn("_has_lo", has_lo).withColumn("_has_hi", has_hi))
     agg = cand.groupBy(*group_cols, "p").agg(
         F.min(F.when(F.col("_has_lo"), F.col(value_col))).alias("_vlo"),
         F.max(F.when(F.col("_has_hi"), F.col(value_col))).alias("_vhi"),

@@ -58,6 +58,15 @@ def check_numeric(df: DataFrame, cols: list[str]) -> DataFrame:
     return agg.selectExpr(f"stack({len(cols)}, {pairs}) AS (column, n_bad)")
 
 
+def check_numbers(df: DataFrame, cols=C.NUMERIC_CHECK_COLUMNS) -> None:
+    """Raise naming every listed column that holds text that is no number (whole table)."""
+    have = [c for c in cols if c in df.columns]
+    bad = [r for r in check_numeric(df, have).where("n_bad > 0").collect()] if have else []   # a row per column
+    if bad:
+        raise SchemaValidationError("non-numeric values in: " + ", ".join(
+            f"{r['column']} ({r['n_bad']})" for r in sorted(bad, key=lambda r: r["column"])))
+
+
 def validate(df: DataFrame, roles: C.Roles = C.DEFAULT_ROLES, div1=C.FEEDER_DIV1_LEAGUES,
              critical=("playername", "teamname", "league", "position"),
              min_players: int = 10) -> DataFrame:
@@ -75,7 +84,7 @@ def validate(df: DataFrame, roles: C.Roles = C.DEFAULT_ROLES, div1=C.FEEDER_DIV1
         (F.count_if(F.col(roles.target)) if has_t else F.lit(None).cast("long")).alias("n_target"),
     ] + [F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in crit]
     a = df.agg(*aggs)
-    rate = F.round(F.col("n_target") * 100.0 / F.col("n_rows"), 2)
+    rate = F.round(F.try_divide(F.col("n_target") * 100.0, F.col("n_rows")), 2)
     crit_ok = F.lit(True)
     for c in crit:
         crit_ok = crit_ok & (F.col(f"null_{c}") == 0)

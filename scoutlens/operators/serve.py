@@ -56,12 +56,12 @@ def attach_archetype(df: DataFrame, profiles: DataFrame, position: str = "positi
     """
     p = profiles.select(F.lower(F.col(position)).alias("_lp"), F.col(cluster).alias("_lc"),
                         F.col("archetype").alias("_la"))
-    j = join_small(df, p, (F.lower(df[position]) == p["_lp"]) & (df[cluster] == p["_lc"]), "left")
+    j = join_small(df, p, lambda p: (F.lower(df[position]) == p["_lp"]) & (df[cluster] == p["_lc"]), "left")
     return j.withColumn(out, F.coalesce(F.col("_la"), F.lit(default))).drop("_lp", "_lc", "_la")
 
 
 def shortlist(scores: DataFrame, clusters: DataFrame, profiles: DataFrame, keys: list[str],
-              positions=None, leagues=None, min_score: float = 0.0, archetype: str | None = None,
+              positions=None, leagues=None, min_score: float | None = None, archetype: str | None = None,
               score: str = "talent_score") -> DataFrame:
     """P-C10: scores ⟕ clusters, archetype = stored else rebuilt by lookup, filtered."""
     j = attach_clusters(scores, clusters, keys)
@@ -157,7 +157,7 @@ def same_cluster(df: DataFrame, player_col: str, player, score: str, tiebreak: l
     ref = best_per(df.where(F.col(player_col) == F.lit(player)), [player_col], score, tiebreak)
     key = ref.select(F.col(part).alias("_rp"), F.col(cluster).alias("_rc"))
     others = df.where(F.col(player_col) != F.lit(player))
-    sim = join_small(others, key, (others[part] == key["_rp"]) & (others[cluster] == key["_rc"]),
+    sim = join_small(others, key, lambda k: (others[part] == k["_rp"]) & (others[cluster] == k["_rc"]),
                      "inner").drop("_rp", "_rc").withColumn("is_reference", F.lit(False))
     return ref.withColumn("is_reference", F.lit(True)).unionByName(sim) \
         .orderBy(F.col("is_reference").desc(), F.col(score).desc_nulls_last(),

@@ -11,7 +11,8 @@ none.
 * **S** score rows  : events (player = user, position = league = event type)
 * **K** cluster rows: one row per (user, event type, year, split) of events
 * **D** supervised  : documents ⋈ labels
-* **V** vectors     : embeddings, first 9 dimensions as the 9 clustering features
+* **V** vectors     : embeddings, every dimension as a feature (``wide_vectors``); the
+  operators that name the nine clustering features read them from nine dimensions
 """
 
 from __future__ import annotations
@@ -28,24 +29,9 @@ MATCH_KEYS = ["playername", "league", "_source_year", "position"]
 MATCH_PEERS = ["league", "_source_year", "position"]
 
 
-SPREAD_MIN_BYTES = 4 << 20   # smaller single-split tables are cheaper read as they are
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read a test table. Each test table is one parquet row group, which Spark
-    cannot split, so a scan with fewer splits than task slots is spread over
-    the slots (hash on all columns: deterministic on retry). Inputs made of many
-    files / row groups — any cluster-sized table — are left as scanned."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    try:
-        slots = spark.sparkContext.defaultParallelism
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()  # file-size estimate
-        splits = df.rdd.getNumPartitions()                                      # planning only
-    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: read as is
-        return df
-    if splits < slots and int(str(size)) >= SPREAD_MIN_BYTES:
-        df = df.repartition(slots, *df.columns)
-    return df
+    """A test table as scanned: columns and filters of the query reach the file."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # --- M ----------------------------------------------------------------------------
@@ -187,10 +173,11 @@ SELECT DISTINCT lower(position) AS position, cluster, archetype FROM k WHERE arc
 
 # --- D ----------------------------------------------------------------------------
 
-def supervised(spark: SparkSession, sf_dir: str) -> DataFrame:
+def supervised(spark: SparkSession, sf_dir: str, how: str = "inner") -> DataFrame:
+    """Labelled documents; ``how="left"``: every document, the labels NULL where there are none."""
     d = table(spark, sf_dir, "documents")
     lb = table(spark, sf_dir, "labels")
-    j = d.join(lb, "doc_id")
+    j = d.join(lb, "doc_id", how)
     words = F.size(F.split(F.trim(F.col("text")), r"\s+"))
     return j.select(
         F.col("doc_id").alias("row_id"),
@@ -209,6 +196,10 @@ def supervised(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 D_FEATURES = ["f_chars", "f_words", "f_word_len", "f_digits", "f_upper"]
 
+D_ALL_SQL = """
+SELECT d.doc_id AS row_id, d.lang AS position, l.toxic AS y FROM documents d LEFT JOIN labels l USING (doc_id)
+"""
+
 D_SQL = """
 SELECT d.doc_id AS row_id, d.source AS "group", d.lang AS position, l.toxic AS y,
        l.quality AS quality, CAST(d.n_chars AS DOUBLE) AS score,
@@ -239,6 +230,26 @@ V_SQL = "SELECT vec_id AS row_id, 'v' || CAST(vec_id AS VARCHAR) AS playername,
         ) + " FROM embeddings"
 
 
+WIDTH = 64                                    # dimensions of the embeddings
+WIDE = [f"x{i}" for i in range(WIDTH)]
+
+
+def wide_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """V with every dimension as a feature."""
+    e = table(spark, sf_dir, "embeddings")
+    return e.select(
+        F.col("vec_id").alias("row_id"),
+        F.concat(F.lit("v"), F.col("vec_id").cast("string")).alias("playername"),
+        F.col("label").cast("string").alias("position"),
+        ((F.col("vec_id") % 11) == 0).alias("promoted_to_lec"),
+        *[F.col("embedding")[i].cast("double").alias(f) for i, f in enumerate(WIDE)])
+
+
+WIDE_SQL = "SELECT vec_id AS row_id, 'v' || CAST(vec_id AS VARCHAR) AS playername, " \
+           "CAST(label AS VARCHAR) AS position, (vec_id % 11) = 0 AS promoted_to_lec, " + ", ".join(
+               f"CAST(embedding[{i + 1}] AS DOUBLE) AS {f}" for i, f in enumerate(WIDE)) + " FROM embeddings"
+
+
 def with_ctes(body: str, *ctes: tuple[str, str]) -> str:
     """``WITH a AS (...), b AS (...) <body>``."""
     if not ctes:

@@ -2,7 +2,8 @@
 
 ``clean_match`` = names normalised + dated target (§3.1 steps 5-8 on M);
 ``feature_rows`` = participation + per-split aggregate (§3.2, before min games);
-``feature_table`` = + min games + peer z-scores. All lazy.
+``feature_table`` = + min games + peer z-scores. The match join and the per-split table are
+written as stage tables when the plan is built.
 """
 
 from __future__ import annotations
@@ -10,13 +11,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import clean, features, target
-from ..session import checkpoint_dir
 from ..sources import files
 from . import bindings as B
 
 
 def clean_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = clean.normalize_name(B.match(spark, sf_dir))
+    # the match join runs once: the debut lookup and every later pass read the stage
+    m = stage(clean.normalize_name(B.match(spark, sf_dir)))
     return target.dated_target(m, roles=B.MATCH_ROLES)
 
 
@@ -34,14 +35,11 @@ def stage(df: DataFrame) -> DataFrame:
 def feature_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-split feature rows from the clean match stage.
 
-    The large clean table is staged as parquet; the per-split table (one row
-    per player x split, orders of magnitude smaller) is cut from its lineage
-    with a reliable checkpoint, which the z-score passes then read.
+    The per-split table (one row per player x split, orders of magnitude smaller
+    than the staged match table) is a stage too, which the z-score passes read.
     """
-    m = features.kill_participation(stage(clean_match(spark, sf_dir)), B.MATCH_ROLES)
-    agg = features.aggregate_players(m, B.MATCH_KEYS, roles=B.MATCH_ROLES)
-    checkpoint_dir(spark)
-    return agg.checkpoint(eager=True)
+    m = features.kill_participation(clean_match(spark, sf_dir), B.MATCH_ROLES)
+    return stage(features.aggregate_players(m, B.MATCH_KEYS, roles=B.MATCH_ROLES))
 
 
 def feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:

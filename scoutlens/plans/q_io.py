@@ -76,4 +76,74 @@ def appearance_extract(spark, d):
         B.table(spark, d, "lineitem"), B.table(spark, d, "orders"), B.table(spark, d, "customer"),
         PAIRS, line_game="l_orderkey", line_player="l_suppkey", game_id="o_orderkey",
         game_tournament="o_custkey", game_date="o_orderdate", tournament_id="c_custkey",
-        tournament_league="c_mktsegment")
+        tournament_league="c_mktsegment").select("player", "game", "league", "year")
+
+
+@query("appearance_detail", """
+SELECT l.l_suppkey AS player, l.l_orderkey AS game, c.c_mktsegment AS league,
+       CAST(year(o.o_orderdate) AS INTEGER) AS year, strftime(o.o_orderdate, '%Y-%m-%d %H:%M:%S') AS date,
+       l.l_returnflag AS team, l.l_linestatus AS role, l.l_partkey AS champion
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+JOIN customer c ON o.o_custkey = c.c_custkey
+WHERE c.c_mktsegment = 'MACHINERY' AND year(o.o_orderdate) = 1998""")
+def appearance_detail(spark, d):
+    out = appearances.appearances(
+        B.table(spark, d, "lineitem"), B.table(spark, d, "orders"), B.table(spark, d, "customer"),
+        PAIRS[1:2], line_game="l_orderkey", line_player="l_suppkey", game_id="o_orderkey",
+        game_tournament="o_custkey", game_date="o_orderdate", tournament_id="c_custkey",
+        tournament_league="c_mktsegment",
+        line_more={"team": "l_returnflag", "role": "l_linestatus", "champion": "l_partkey"})
+    return finish(out.withColumn("date", F.col("date").cast("timestamp")))
+
+
+@query("roster_extract", """
+SELECT DISTINCT o.o_orderpriority AS league, CAST(year(o.o_orderdate) AS INTEGER) AS year,
+       l.l_returnflag AS team, l.l_suppkey AS player, l.l_linestatus AS role
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+WHERE (o.o_orderpriority = '1-URGENT' AND year(o.o_orderdate) = 1996)
+   OR (o.o_orderpriority = '2-HIGH' AND year(o.o_orderdate) = 1997)""")
+def roster_extract(spark, d):
+    return appearances.rosters(
+        B.table(spark, d, "lineitem"), B.table(spark, d, "orders"), [("1-URGENT", 1996), ("2-HIGH", 1997)],
+        entry_tournament="l_orderkey", entry_player="l_suppkey", entry_team="l_returnflag",
+        entry_role="l_linestatus", tournament_id="o_orderkey", tournament_league="o_orderpriority",
+        tournament_date="o_orderdate")
+
+
+@query("json_documents", W("""
+SELECT 'career' AS document, CAST(playername AS VARCHAR) AS key, CAST(_source_year AS VARCHAR) AS item,
+       list_aggregate(list_sort(list(DISTINCT league)), 'string_agg', ',') AS value FROM c GROUP BY playername, _source_year
+UNION ALL SELECT 'metric', league, 'rows', CAST(count(*) AS VARCHAR) FROM c GROUP BY league
+UNION ALL SELECT 'freshness', strftime(max(date), '%Y-%m-%d'), CAST(count(DISTINCT playername) AS VARCHAR),
+       CAST(count(*) AS VARCHAR) FROM c
+UNION ALL SELECT 'k_score', league, CAST(_source_year AS VARCHAR), CAST(count(*) AS VARCHAR) FROM c
+  GROUP BY league, _source_year""", ("c", B.C_SQL)))
+def json_documents(spark, d):
+    """Careers, metrics, freshness and k scores written as JSON and read back."""
+    c = B.career(spark, d)
+
+    def back(df, name, read):
+        return read(spark, files.write_json(df, files.stage_path(spark, name)))
+
+    per = c.groupBy("playername", "_source_year").agg(F.collect_list("league").alias("l"))
+    career = per.groupBy(F.col("playername").cast("string").alias("player")).agg(F.map_from_entries(F.collect_list(
+        F.struct(F.col("_source_year").cast("string"), "l"))).alias("career"))
+    metric = c.groupBy("league").agg(F.count("*").cast("double").alias("n"))
+    metric = metric.agg(F.map_from_entries(F.collect_list(F.struct(
+        "league", F.create_map(F.lit("rows"), "n")))).alias("models"))
+    fresh = c.agg(F.date_format(F.max("date"), "yyyy-MM-dd").alias("data_max_date"), F.count("*").alias("n_rows"),
+                  F.array_sort(F.collect_set("_source_year")).alias("data_years"),
+                  F.countDistinct("playername").alias("n_players"))
+    scores = c.groupBy(F.col("league").alias("position"), F.col("_source_year").alias("k")).agg(
+        F.count("*").cast("double").alias("inertia"))
+    text = lambda c: F.col(c).cast("string")
+    whole = lambda c: F.col(c).cast("long").cast("string")
+    rows = [
+        back(career, "careers", files.read_careers).select(
+            F.lit("career").alias("document"), F.col("player").alias("key"), text("year").alias("item"),
+            F.array_join("leagues", ",").alias("value")),
+        back(metric, "metrics", files.read_metrics).select(F.lit("metric"), "model", "metric", whole("value")),
+        back(fresh, "freshness", files.read_freshness).select(
+            F.lit("freshness"), "data_max_date", text("n_players"), text("n_rows")),
+        back(scores, "k_scores", files.read_k_scores).select(F.lit("k_score"), "position", text("k"), whole("inertia"))]
+    return rows[0].union(rows[1]).union(rows[2]).union(rows[3])

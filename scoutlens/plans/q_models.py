@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -19,6 +18,8 @@ from .q_stats import PROF_SQL, VC, archetype_sql
 W = B.with_ctes
 FC = flows.FEATURE_CTES
 V = ("v", B.V_SQL)
+X = ("x", B.WIDE_SQL)
+WIDE = B.WIDE
 FEATS = C.CLUSTER_FEATURES
 DF = B.D_FEATURES
 FEEDERS = ["2-HIGH", "3-MEDIUM"]
@@ -51,31 +52,26 @@ def feature_rows(spark, d):
 # --- trained models (rows-only checks) --------------------------------------------------
 
 def _d(spark, d):
+    """Labelled documents: what models are fitted on."""
     return B.supervised(spark, d)
 
 
-@query("lr_scores")
-def lr_scores(spark, d):
-    df = _d(spark, d)
-    model = S.train_lr(df, DF, "y")
-    out = S.score_all(model, df, DF, part="position")
-    return finish(out.select("row_id", "position", "talent_score", "score_percentile"))
+def _all(spark, d):
+    """Every document, labelled or not: what models score."""
+    return B.supervised(spark, d, "left")
 
 
-@query("rf_scores")
-def rf_scores(spark, d):
-    df = _d(spark, d)
-    model = S.train_rf(df, DF, "y")
-    out = S.score_all(model, df, DF, part="position")
-    return finish(out.select("row_id", "position", "talent_score", "score_percentile"))
+def _scored(train):
+    def run(spark, d):
+        model = train(_d(spark, d), DF, "y")
+        return finish(S.score_all(model, _all(spark, d), DF, part="position").select(
+            "row_id", "position", "talent_score", "score_percentile"))
+    return run
 
 
-@query("gbt_scores")
-def gbt_scores(spark, d):
-    df = _d(spark, d)
-    model = S.train_gbt(df, DF, "y")
-    out = S.score_all(model, df, DF, part="position")
-    return finish(out.select("row_id", "position", "talent_score", "score_percentile"))
+lr_scores = query("lr_scores")(_scored(S.train_lr))
+rf_scores = query("rf_scores")(_scored(S.train_rf))
+gbt_scores = query("gbt_scores")(_scored(S.train_gbt))
 
 
 @query("feature_importances")
@@ -88,24 +84,78 @@ def feature_importances(spark, d):
 
 @query("rf_tuning")
 def rf_tuning(spark, d):
+    # fewer draws and smaller forests than tuned_rf's defaults: the full search takes hours of
+    # tree building on one machine whatever the data's size (README, "Not done")
     grid = {"num_trees": [20, 50], "max_depth": [3, 5], "min_instances": [1, 4]}
     return finish(S.tune_rf(_d(spark, d), DF, "y", "group", grid, n_iter=3, folds=3))
 
 
 @query("calibrated_scores")
 def calibrated_scores(spark, d):
-    out = S.calibrated_scores(_d(spark, d), DF, "y")
-    return finish(out.select("row_id", "y", "p_calibrated"))
+    fitted = S.fit_calibrated(_d(spark, d), DF, "y")
+    return finish(S.apply_calibrated(fitted, _all(spark, d), DF).select("row_id", "y", "p_calibrated"))
 
 
 @query("score_all_players")
 def score_all_players(spark, d):
-    df = _d(spark, d)
-    out = S.score_all(S.train_lr(df, DF, "y"), df, DF, part="position")
+    """Calibrated probability of every document and its percentile in its position."""
+    fitted = S.fit_calibrated(_d(spark, d), DF, "y")
+    out = S.score_probability(S.apply_calibrated(fitted, _all(spark, d), DF), "p_calibrated")
     return finish(out.select("row_id", "group", "position", "y", "talent_score",
                              "score_percentile"))
 
 
+SCORE_CHECKS = """
+SELECT m.model, d.position, count(*) AS n_rows, true AS in_range, true AS percentile_is_rank
+FROM d, (VALUES ('lr'), ('calibrated')) m(model) GROUP BY 1, 2"""
+
+
+@query("score_checks", W(SCORE_CHECKS, ("d", B.D_ALL_SQL)))
+def score_checks(spark, d):
+    """Per model and position: every document is scored, scores are percentages, and the
+    percentile is the average rank's share."""
+    parts = [lr_scores(spark, d).withColumn("model", F.lit("lr")),
+             score_all_players(spark, d).select("row_id", "position", "talent_score", "score_percentile")
+             .withColumn("model", F.lit("calibrated"))]
+    s = files.materialize(parts[0].unionByName(parts[1]), "scores")
+    n = s.groupBy("model", "position").agg(F.count("*").alias("n"))
+    tie = s.groupBy("model", "position", "talent_score").agg(
+        F.count("*").alias("c"), F.min("score_percentile").alias("lo"), F.max("score_percentile").alias("hi"))
+    # the average rank of a tie group is its share of all rows below plus half its own
+    below = Window.partitionBy("model", "position").orderBy("talent_score").rowsBetween(Window.unboundedPreceding, -1)
+    tie = tie.withColumn("under", F.coalesce(F.sum("c").over(below), F.lit(0))).join(n, ["model", "position"])
+    want = (F.col("under") + (F.col("c") + 1) / 2) / F.col("n") * 100
+    good = (F.abs(F.col("lo") - want) < 1e-3) & (F.abs(F.col("hi") - want) < 1e-3)
+    return tie.groupBy("model", "position").agg(
+        F.sum("c").alias("n_rows"), F.bool_and(F.col("talent_score").between(0, 100)).alias("in_range"),
+        (F.avg(good.cast("double")) > 0.99).alias("percentile_is_rank"))
+
+
+@query("importance_checks", """
+SELECT model, 5::BIGINT AS n_features, true AS sums_to_one FROM (VALUES ('lr'), ('rf')) m(model), (SELECT count(*) FROM documents)""")
+def importance_checks(spark, d):
+    out = feature_importances(spark, d).groupBy("model").agg(
+        F.count("*").alias("n_features"), (F.abs(F.sum("importance") - 1) < 1e-4).alias("sums_to_one"))
+    return out
+
+
+@query("roundtrip_checks", W("SELECT count(*) AS n_rows, true AS all_equal FROM d WHERE y IS NOT NULL", ("d", B.D_ALL_SQL)))
+def roundtrip_checks(spark, d):
+    return model_roundtrip(spark, d).agg(F.count("*").alias("n_rows"), F.bool_and("equal").alias("all_equal"))
+
+
+@query("pca_checks", W("""
+SELECT position, count(*) AS n_rows, true AS centred, true AS first_varies_most, true AS uncorrelated
+FROM x GROUP BY position""", ("x", B.WIDE_SQL)))
+def pca_checks(spark, d):
+    p = pca_2d(spark, d)
+    return p.groupBy("position").agg(
+        F.count("*").alias("n_rows"),
+        ((F.abs(F.avg("umap_x")) < 1e-4) & (F.abs(F.avg("umap_y")) < 1e-4)).alias("centred"),
+        (F.var_pop("umap_x") >= F.var_pop("umap_y") - 1e-6).alias("first_varies_most"),
+        (F.abs(F.covar_pop("umap_x", "umap_y")) < 1e-3).alias("uncorrelated"))
+
+
 @query("model_roundtrip")
 def model_roundtrip(spark, d):
     df = _d(spark, d)
@@ -124,23 +174,27 @@ def _v(spark, d):
     return B.vectors(spark, d)
 
 
+def _x(spark, d):
+    return B.wide_vectors(spark, d)
+
+
 @query("standardize_by_group", sql_finish(W("SELECT row_id, position, " + ", ".join(
     f"({f} - avg({f}) OVER w) / CASE WHEN stddev_pop({f}) OVER w > 0 THEN stddev_pop({f}) OVER w "
-    f"ELSE 1.0 END AS {f}" for f in FEATS) + " FROM v WINDOW w AS (PARTITION BY position)", V), FEATS))
+    f"ELSE 1.0 END AS {f}" for f in WIDE) + " FROM x WINDOW w AS (PARTITION BY position)", X), WIDE))
 def standardize_by_group(spark, d):
-    out = U.standardize(_v(spark, d), FEATS, ["position"])
-    return finish(out.select("row_id", "position", *FEATS))
+    out = U.standardize(_x(spark, d), WIDE, ["position"])
+    return finish(out.select("row_id", "position", *WIDE))
 
 
 def silhouette_sql(src: str, cluster_expr: str, tag: str) -> list[tuple[str, str]]:
     """CTEs computing the squared-Euclidean silhouette per position over ``src``."""
-    xx = " + ".join(f"{f} * {f}" for f in FEATS)
-    dot = " + ".join(f"p.{f} * s.s_{f}" for f in FEATS)
+    xx = " + ".join(f"{f} * {f}" for f in WIDE)
+    dot = " + ".join(f"p.{f} * s.s_{f}" for f in WIDE)
     return [
-        (f"px{tag}", f"SELECT row_id, position, {cluster_expr} AS cluster, {', '.join(FEATS)}, "
+        (f"px{tag}", f"SELECT row_id, position, {cluster_expr} AS cluster, {', '.join(WIDE)}, "
                      f"{xx} AS xx FROM {src}"),
         (f"sm{tag}", f"SELECT position, cluster AS c, count(*) AS n, sum(xx) AS q, "
-                     + ", ".join(f"sum({f}) AS s_{f}" for f in FEATS)
+                     + ", ".join(f"sum({f}) AS s_{f}" for f in WIDE)
                      + f" FROM px{tag} GROUP BY position, cluster"),
         (f"pr{tag}", f"""SELECT p.row_id, p.position, p.cluster,
            max(CASE WHEN s.c = p.cluster THEN s.n END) AS own_n,
@@ -154,30 +208,31 @@ def silhouette_sql(src: str, cluster_expr: str, tag: str) -> list[tuple[str, str
     ]
 
 
-@query("silhouette_squared", sql_finish(W("SELECT * FROM sil3", V, *silhouette_sql(
-    "v", "CAST(row_id % 3 AS INTEGER)", "3")), ["silhouette"]))
+@query("silhouette_squared", sql_finish(W("SELECT * FROM sil3", X, *silhouette_sql(
+    "x", "CAST(row_id % 3 AS INTEGER)", "3")), ["silhouette"]))
 def silhouette_squared(spark, d):
-    v = _v(spark, d).withColumn("cluster", (F.col("row_id") % 3).cast("int"))
-    return finish(U.silhouette(v, "cluster", FEATS, ["position"]))
+    v = _x(spark, d).withColumn("cluster", (F.col("row_id") % 3).cast("int"))
+    return finish(U.silhouette(v, "cluster", WIDE, ["position"]))
 
 
-KS = [2, 3, 4]
+KS = list(C.K_RANGE)
+GLOBAL_KS = list(range(3, 10))
 
 
 def _fixed_sweep(spark, d):
-    v = _v(spark, d)
-    parts = [U.silhouette(v.withColumn("cluster", (F.col("row_id") % k).cast("int")), "cluster",
-                          FEATS, ["position"]).withColumn("k", F.lit(k)) for k in KS]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    """Silhouettes of fixed assignments for every k, in one plan."""
+    v = _x(spark, d).withColumn("k", F.explode(F.array(*[F.lit(k) for k in KS])))
+    v = v.withColumn("cluster", (F.col("row_id") % F.col("k")).cast("int"))
+    return U.silhouette(v, "cluster", WIDE, ["position", "k"])
 
 
-SWEEP_CTES = [c for k in KS for c in silhouette_sql("v", f"CAST(row_id % {k} AS INTEGER)", str(k))]
+SWEEP_CTES = [c for k in KS for c in silhouette_sql("x", f"CAST(row_id % {k} AS INTEGER)", str(k))]
 SWEEP_SQL = ("sw", " UNION ALL ".join(f"SELECT position, {k} AS k, silhouette FROM sil{k}" for k in KS))
 BEST_SQL = ("bk", "SELECT position, arg_max(k, (silhouette, -k)) AS best_k, "
                   "max(silhouette) AS best_silhouette FROM sw GROUP BY position")
 
 
-@query("best_k", sql_finish(W("SELECT * FROM bk", V, *SWEEP_CTES, SWEEP_SQL, BEST_SQL),
+@query("best_k", sql_finish(W("SELECT * FROM bk", X, *SWEEP_CTES, SWEEP_SQL, BEST_SQL),
                             ["best_silhouette"]))
 def best_k_q(spark, d):
     return finish(U.best_k(_fixed_sweep(spark, d), ["position"]))
@@ -187,7 +242,7 @@ def best_k_q(spark, d):
 SELECT p.position, p.n_rows, p.best_archetype, p.best_rate, bk.best_k, bk.best_silhouette FROM (
   SELECT position, CAST(sum(n_players) AS BIGINT) AS n_rows, arg_max(archetype, (promo_rate, -cluster)) AS best_archetype,
          max(promo_rate) AS best_rate FROM prof GROUP BY position) p
-LEFT JOIN bk USING (position)""", V, VC, PROF_SQL, *SWEEP_CTES, SWEEP_SQL, BEST_SQL),
+LEFT JOIN bk USING (position)""", V, X, VC, PROF_SQL, *SWEEP_CTES, SWEEP_SQL, BEST_SQL),
     ["best_rate", "best_silhouette"]))
 def position_summary(spark, d):
     v = _v(spark, d).withColumn("cluster", (F.col("row_id") % 3).cast("int"))
@@ -205,44 +260,70 @@ def archetype_rules(spark, d):
 
 SIM_Z = ("z", "SELECT row_id, playername, position, " + ", ".join(
     f"({f} - avg({f}) OVER ()) / CASE WHEN stddev_pop({f}) OVER () > 0 THEN stddev_pop({f}) OVER () "
-    f"ELSE 1.0 END AS {f}" for f in FEATS) + " FROM v")
+    f"ELSE 1.0 END AS {f}" for f in WIDE) + " FROM x")
 
 
 @query("similar_players", sql_finish(W("""
 SELECT z.row_id, z.playername, z.position, sqrt(""" + " + ".join(
-    f"(z.{f} - t.{f}) * (z.{f} - t.{f})" for f in FEATS) + """) AS similarity_distance
+    f"(z.{f} - t.{f}) * (z.{f} - t.{f})" for f in WIDE) + """) AS similarity_distance
 FROM z, (SELECT * FROM z WHERE lower(playername) = 'v7' ORDER BY row_id LIMIT 1) t
 WHERE lower(z.playername) <> 'v7' OR z.playername IS NULL
-ORDER BY similarity_distance, z.row_id LIMIT 5""", V, SIM_Z), ["similarity_distance"]))
+ORDER BY similarity_distance, z.row_id LIMIT 5""", X, SIM_Z), ["similarity_distance"]))
 def similar_players(spark, d):
-    out = U.similar(_v(spark, d), "playername", "V7", FEATS, 5)
+    out = U.similar(_x(spark, d), "playername", "V7", WIDE, 5)
     return finish(out.select("row_id", "playername", "position", "similarity_distance"))
 
 
 @query("kmeans_k_sweep")
 def kmeans_k_sweep(spark, d):
-    return finish(U.k_sweep(_v(spark, d), FEATS, "position", ks=KS, n_init=2))
+    return finish(U.k_sweep(_x(spark, d), WIDE, "position", ks=KS))
 
 
 @query("elbow_table")
 def elbow_table(spark, d):
-    sw = U.k_sweep(_v(spark, d), FEATS, "position", ks=KS, n_init=2)
+    sw = U.k_sweep(_x(spark, d), WIDE, "position", ks=KS)
     return finish(sw.select("position", "k", "inertia", "silhouette", "is_best"))
 
 
 @query("cluster_by_position")
 def cluster_by_position(spark, d):
-    v = _v(spark, d)
-    best = {r["position"]: 3 for r in v.select("position").distinct().collect()}  # positions
-    out = U.cluster_by_position(v, FEATS, best, n_init=3)
-    return out.select("row_id", "position", "cluster")
+    x = _x(spark, d)
+    best = U.k_sweep(x, WIDE, "position", ks=KS).where("is_best")
+    return U.cluster_by_position(x, WIDE, best).select("row_id", "position", "cluster")
 
 
 @query("pca_2d")
 def pca_2d(spark, d):
-    return finish(U.embed_2d(_v(spark, d), FEATS).select("row_id", "position", "umap_x", "umap_y"))
+    return finish(U.embed_2d(_x(spark, d), WIDE).select("row_id", "position", "umap_x", "umap_y"))
 
 
 @query("kmeans_global")
 def kmeans_global(spark, d):
-    return finish(U.k_sweep(_v(spark, d), FEATS, None, ks=[3, 4, 5], n_init=2))
+    return finish(U.k_sweep(_x(spark, d), WIDE, None, ks=GLOBAL_KS))
+
+
+# --- what SQL can say about a trained model's output ------------------------------------
+
+@query("kmeans_checks", W("""
+SELECT position, count(*) AS n_rows, true AS all_clustered, true AS nearest_centre, true AS lower_with_k
+FROM x GROUP BY position""", X))
+def kmeans_checks(spark, d):
+    """Per position: each row has a cluster, the inertia falls as k grows, and each row is
+    nearest to its own cluster's mean (a converged K-Means)."""
+    x = _x(spark, d)
+    sweep = files.materialize(U.k_sweep(x, WIDE, "position", ks=KS), "sweep")
+    falls = sweep.groupBy("position").agg(F.array_sort(F.collect_list(F.struct("k", "inertia"))).alias("s"))
+    falls = falls.select("position", F.forall(F.sequence(F.lit(2), F.size("s")), lambda i: F.element_at("s", i)["inertia"]
+                                              <= F.element_at("s", i - 1)["inertia"] * 1.02).alias("lower_with_k"))
+    done = files.materialize(U.cluster_by_position(x, WIDE, sweep.where("is_best")), "clusters")
+    z = U.standardize(done, WIDE, ["position"])
+    point = z.select("position", "cluster", F.array(*WIDE).alias("p"))
+    mean = point.groupBy("position", "cluster").agg(F.array(*[F.avg(F.col("p")[i]) for i in range(len(WIDE))]).alias("m"))
+    means = mean.groupBy("position").agg(F.collect_list(F.struct("cluster", "m")).alias("ms"))
+    gap = lambda a, b: F.aggregate(F.zip_with(a, b, lambda u, v: (u - v) * (u - v)), F.lit(0.0), lambda s, e: s + e)
+    row = point.join(means, "position").select("position", "cluster", F.transform(
+        "ms", lambda m: F.struct(gap(F.col("p"), m["m"]).alias("far"), m["cluster"].alias("c"))).alias("g"))
+    near = row.groupBy("position").agg(
+        F.count("*").alias("n_rows"), F.bool_and(F.col("cluster") >= 0).alias("all_clustered"),
+        (F.avg((F.array_min("g")["c"] == F.col("cluster")).cast("double")) > 0.98).alias("nearest_centre"))
+    return near.join(falls, "position")

@@ -15,6 +15,8 @@ All paths may be HDFS / object-store URIs.
 
 from __future__ import annotations
 
+import ast
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,12 +51,13 @@ def clean_stage(spark: SparkSession, raw_dir: str, years, out: str | None = None
                 pattern: str = "{year}_*.csv", horizon: int = C.HORIZON_MONTHS) -> DataFrame:
     """§3.1: read + check -> filters -> projection -> names -> missing values -> target."""
     raw = files.load_yearly(spark, raw_dir, list(years), pattern, required=C.REQUIRED_COLUMNS,
-                            optional=C.OPTIONAL_COLUMNS)
-    df, _missing = clean.select_known(raw, C.KEY_COLUMNS)
+                            optional=C.OPTIONAL_COLUMNS, numeric=C.NUMERIC_CHECK_COLUMNS)
+    raw = raw.withColumn("_row", F.monotonically_increasing_id())   # order of the files and their lines
+    df, _missing = clean.select_known(raw, C.KEY_COLUMNS, extra=("_source_year", "_row"))
     df = type_columns(df)
-    df = clean.filter_roles(clean.filter_targets(df, C.ALL_TARGET_LEAGUES))
+    df = clean.filter_roles(clean.filter_targets(df, C.ALL_TARGET_LEAGUES, order_col="_row")).drop("_row")
     df = clean.normalize_name(df)
-    df = clean.drop_missing(df)
+    df = files.materialize(clean.drop_missing(df), "clean")    # read by every pass of the imputation
     df = clean.impute_group_median(df)
     df = clean.fill_unknown(df)
     df = target.dated_target(df, horizon)
@@ -74,9 +77,13 @@ def feature_stage(spark: SparkSession, clean_df: DataFrame, out: str | None = No
 
 
 def scoring_stage(spark: SparkSession, feats: DataFrame, out: str | None = None,
-                  with_gbt: bool = False) -> dict:
+                  with_gbt: bool = False, tune: dict | None = None) -> dict:
     """§3.2 second half: train on the train years, compare on the test years, calibrate,
-    score every feeder row. Returns {'comparison', 'scores', 'importances'} DataFrames."""
+    score every feeder row. Returns {'comparison', 'scores', 'importances'} DataFrames.
+
+    ``tune``: arguments of the forest's randomised search (``{}``: the full grid); the
+    refitted best draw then competes as ``random_forest_tuned`` and the result has
+    ``search``."""
     cols = S.feature_columns(feats)
     split = S.oot_split(feats).withColumn(C.DEFAULT_ROLES.target,
                                           F.col(C.DEFAULT_ROLES.target).cast("int"))
@@ -87,6 +94,10 @@ def scoring_stage(spark: SparkSession, feats: DataFrame, out: str | None = None,
               "random_forest": S.train_rf(train, cols, y)}
     if with_gbt:
         models["gbt"] = S.train_gbt(train, cols, y)
+    search, tuned_args = None, {}
+    if tune is not None:
+        search, models["random_forest_tuned"] = S.tuned_rf(train, cols, y, C.DEFAULT_ROLES.player, **tune)
+        tuned_args = ast.literal_eval(search.where("is_best").first()["params"])
     scored = test
     for name, m in models.items():
         p = S.positive_probability(m, test, cols, f"p_{name}").select("playername", "league",
@@ -99,6 +110,7 @@ def scoring_stage(spark: SparkSession, feats: DataFrame, out: str | None = None,
     best_name = comparison.orderBy("rank").first()["model"]   # one row of a tiny table
     trainers = {"logistic_regression": lambda d: S.train_lr(d, cols, y),
                 "random_forest": lambda d: S.train_rf(d, cols, y),
+                "random_forest_tuned": lambda d: S.train_rf(d, cols, y, **tuned_args),
                 "gbt": lambda d: S.train_gbt(d, cols, y)}
     fitted = S.fit_calibrated(train, cols, y, train_fn=trainers[best_name])
     raw_test = S.positive_probability(models[best_name], test, cols, "p_raw")
@@ -113,7 +125,7 @@ def scoring_stage(spark: SparkSession, feats: DataFrame, out: str | None = None,
         files.write_stage(scores, f"{out}/scores")
         files.write_json(comparison, f"{out}/comparison", single_file=True)
         files.write_json(imps, f"{out}/importances", single_file=True)
-    return {"comparison": comparison, "scores": scores, "importances": imps, "brier": brier}
+    return {"comparison": comparison, "scores": scores, "importances": imps, "brier": brier, "search": search}
 
 
 def cluster_stage(spark: SparkSession, feats: DataFrame, out: str | None = None,

@@ -13,10 +13,13 @@ session only fixes the engine settings they rely on:
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -79,29 +82,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS / object store); "
                                "a machine-local scratch folder is only used in local mode")
         conf_dir = tempfile.mkdtemp(prefix="scoutlens-ckpt-")
+        atexit.register(shutil.rmtree, conf_dir, ignore_errors=True)   # only the folder made here
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
 
-def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
-                 target_partition_bytes: int = 256 << 20) -> dict:
-    """Sizing for a large cluster: shuffle partitions so that each holds about
-    ``target_partition_bytes`` of the input (at least 2 waves of tasks), scan
-    splits of the same size, AQE coalescing / skew splitting around it.
+def stage_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder for ``name`` under the shared checkpoint folder."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/stage/{name}-{uuid.uuid4().hex[:12]}"
 
-    e.g. 100 TB on 1000 executors x 8 cores -> ~400k shuffle partitions of 256 MB.
-    """
-    slots = executors * cores_per_executor
-    parts = max(2 * slots, input_bytes // target_partition_bytes)
-    return {
-        "spark.sql.shuffle.partitions": str(parts),
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes // 2),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes),
-        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
-    }
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as a parquet table under the shared checkpoint folder and read it
+    back: a stage boundary that cuts lineage (columnar and compressed, unlike an
+    RDD checkpoint) and survives executor loss."""
+    path = stage_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -16,7 +16,6 @@ Scratch and stage folders live under the session's shared checkpoint folder
 from __future__ import annotations
 
 import logging
-import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -24,26 +23,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text_bool
-from ..operators.quality import SchemaValidationError, check_columns  # noqa: F401
-from ..session import checkpoint_dir
+from ..operators.quality import SchemaValidationError, check_columns, check_numbers  # noqa: F401
+from ..session import materialize, stage_path  # noqa: F401
 
 log = logging.getLogger(__name__)
 
 
-def stage_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder for ``name`` under the shared checkpoint folder."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/stage/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` as a parquet table under the shared checkpoint folder and read it
-    back: a stage boundary that cuts lineage (columnar and compressed, unlike an
-    RDD checkpoint) and survives executor loss."""
-    path = stage_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def write_yearly_csv(df: DataFrame, root: str, year_col: str) -> str:
     """Write one CSV folder per year in a single job: ``{root}/{year_col}={year}/``."""
     (df.write.mode("overwrite").partitionBy(year_col).option("header", True)
@@ -54,24 +39,34 @@ def write_yearly_csv(df: DataFrame, root: str, year_col: str) -> str:
 
 def load_yearly(spark: SparkSession, root: str, years: list[int],
                 pattern: str = "{year}_*.csv", required=None, optional=(),
-                year_col: str = "_source_year") -> DataFrame:
+                year_col: str = "_source_year", numeric=()) -> DataFrame:
     """S-A1: multi-file yearly scan with provenance.
 
-    A missing year is skipped with a warning; an unreadable file is skipped; a
-    schema error (missing required columns) is re-raised naming every column.
+    A missing year is skipped with a warning; a schema error (missing required
+    columns, text in one of the ``numeric`` columns) is raised naming every column.
+    Each file is read under its own header, so files may order columns differently.
     All columns are read as text; typing is left to ``try_cast`` downstream.
     """
     parts = []
     for y in years:
         path = f"{root.rstrip('/')}/{pattern.format(year=y)}"
         try:
-            df = spark.read.option("header", True).option("inferSchema", False).csv(path)
+            names = spark.read.format("binaryFile").load(path).select("path").distinct().orderBy("path").collect()
         except AnalysisException as e:
             log.warning("year %s skipped: %s", y, str(e).splitlines()[0])
             continue
-        if required is not None:
-            check_columns(df, required, optional)  # raises SchemaValidationError
-        parts.append(df.withColumn(year_col, F.lit(int(y))))
+        # files with one header are one scan; another column order is a scan of its own
+        by_header: dict[tuple, list[str]] = {}
+        for r in names:                                   # one listing entry per file
+            header = tuple(spark.read.option("header", True).csv(r["path"]).columns)
+            by_header.setdefault(header, []).append(r["path"])
+        for paths in by_header.values():
+            df = spark.read.option("header", True).option("inferSchema", False).csv(paths)
+            if required is not None:
+                check_columns(df, required, optional)     # raises SchemaValidationError
+            if numeric:
+                check_numbers(df, numeric)
+            parts.append(df.withColumn(year_col, F.lit(int(y))))
     if not parts:
         raise FileNotFoundError(f"no yearly file under {root} for {years}")
     out = parts[0]
@@ -145,3 +140,29 @@ def read_profiles(spark: SparkSession, path: str) -> DataFrame:
     doc = read_json(spark, path, f"profiles map<string,array<{PROFILE_STRUCT}>>")
     per = doc.select(F.explode("profiles").alias("position", "items"))
     return per.select("position", F.inline("items"))
+
+
+def read_metrics(spark: SparkSession, path: str) -> DataFrame:
+    """S-A5: model metrics document ``{model: {metric: value}}`` -> (model, metric, value)."""
+    doc = read_json(spark, path, "models map<string,map<string,double>>")
+    per = doc.select(F.explode("models").alias("model", "metrics"))
+    return per.select("model", F.explode("metrics").alias("metric", "value"))
+
+
+def read_freshness(spark: SparkSession, path: str) -> DataFrame:
+    """S-A5: run metadata (one row): newest date, years, rows, players."""
+    return read_json(spark, path, "data_max_date string, data_years array<int>, n_rows bigint, n_players bigint")
+
+
+def read_careers(spark: SparkSession, path: str) -> DataFrame:
+    """S-A5: careers ``player -> year -> leagues`` with the leagues as sorted sets."""
+    doc = read_json(spark, path, "player string, career map<string,array<string>>")
+    rows = doc.select("player", F.explode("career").alias("year", "leagues"))
+    return rows.select("player", F.col("year").try_cast("int").alias("year"),
+                       F.array_sort(F.array_distinct("leagues")).alias("leagues"))
+
+
+def read_k_scores(spark: SparkSession, path: str) -> DataFrame:
+    """S-A5: k-sweep document -> one row per (position, k)."""
+    return read_json(spark, path, "position string, k int, inertia double, silhouette double, "
+                                  "best_k int, is_best boolean")

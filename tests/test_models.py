@@ -59,7 +59,7 @@ def test_oot_split_disjoint(spark):
 
 
 def test_clusters_and_pca(spark, sf_small):
-    v = B.vectors(spark, sf_small)
+    v = B.vectors(spark, sf_small).cache()
     sweep = U.k_sweep(v, C.CLUSTER_FEATURES, "position", ks=[2, 3], n_init=1, min_rows=5)
     assert sweep.groupBy("position").agg(F.count_if("is_best").alias("b")).agg(F.min("b")).first()[0] == 1
     best = {r.position: 2 for r in v.select("position").distinct().collect()}
