@@ -40,6 +40,7 @@ EPSILON = 2.1                       # of the hypothesis test
 BLOCK = 16                          # columns tested at once
 LIST_ROWS, QUERY_ROWS = 4096, 512   # of a cell
 SLACK = 1e-9                        # relative, for rounding
+DENSE = 0.1                         # share of pairs up to which single pairs are followed
 
 
 @dataclass(frozen=True)
@@ -179,17 +180,22 @@ def scan(x: np.ndarray, q: np.ndarray, floor: np.ndarray, rotation: np.ndarray)
     def test(partial, seen, bound):
         return partial * (d / seen) <= (1 + EPSILON / seen**0.5) ** 2 * bound
 
-    first = qr[:, blocks[0]]
-    partial = (first**2).sum(axis=1)[:, None] + (columns[0] ** 2).sum(axis=1)[None, :] - 2 * first @ columns[0].T
-    seen = columns[0].shape[1]
-    a, b = np.nonzero(test(partial, seen, limit) if seen < d else np.ones_like(partial, bool))
-    partial = partial[a, b]
-    for block, column in zip(blocks[1:], columns[1:]):
-        partial = partial + ((qr[a, block] - column[b]) ** 2).sum(axis=1)
+    alive, a, b, partial, seen = np.ones(whole.shape, bool), None, None, np.zeros(whole.shape), 0
+    for block, column in zip(blocks, columns):
         seen += column.shape[1]
-        if seen < d:
-            go = test(partial, seen, limit[a, b])
-            a, b, partial = a[go], b[go], partial[go]
+        if a is None:                                    # many pairs left: a whole block at once
+            part = qr[:, block]
+            partial += (part**2).sum(axis=1)[:, None] + (column**2).sum(axis=1)[None, :] - 2 * part @ column.T
+            if seen < d:
+                alive &= test(partial, seen, limit)
+            if seen == d or np.count_nonzero(alive) < DENSE * alive.size:
+                a, b = np.nonzero(alive)
+                partial = partial[a, b]
+        else:                                            # few: only those
+            partial = partial + ((qr[a, block] - column[b]) ** 2).sum(axis=1)
+            if seen < d:
+                go = test(partial, seen, limit[a, b])
+                a, b, partial = a[go], b[go], partial[go]
     return a, b
 
 
@@ -239,6 +245,9 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id"
         x, q = _matrix(a["vec"]), _matrix(b["vec"])
         i, j = scan(x, q, b["floor"].to_numpy(), index.rotation)
         score = np.einsum("ij,ij->i", x[j], q[i])
+        floor = b["floor"].to_numpy()[i]                 # what is below it cannot be among the k best
+        reach = score >= np.where(np.isfinite(floor), floor - SLACK * np.abs(floor), -np.inf)
+        i, j, score = i[reach], j[reach], score[reach]
         top = _best(i, score, a["rep"].to_numpy()[j], k + 1)
         return pa.table({"q": b["q"].take(pa.array(i[top])), "ids": a["ids"].take(pa.array(j[top])), "score": score[top]})
 
