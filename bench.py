@@ -41,6 +41,8 @@ HEADLINE = [
     "silhouette_squared",
     "similar_players",
     "appearance_extract",
+    "score_all_players",       # model training: calibrated scores of every document
+    "kmeans_k_sweep",          # k 3..11, 10 restarts, all dimensions, every position
 ]
 
 
