@@ -45,7 +45,8 @@ SAMPLES = 2
 SEED = 11
 SMOOTH = 0.3                        # exponent on piece probabilities, as in subword regularisation
 FAR = 7.0                           # nats of a beginning below which places stay together
-CHUNK = 6 << 20                     # bytes of text encoded together
+CHUNK = 1 << 20                     # bytes of text encoded together
+PIECES = 1 << 18                    # pieces decoded together
 _BREAK = np.zeros(256, bool)
 _BREAK[[0x09, 0x0A, 0x0D]] = True
 
@@ -95,6 +96,7 @@ class _Draws:
                 a = atom[lo:hi]
                 self.p[at[lo:hi]] = p[piece[lo:hi], 0] * beta[d + length][a, 0] / beta[d][a, 0]
 
+        self.forks = np.repeat(degree > 1, degree)       # edges of nodes with several
         self.log_p = np.log(np.maximum(self.p, 1e-300))
         # plain numbers for the search, which looks at a few nodes of each text
         self.root_view, self.offset_view, self.to_view = map(memoryview, (self.root, self.offset, self.to))
@@ -201,6 +203,8 @@ class _Search:
         sets: list = []
         while at < len(edges):
             if not whole and head_log < -FAR:
+                if not self.d.forks[edges[at:]].any():   # the rest has no other way
+                    return sets
                 rest = head_log + math.log(-math.expm1(min(log - head_log, -1e-12)))
                 self.push(rest, value, (leaf, at, head_log, node, atom, None))
                 return sets
@@ -258,15 +262,16 @@ def _encode_chunk(vocab, column, keys, samples, seed):
         per_draw = []
         for j in range(samples):
             e, f = draws.paths(inverse, T.pair(row[doc], (place * 64 + j).astype(np.uint64)))
-            per_draw.append((e, f, np.append(0.0, np.cumsum(draws.log_p[e]))))
+            per_draw.append((e, f))
     for i in range(len(bounds) - 1):
         lo, hi = int(bounds[i]), int(bounds[i + 1])
         if hi == lo:
             got, threshold = [(np.zeros(0, np.int64), 0.0)], -math.inf
         else:
             def sampled(j, lo=lo, hi=hi):
-                e, f, s = per_draw[j]
-                return e[f[lo]:f[hi]], f[lo:hi + 1] - f[lo], s[f[lo]:f[hi] + 1] - s[f[lo]]
+                e, f = per_draw[j]
+                e = e[f[lo]:f[hi]]
+                return e, f[lo:hi + 1] - f[lo], np.append(0.0, np.cumsum(draws.log_p[e]))
             got, threshold = _Search(draws, inverse[lo:hi], sampled, int(row[i])).run(samples)
         for rank, (edges, log) in enumerate(got):
             out_doc.append(i)
@@ -316,16 +321,31 @@ def _strings(data: np.ndarray, ends: np.ndarray, null: pa.Array) -> pa.Array:
     return pc.if_else(null, pa.scalar(None, pa.string()), text)
 
 
+def _list_sizes(lists: pa.Array) -> np.ndarray:
+    return pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def _slices(batches, column: str):
+    """Slices of the batches with about PIECES list elements (one row at least)."""
+    for batch in batches:
+        ends = np.append(0, np.cumsum(_list_sizes(batch.column(column))))
+        lo = 0
+        while lo < batch.num_rows:
+            hi = max(int(np.searchsorted(ends, ends[lo] + PIECES, "right")) - 1, lo + 1)
+            yield batch.slice(lo, hi - lo)
+            lo = hi
+
+
 def decode(encoded: DataFrame, ids: str = "ids", to: str = "decoded", path: str = MODEL_PATH) -> DataFrame:
     """The rows with the text that the piece ids spell (null ids: null)."""
     def apply(batches):
         vocab = L.vocabulary(path)
         begin = np.append(0, np.cumsum(vocab.length))
         spelled = np.frombuffer(b"".join(p or b"" for p in vocab.pieces), np.uint8)
-        for batch in batches:
+        for batch in _slices(batches, ids):
             lists = batch.column(ids)
             piece = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            sizes = np.nan_to_num(pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(float)).astype(np.int64)
+            sizes = _list_sizes(lists)
             n = vocab.length[piece]
             total = int(n.sum())
             at = np.repeat(begin[piece] - (np.cumsum(n) - n), n) + np.arange(total)
