@@ -182,7 +182,7 @@ def _x(spark, d):
     f"({f} - avg({f}) OVER w) / CASE WHEN stddev_pop({f}) OVER w > 0 THEN stddev_pop({f}) OVER w "
     f"ELSE 1.0 END AS {f}" for f in WIDE) + " FROM x WINDOW w AS (PARTITION BY position)", X), WIDE))
 def standardize_by_group(spark, d):
-    out = U.standardize(_x(spark, d), WIDE, ["position"])
+    out = U.standardize(U.fill_missing(_x(spark, d), WIDE), WIDE, ["position"])
     return finish(out.select("row_id", "position", *WIDE))
 
 
