@@ -34,7 +34,7 @@ MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 UNKNOWN = "und"
 ROUNDS = 1                         # of expectation-maximisation
 SMOOTH = 0.05                      # expected count added to each piece
-CHUNK = 8 << 20                    # bytes of text segmented together
+CHUNK = 2 << 20                    # bytes of text segmented together
 NOT_LETTER = np.ones(256, bool)
 NOT_LETTER[[*range(0x61, 0x7B), *range(0x80, 0x100)]] = False
 

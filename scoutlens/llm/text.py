@@ -14,7 +14,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 4 << 20      # text handled at once inside a task (a longer single text is its own chunk)
+CHUNK_BYTES = 1 << 20      # text handled at once inside a task (a longer single text is its own chunk)
 
 # byte tables: True where a byte ends a word
 SPACE = np.zeros(256, bool)
