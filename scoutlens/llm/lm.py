@@ -36,7 +36,7 @@ from . import text as T
 from .common import fold_of, materialize, with_key
 
 FOLDS, HELD_OUT, DELETED = 7, 2, 6  # learning: all folds but HELD_OUT; DELETED sets the weights
-BATCH = 16 << 20                    # bytes of text of a batch, about
+BATCH = 6 << 20                     # bytes of text of a batch, about
 RANGE = 6 << 20                     # bytes of text for each range of hashes
 BUCKETS = 26                        # of context counts: 0, 1, 2-3, 4-7, ...
 GRID = 8                            # grid lines an octave
@@ -58,7 +58,7 @@ def _batches(rows: DataFrame, batches: int, deleted: int) -> DataFrame:
     fold's texts have batches of their own, numbered from ``batches`` on."""
     def apply(parts):
         options = pa.ipc.IpcWriteOptions(compression="zstd")
-        for c in T.chunks(parts, limit=8 << 20):
+        for c in T.chunks(parts, limit=2 << 20):
             to = c.column("batch").to_numpy()
             order = np.argsort(to, kind="stable")
             cut = np.flatnonzero(np.append(True, np.diff(to[order]) != 0))
@@ -81,15 +81,23 @@ class _Batch:
     """Tokens of a batch's texts and the distinct keys it asks for."""
 
     def __init__(self, table: pa.Table):
-        texts = pa.concat_tables(pa.ipc.open_stream(x.as_buffer()).read_all() for x in table["blob"]).combine_chunks()
-        self.key, self.fold = texts["key"].combine_chunks(), texts["fold"].to_numpy()
-        w = T.word_column(texts["text"].combine_chunks())
-        self.size = w.counts + 1                          # with the end token
+        keys, folds, sizes, tokens = [], [], [], []
+        for blob in table["blob"]:                        # one blob's text at a time
+            part = pa.ipc.open_stream(blob.as_buffer()).read_all().combine_chunks()
+            keys.append(part["key"].combine_chunks())
+            folds.append(part["fold"].to_numpy())
+            w = T.word_column(part["text"].combine_chunks())
+            size = w.counts + 1                           # with the end token
+            token = np.full(int(size.sum()), END, np.uint64)
+            is_word = np.ones(len(token), bool)
+            is_word[np.cumsum(size) - 1] = False
+            token[is_word] = T.hashes(w.data, w.start, w.end)
+            sizes.append(size)
+            tokens.append(token)
+        self.key, self.fold, self.size = pa.concat_arrays(keys), np.concatenate(folds), np.concatenate(sizes)
         self.first = np.append(0, np.cumsum(self.size))
-        token = np.full(self.first[-1], END, np.uint64)
-        is_word = np.ones(len(token), bool)
-        is_word[self.first[1:] - 1] = False
-        token[is_word] = T.hashes(w.data, w.start, w.end)
+        token = np.concatenate(tokens)
+        del tokens
         before = np.empty_like(token)
         before[1:] = token[:-1]
         before[self.first[:-1]] = START
