@@ -1,11 +1,12 @@
 """License scan with a positional rare-token index.
 
 A small library of licence templates is indexed by word and position. Inverse document
-frequencies of the licence words come from all texts. For each text its highest-IDF licence
-words are looked up, their postings are intersected by relative position (text position
-minus template position): a template whose postings agree on one alignment for enough rare
-words becomes a candidate, and is reported only if its mandatory key phrases stand in the
-text. Base phrases are matched as consecutive words beside it and always reported.
+frequencies of the licence words come from all texts. For each template whose mandatory key
+phrases stand in a text, the template's highest-IDF words are looked up with all their places,
+which gives the alignments (text position minus template position) to look at: so many words
+that no alignment with the least share can miss all of them, whatever else the text holds. An
+alignment is reported if enough of the template's words, and enough of their IDF, stand at it.
+Base phrases are matched as consecutive words beside it and always reported.
 
 The words of a text are compared by 64-bit hash in byte buffers; only the words of the
 licence library are ever looked up, so work follows the text's length. The frequency table
@@ -83,8 +84,7 @@ TEMPLATES = (
     Template("boost", "Distributed under the Boost Software License, Version 1.0", ("boost software license",)),
 )
 
-RARE = 24                # highest-IDF licence words of a text that are looked up
-AGREE = 3                # rare words that must agree on an alignment (or all, if the template has fewer)
+AGREE = 3                # words that must agree on an alignment (or all, if the template has fewer)
 SHARE = 0.6              # least IDF-weighted share of the template that must stand at its alignment
 
 
@@ -95,7 +95,7 @@ def _split(text: str) -> list[str]:
 
 
 class Index:
-    """Licence words by number, templates and phrases as word numbers, postings by word."""
+    """Licence words by number, templates and phrases as word numbers."""
 
     def __init__(self, templates=TEMPLATES, phrases=None):
         phrases = PHRASES if phrases is None else phrases
@@ -111,8 +111,6 @@ class Index:
         to_ids = lambda ws: np.array([number[w] for w in ws], np.int64)
         self.templates = [(label, to_ids(ws), [to_ids(m) for m in must]) for label, ws, must in self.templates]
         self.phrases = [(label, to_ids(ws)) for label, ws in self.phrases]
-        posts = sorted((int(w), t, at) for t, (_, ws, _) in enumerate(self.templates) for at, w in enumerate(ws))
-        self.post_word, self.post_template, self.post_at = np.array(posts, np.int64).reshape(-1, 3).T
 
     def ids(self, w: T.Words) -> np.ndarray:
         """The number of each word of a chunk, -1 where it is no licence word."""
@@ -152,35 +150,25 @@ def frequencies(docs: DataFrame, index: Index) -> np.ndarray:
     return out
 
 
-def aligned(index: Index, idf: np.ndarray, ids: np.ndarray, at: np.ndarray) -> list[tuple[int, int, float]]:
-    """Candidates of one text: (template, start of its alignment, weighted share).
-
-    ``ids``/``at``: the text's licence words and their positions, in order."""
-    have = np.unique(ids)
-    rare = have[np.lexsort((have, -idf[have]))[:RARE]]
-    keep = np.isin(ids, rare)
-    word, place = ids[keep], at[keep]
-    lo, hi = np.searchsorted(index.post_word, word), np.searchsorted(index.post_word, word, "right")
-    n = hi - lo
-    post = np.repeat(lo - np.append(0, np.cumsum(n))[:-1], n) + np.arange(n.sum())
-    template = index.post_template[post]
-    shift = np.repeat(place, n) - index.post_at[post]    # where the template would begin
-    if not len(template):
-        return []
-    span = int(at[-1]) + 1 + 4096
-    votes, where, count = np.unique(template * span + (shift + 2048), return_index=True, return_counts=True)
-    found, position = [], {int(p): int(w) for p, w in zip(at, ids)}
-    for v, c in zip(votes, count):
-        t, start = int(v // span), int(v % span) - 2048
-        words = index.templates[t][1]
-        if c < min(AGREE, len(np.unique(words))):
-            continue
-        weight = idf[words]
-        here = np.array([position.get(start + k) == w for k, w in enumerate(words)])
-        share = float(weight[here].sum() / weight.sum())
-        if share >= SHARE:
-            found.append((t, start, share))
-    return found
+def aligned(words: np.ndarray, idf: np.ndarray, ids: np.ndarray) -> list[tuple[int, float]]:
+    """All alignments of one template in one text: (start, weighted share), in order.
+
+    ``ids``: the licence words of the text by position, -1 elsewhere. The rarest words looked up
+    carry more than 1 - SHARE of the weight, so any alignment that holds SHARE of it holds one of them."""
+    weight = idf[words]
+    rare = np.argsort(-weight, kind="stable")
+    rare = rare[:np.searchsorted(np.cumsum(weight[rare]), (1 - SHARE) * weight.sum() * (1 + 1e-9), "right") + 1]
+    # where the template would begin
+    start = np.unique(np.concatenate([np.flatnonzero(ids == words[k]) - k for k in rare]))
+    held, agree = np.zeros(len(start)), np.zeros(len(start), np.int64)
+    for k, word in enumerate(words):
+        at = start + k
+        here = (at >= 0) & (at < len(ids)) & (ids[np.clip(at, 0, len(ids) - 1)] == word)
+        held += weight[k] * here
+        agree += here
+    share = held / weight.sum()
+    found = (share >= SHARE) & (agree >= min(AGREE, len(np.unique(words))))
+    return list(zip(start[found].tolist(), share[found].tolist()))
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", index: Index | None = None) -> DataFrame:
@@ -213,16 +201,14 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", index: Index
                 for x in texts:
                     possible.setdefault(int(x), set()).add(t)
             labels, scores, starts = [], np.zeros(n), [[] for _ in range(n)]
-            known = np.flatnonzero(ids >= 0)
-            cut = np.searchsorted(known, w.bounds)
             found: list[set] = [set(b) for b in base]
             for x, allowed in possible.items():
-                mine = known[cut[x]:cut[x + 1]]
-                for t, start, share in aligned(index, idf, ids[mine], mine - w.bounds[x]):
-                    if t in allowed:                     # its key phrases stand in the text
-                        found[x].add(index.templates[t][0])
+                for t in allowed:                        # its key phrases stand in the text
+                    label, words, _ = index.templates[t]
+                    for start, share in aligned(words, idf, ids[w.bounds[x]:w.bounds[x + 1]]):
+                        found[x].add(label)
                         scores[x] = max(scores[x], share)
-                        starts[x].append((start, index.templates[t][0]))
+                        starts[x].append((start, label))
             scores = np.maximum(scores, [1.0 if b else 0.0 for b in base])
             join = lambda s: ",".join(sorted(s))
             none = base_n == 0

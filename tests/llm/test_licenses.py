@@ -65,3 +65,20 @@ def test_templates_are_found_by_their_rare_words(spark):
 def test_phrases_never_cross_texts(spark):
     docs = spark.createDataFrame([(1, "the mit"), (2, "license"), (3, "")], "doc_id long, text string").coalesce(1)
     assert all(r["n_base"] == 0 and r["first_word"] is None for r in licenses.scan(docs).collect())
+
+
+def test_every_notice_of_a_long_text_is_found(spark):
+    """All notices in one text, far apart: each is found at its own start, whatever else the text holds."""
+    rng = random.Random(3)
+    words, wanted = [], set()
+    for t in licenses.TEMPLATES:
+        words += rng.choices(["alpha", "beta", "gamma"], k=500)
+        wanted.add(f"{t.label}@{len(words)}")
+        words += WORD.findall(t.text.lower())
+    together = " ".join(words + ["omega"] * 500)
+    alone = [(i, t.text) for i, t in enumerate(licenses.TEMPLATES)]
+    for rows in ([(99, together)], [(99, together), *alone], [(99, together), *((i, "the of and to in is free") for i in range(50))]):
+        got = {r["doc_id"]: r for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}[99]
+        assert wanted <= set(got["starts"].split(",")), wanted - set(got["starts"].split(","))
+        assert set(got["labels"].split(",")) == {t.label for t in licenses.TEMPLATES}
+        assert got["score"] == pytest.approx(1.0)
