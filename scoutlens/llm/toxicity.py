@@ -8,9 +8,9 @@ is kept from going below zero; where it would, the step goes back up (the paper'
 ascent on the negative part).
 
 Three passes over the texts: feature support in P and in U (all learning rows), the bounded
-training matrix, the scores. Only the training matrix is bounded (``max_positive``,
-``max_unlabelled`` rows, chosen by the hash of the key); support counts use every learning
-row and scores cover every row.
+training matrix, the scores. Only the training matrix is bounded (``max_positive`` confirmed
+keys, about ``max_unlabelled`` rows, chosen by hash); support counts use every learning row and
+every confirmed positive among them, and scores cover every row.
 
 Defined results: a null or empty text has no feature and scores the bias; with no confirmed
 toxic text to learn from every score is the class prior; an empty table gives no rows;
@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
-from .common import with_key
+from ..operators.joins import join_small
+from .common import materialize, with_key
 
 BITS = 20                          # feature space of 2**20
 PREFIXES = (4, 5, 6, 7, 8)         # bytes; beginnings count only for longer words
@@ -111,10 +112,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
              .where("key is not null and y is not null").groupBy("key").agg(F.max("y").alias("y")))
     prior = known.agg(F.avg(F.when(F.col("y") == 1, 1.0).otherwise(0.0)).alias("m")).first()["m"]
     prior = float(min(max(prior or 0.0, 1e-3), 0.9))
-    order = F.xxhash64(F.col("key"), F.lit(params.seed))
-    confirmed = (known.where("y = 1").orderBy(order, "key").limit(params.max_positive)
-                 .select("key", F.lit(True).alias("positive")))           # at most max_positive rows
-    marked = (rows.join(F.broadcast(confirmed), "key", "left")
+    confirmed = materialize(known.where("y = 1").select("key", F.lit(True).alias("positive")), "confirmed")
+    marked = (join_small(rows, confirmed, "key", stage=False)             # every confirmed positive
               .select("key", "text", F.coalesce("positive", F.lit(False)).alias("positive")))
     sizes = marked.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("positive").cast("long")).alias("p")).first()
     n_u, n_p = int(sizes["n"] or 0), int(sizes["p"] or 0)
@@ -131,8 +130,11 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     if not len(kept):
         return empty
     share = min(1.0, params.max_unlabelled / max(n_u, 1))
-    drawn = marked.where("positive").unionByName(
-        marked.where(F.pmod(F.xxhash64("key", "text", F.lit(params.seed)), F.lit(1 << 20)) < int(share * (1 << 20)))
+    order = F.xxhash64(F.col("key"), F.lit(params.seed))
+    chosen = (marked.where("positive").select("key", "positive").distinct()
+              .orderBy(order, "key").limit(params.max_positive))          # at most max_positive keys
+    drawn = rows.join(F.broadcast(chosen), "key").select("key", "text", "positive").unionByName(
+        rows.where(F.pmod(F.xxhash64("key", "text", F.lit(params.seed)), F.lit(1 << 20)) < int(share * (1 << 20)))
         .withColumn("positive", F.lit(False)))
 
     def matrix(batches):

@@ -58,6 +58,22 @@ def test_without_confirmed_texts_every_score_is_the_prior(spark, corpus):
         assert {round(r["score"], 6) for r in toxicity.score(docs.limit(5), model).collect()} == {round(model.prior, 6)}
 
 
+def test_support_counts_every_confirmed_text(corpus, monkeypatch):
+    """max_positive bounds the training matrix only: the features kept do not depend on it."""
+    docs, labels, _ = corpus
+    positives, train = [], toxicity.train
+
+    def seen(positive, *rest):
+        positives.append(int(np.sum(positive)))
+        return train(positive, *rest)
+
+    monkeypatch.setattr(toxicity, "train", seen)
+    whole = toxicity.fit(docs, labels)
+    bounded = toxicity.fit(docs, labels, params=toxicity.Params(max_positive=10))
+    assert len(whole.features) and whole.features.tolist() == bounded.features.tolist()
+    assert positives == [labels.where("toxic = 1").count(), 10]
+
+
 def test_negative_risk_is_not_followed_below_zero():
     """All unlabelled rows look like the positives: the corrected negative risk is negative and
     the step goes back, so the weight stays bounded."""
