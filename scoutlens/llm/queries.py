@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, langid, licenses, lm, mixing, quality, sentencepiece, simhash, toxicity
+from . import ann, chat, fim, langid, licenses, lm, mixing, quality, sentencepiece, simhash, toxicity
 from .common import fold_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -181,3 +181,34 @@ def op10_quality(spark, sf_dir):
     return quality.verdicts(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         F.round("word_distance", 6).alias("word_distance"), F.round("char_distance", 6).alias("char_distance"))
+
+
+@query
+def op11_fim(spark, sf_dir):
+    formed = fim.transform(table(spark, sf_dir, "documents"))
+    return formed.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(fim.restore(F.col("form"), F.col("output")).cast("binary"), 256).alias("restored_sha256"))
+
+
+sql("op11_fim", r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || coalesce(doc_id::VARCHAR, '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS k
+  FROM documents),
+d AS (
+  SELECT *, len(k) AS n, ('0x' || substr(h, 1, 8))::BIGINT % (len(k) + 1) AS a, ('0x' || substr(h, 9, 8))::BIGINT % (len(k) + 1) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                   OR ('0x' || substr(h, 17, 8))::BIGINT % 100 >= 50 THEN 'plain'
+              WHEN ('0x' || substr(h, 25, 8))::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM t),
+c AS (
+  SELECT doc_id, text, n, form, coalesce(array_to_string(k[1:least(a, b)], ''), '') AS p,
+         coalesce(array_to_string(k[least(a, b) + 1:greatest(a, b)], ''), '') AS m,
+         coalesce(array_to_string(k[greatest(a, b) + 1:], ''), '') AS s FROM d)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+              ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM c
+""")
