@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, fim, langid, licenses, lm, mixing, quality, sentencepiece, simhash, toxicity
+from . import ann, chat, fim, langid, lexical, licenses, lm, mixing, quality, sentencepiece, simhash, toxicity
 from .common import fold_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -212,3 +212,29 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_c
        sha256(text) AS restored_sha256
 FROM c
 """)
+
+
+@query
+def op13_lexical(spark, sf_dir):
+    return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")) \
+        .select("item_id", "rank", "doc_id", "score")
+
+
+def _terms(text: str) -> str:
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return (rf"regexp_extract_all(translate(coalesce({text}, ''), '{letters}', '{letters.lower()}'), "
+            r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
+
+sql("op13_lexical", f"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, {_terms("text")} AS k FROM documents),
+n AS (SELECT count(*) AS docs, sum(len(k))::BIGINT AS total FROM d WHERE len(k) > 0),
+m AS (SELECT r, doc_id, 100 - 25 + (25 * len(k) * docs) // total AS m FROM d, n WHERE len(k) > 0),
+q AS (SELECT item_id, row_number() OVER () AS i, unnest({_terms("text")}) AS t FROM benchmark),
+f AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(k) AS t FROM d) WHERE t IN (SELECT t FROM q) GROUP BY r, t),
+w AS (SELECT t, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM f, n GROUP BY t, docs),
+s AS (SELECT i, item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+      FROM q JOIN f USING (t) JOIN w USING (t) JOIN m USING (r) GROUP BY ALL),
+o AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM o WHERE rank <= 20
+""")
