@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, fim, langid, lexical, licenses, lm, mixing, quality, sentencepiece, simhash, toxicity
+from . import ann, chat, fim, langid, lexical, licenses, lm, mixing, quality, secret_scan, sentencepiece, simhash, toxicity
 from .common import fold_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -214,6 +214,14 @@ FROM c
 """)
 
 
+@query
+def op12_secrets(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return secret_scan.scan(docs, secret_scan.fit(docs)).select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans",
+        "n_found")
+
+
 @query
 def op13_lexical(spark, sf_dir):
     return lexical.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")) \
