@@ -243,8 +243,10 @@ def kmeans_many(points: DataFrame, wanted: dict, dim: int, n_init: int, seed: in
 
 
 def k_sweep(df: DataFrame, cols: list[str], part: str | None = "position", ks=C.K_RANGE,
-            n_init: int = 10, seed: int = C.SEED, min_rows: int = C.MIN_ROWS_TO_CLUSTER) -> DataFrame:
-    """M-U2 / M-U10: for each k, K-Means with restarts; inertia and silhouette.
+            n_init: int = 10, seed: int = C.SEED, min_rows: int = C.MIN_ROWS_TO_CLUSTER,
+            euclidean: bool = False) -> DataFrame:
+    """M-U2 / M-U10: for each k, K-Means with restarts; inertia and silhouette (of squared
+    distances; ``euclidean``: the exact Euclidean one, which compares all rows of a group).
 
     Missing features count 0, then features are standardised per group (population
     std). Groups with fewer than ``min_rows`` rows are skipped. Returns (part, k,
@@ -274,7 +276,13 @@ def k_sweep(df: DataFrame, cols: list[str], part: str | None = "position", ks=C.
                                                pa.array(c, pa.int32()), mine.column("x")], ["g", "k", "_c", "_x"])
 
         labelled = points.mapInArrow(label, f"g {kind}, k int, _c int, _x array<double>")
-        sil = _silhouette(labelled, ["g", "k"], len(cols)).select("g", "k", "silhouette")
+        if euclidean:
+            from .density import silhouette_points
+
+            sil = silhouette_points(labelled.withColumn("w", F.lit(1.0)), ["g", "k"], len(cols))
+        else:
+            sil = _silhouette(labelled, ["g", "k"], len(cols))
+        sil = sil.select("g", "k", "silhouette")
         cost = spark.createDataFrame([(g, int(k), v[1]) for (g, k), v in best.items()], schema)
         sweep = cost.join(sil, ["g", "k"], "left")
     out = sweep.join(best_k(sweep, ["g"]), "g", "left") \

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..models import cluster as U
+from ..models import density
 from ..models import supervised as S
 from ..operators import stats
 from ..sources import files
@@ -215,6 +216,67 @@ def silhouette_squared(spark, d):
     return finish(U.silhouette(v, "cluster", WIDE, ["position"]))
 
 
+def _gap(a: str, b: str, cols) -> str:
+    return " + ".join(f"({a}.{f} - {b}.{f}) * ({a}.{f} - {b}.{f})" for f in cols)
+
+
+def pair_silhouette_sql(labels: str, by: str) -> list[tuple[str, str]]:
+    """CTEs of the Euclidean silhouette over pairs: ``labels`` has (by, a, c), ``pq`` (a, b, q)."""
+    return [
+        ("size", f"SELECT {by}, c, count(*) AS n FROM {labels} GROUP BY ALL"),
+        ("far", f"""SELECT x.{by}, x.a, x.c AS own, y.c AS other, sum(sqrt(pq.q)) AS s FROM {labels} x
+           JOIN pq ON pq.a = x.a JOIN {labels} y ON y.{by} = x.{by} AND y.a = pq.b GROUP BY ALL"""),
+        ("ab", f"""SELECT far.{by}, far.a AS id, max(CASE WHEN own = other THEN n END) AS own_n,
+             max(CASE WHEN own = other AND n > 1 THEN s / (n - 1) END) AS a, min(CASE WHEN own <> other THEN s / n END) AS b
+           FROM far JOIN size ON size.{by} = far.{by} AND size.c = far.other GROUP BY ALL"""),
+        ("es", f"""SELECT {by}, CASE WHEN max(k) > 1 AND max(k) < count(*) THEN
+             avg(CASE WHEN own_n <= 1 OR greatest(a, b) = 0 THEN 0.0 ELSE (b - a) / greatest(a, b) END) END AS silhouette,
+             max(k)::BIGINT AS n_clusters, count(*) AS n_points
+           FROM ab JOIN (SELECT {by}, count(*) AS k FROM size GROUP BY 1) USING ({by}) GROUP BY 1"""),
+    ]
+
+
+@query("silhouette_exact", sql_finish(W("SELECT * FROM es", X, ("lb", "SELECT position, row_id AS a, row_id % 3 AS c FROM x"), (
+    "pq", f"SELECT l.row_id AS a, r.row_id AS b, {_gap('l', 'r', WIDE)} AS q FROM x l JOIN x r USING (position)"),
+    *pair_silhouette_sql("lb", "position")), ["silhouette"]))
+def silhouette_exact(spark, d):
+    v = _x(spark, d).withColumn("cluster", (F.col("row_id") % 3).cast("int"))
+    return finish(density.silhouette_exact(v, "cluster", WIDE, ["position"]))
+
+
+DENSITY_SQL = W("""
+SELECT eps, n_points, coalesce(n_core, 0) AS n_core, coalesce(n_border, 0) AS n_border,
+       n_points - coalesce(n_core, 0) - coalesce(n_border, 0) AS n_noise, coalesce(n_clusters, 0) AS n_clusters,
+       (n_points - coalesce(n_core, 0) - coalesce(n_border, 0)) / n_points AS noise_share, silhouette
+FROM e CROSS JOIN (SELECT count(*) AS n_points FROM z)
+LEFT JOIN (SELECT eps, count(*) AS n_core FROM k GROUP BY 1) USING (eps)
+LEFT JOIN (SELECT eps, count(*) AS n_border FROM bo GROUP BY 1) USING (eps)
+LEFT JOIN (SELECT eps, count(DISTINCT c) AS n_clusters FROM m GROUP BY 1) USING (eps)
+LEFT JOIN (SELECT eps, silhouette FROM es) USING (eps)""", V,
+    ("z", "SELECT row_id, " + ", ".join(
+        f"({f} - avg({f}) OVER ()) / CASE WHEN stddev_pop({f}) OVER () > 0 THEN stddev_pop({f}) OVER () ELSE 1.0 END AS {f}"
+        for f in FEATS) + " FROM v"),
+    ("e", "SELECT unnest([" + ", ".join(f"{r}::DOUBLE" for r in density.RADII) + "]) AS eps"),
+    ("pq", f"SELECT l.row_id AS a, r.row_id AS b, {_gap('l', 'r', FEATS)} AS q FROM z l, z r"),
+    ("k", f"SELECT eps, a FROM pq JOIN e ON q <= eps * eps GROUP BY 1, 2 HAVING count(*) >= {density.MIN_POINTS}"),
+    ("g", "SELECT e.eps, pq.a, pq.b, pq.q FROM pq JOIN e ON q <= eps * eps JOIN k ON k.eps = e.eps AND k.a = pq.b WHERE pq.a <> pq.b"),
+    ("l(eps, a, c)", """SELECT eps, a, a FROM k UNION
+       SELECT g.eps, g.a, l.c FROM l JOIN g ON g.eps = l.eps AND g.b = l.a JOIN k ON k.eps = g.eps AND k.a = g.a WHERE l.c < g.a"""),
+    ("m", "SELECT eps, a, min(c) AS c FROM l GROUP BY 1, 2"),
+    ("bo", "SELECT g.eps, g.a, arg_min(g.b, g.q) AS b FROM g ANTI JOIN k ON k.eps = g.eps AND k.a = g.a GROUP BY 1, 2"),
+    ("lb", """SELECT s.eps, z.row_id AS a, coalesce(m.c, n.c, -1) AS c
+       FROM z CROSS JOIN (SELECT eps FROM m GROUP BY 1 HAVING count(DISTINCT c) > 1) s
+       LEFT JOIN m ON m.eps = s.eps AND m.a = z.row_id LEFT JOIN bo ON bo.eps = s.eps AND bo.a = z.row_id
+       LEFT JOIN m n ON n.eps = s.eps AND n.a = bo.b"""),
+    *pair_silhouette_sql("lb", "eps"))
+DENSITY_SQL = DENSITY_SQL.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query("density_sweep", sql_finish(DENSITY_SQL, ["eps", "noise_share", "silhouette"]))
+def density_sweep(spark, d):
+    return finish(density.density_sweep(_v(spark, d), FEATS))
+
+
 KS = list(C.K_RANGE)
 GLOBAL_KS = list(range(3, 10))
 
