@@ -5,20 +5,16 @@
   ||x||^2), so each point is compared with k cluster summaries, never with
   other points — no pair of rows is ever materialised.
 * K-Means runs all groups, values of k and restarts at once: each iteration is
-  one pass over the rows in Arrow batches with per-task sums. PCA is Spark ML's,
-  fitted per position (a short loop over the few position values).
+  one pass over the rows in Arrow batches with per-task sums. PCA sums the covariances
+  of all positions in one pass and solves each position's eigenproblem in a task.
 * Similarity search broadcasts the single target vector and keeps the top k
   with ``orderBy().limit()``.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -105,17 +101,6 @@ def best_k(sweep: DataFrame, part: list[str], k: str = "k", score: str = "silhou
         F.max(score).alias("best_silhouette"))
 
 
-def _parallel(fn, items, workers: int = 4):
-    """Run ``fn`` over a few items from driver threads; Spark schedules the jobs
-    concurrently (used for per-position model fits)."""
-    with ThreadPoolExecutor(max_workers=max(1, min(workers, len(items)))) as pool:
-        return list(pool.map(fn, items))
-
-
-def _assemble(df: DataFrame, cols: list[str]) -> DataFrame:
-    return VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="keep").transform(df)
-
-
 def fill_missing(df: DataFrame, cols: list[str]) -> DataFrame:
     """NULL and NaN features -> 0, before anything is scaled."""
     return df.fillna(0.0, subset=cols)
@@ -329,30 +314,57 @@ def cluster_by_position(df: DataFrame, cols: list[str], best: dict | DataFrame,
     return wide.mapInArrow(label, schema)
 
 
+def _principal(points: DataFrame, dim: int, n: int = 2) -> DataFrame:
+    """(g, pc): the first ``n`` principal axes of every group of (g, x), one after another.
+
+    One pass sums x and the upper triangle of x x' inside each task; the groups' sums are added by a
+    partial aggregate and each group's symmetric eigenproblem is solved in a task of its own."""
+    upper = np.triu_indices(dim)
+
+    def sums(batches):
+        total: dict = {}
+        for b in batches:
+            groups, x, arrow = b.column("g").to_pylist(), _matrix(b.column("x")), b.schema.field("g").type
+            for g in set(groups):
+                mine = x[[h == g for h in groups]]
+                part = np.concatenate([[len(mine)], mine.sum(axis=0), (mine.T @ mine)[upper]])
+                total[g] = total[g] + part if g in total else part
+        for g, part in total.items():
+            yield pa.record_batch([pa.array([g] * len(part), arrow), pa.array(np.arange(len(part))), pa.array(part)], ["g", "at", "s"])
+
+    def solve(table: pa.Table) -> pa.Table:
+        s = np.zeros(1 + dim + len(upper[0]))
+        s[table.column("at").to_numpy()] = table.column("s").to_numpy()
+        mean = s[1:1 + dim] / s[0]
+        cov = np.zeros((dim, dim))
+        cov[upper] = s[1 + dim:] / s[0]
+        cov = cov + np.triu(cov, 1).T - np.outer(mean, mean)
+        axes = np.linalg.eigh(cov)[1][:, ::-1][:, :n].T                    # largest variance first
+        axes = np.concatenate([axes, np.zeros((max(n - dim, 0), dim))])
+        sign = np.where(axes[np.arange(n), np.abs(axes).argmax(axis=1)] < 0, -1.0, 1.0)
+        return pa.table({"g": table.column("g")[:1], "pc": pa.array([(axes * sign[:, None]).ravel().tolist()])})
+
+    kind = points.schema["g"].dataType.simpleString()
+    parts = points.mapInArrow(sums, f"g {kind}, at long, s double").groupBy("g", "at").agg(F.sum("s").alias("s"))
+    return parts.groupBy("g").applyInArrow(solve, f"g {kind}, pc array<double>")
+
+
 def embed_2d(df: DataFrame, cols: list[str], part: str = "position") -> DataFrame:
     """M-U6: 2-D PCA embedding per position (the reference's UMAP fallback).
 
-    Each component's sign is fixed so its largest-magnitude loading is positive.
+    Each axis' sign is fixed so its largest-magnitude loading is positive. The covariances of all
+    positions come from one pass; the axes are joined back as a small checked table. A position
+    of one row, or of equal rows, lies at the origin; rows without a position have no place (NULL).
     """
     z = standardize(fill_missing(df, cols), cols, [part], suffix="_std")
-    z = materialize(z.select(*df.columns, *[f"{c}_std" for c in cols]), "embedding")
-    data = _assemble(z, [f"{c}_std" for c in cols])
-    groups = list(_groups(z, part))
-
-    def fit(g):
-        sub = data.where(F.col(part).eqNullSafe(F.lit(g)))
-        model = PCA(k=2, inputCol="features", outputCol="_pc").fit(sub)
-        pc = model.pc.toArray()
-        signs = [1.0 if pc[abs(pc[:, j]).argmax(), j] >= 0 else -1.0 for j in range(2)]
-        arr = vector_to_array(F.col("_pc"))
-        return (model.transform(sub).withColumn("umap_x", arr[0] * signs[0])
-                .withColumn("umap_y", arr[1] * signs[1]).drop("_pc", "features"))
-
-    outs = _parallel(fit, groups)
-    out = outs[0]
-    for o in outs[1:]:
-        out = out.unionByName(o)
-    return out.select(*df.columns, "umap_x", "umap_y")
+    z = materialize(z.select(*df.columns, _vec([f"{c}_std" for c in cols]).alias("_x")), "embedding")
+    axes = _principal(z.where(F.col(part).isNotNull()).select(F.col(part).alias("g"), F.col("_x").alias("x")), len(cols))
+    axes = axes.select(F.col("g").alias("_g"), F.col("pc").alias("_pc"))
+    out = join_small(z, axes, lambda side: z[part] == side["_g"], "left")
+    dim = len(cols)
+    along = lambda k: F.aggregate(F.zip_with("_x", F.slice("_pc", k * dim + 1, dim), lambda a, b: a * b),
+                                  F.lit(0.0), lambda s, e: s + e)
+    return out.select(*df.columns, along(0).alias("umap_x"), along(1).alias("umap_y"))
 
 
 def archetypes(df: DataFrame, out: str = "archetype") -> DataFrame:

@@ -77,3 +77,24 @@ def test_similarity_top_k_and_unknown(spark, sf_small):
     d = [r.similarity_distance for r in top]
     assert d == sorted(d)
     assert U.similar(v, "playername", "nobody", C.CLUSTER_FEATURES, 5).count() == 0
+
+
+def test_embedding_equals_numpy(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    rows = [(int(i % 3), *map(float, v)) for i, v in enumerate(rng.normal(0, [3, 1, 2, 0.5], (300, 4)) @ rng.normal(0, 1, (4, 4)))]
+    rows += [(None, *map(float, v)) for v in rng.normal(0, 1, (40, 4))] + [(9, 1.0, 2.0, 3.0, 4.0), (8, 1.0, 1.0, 1.0, 1.0), (8, 1.0, 1.0, 1.0, 1.0)]
+    cols = ["a", "b", "c", "d"]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "row_id long, position int, a double, b double, c double, d double")
+    got = {r["row_id"]: (r["umap_x"], r["umap_y"]) for r in U.embed_2d(df.repartition(3), cols).collect()}
+    assert len(got) == len(rows)
+    assert all(got[i] == (None, None) for i, r in enumerate(rows) if r[0] is None)
+    for g in {r[0] for r in rows} - {None}:
+        ids = [i for i, r in enumerate(rows) if r[0] == g]
+        x = np.array([rows[i][1:] for i in ids])
+        dev = x.std(axis=0)
+        z = (x - x.mean(axis=0)) / np.where(dev > 0, dev, 1.0)
+        axes = np.linalg.svd(z, full_matrices=True)[2][:2] if len(ids) > 2 else np.zeros((2, 4))
+        axes = axes * np.sign(axes[np.arange(2), abs(axes).argmax(axis=1)])[:, None]
+        assert np.array([got[i] for i in ids]) == pytest.approx(z @ axes.T, abs=1e-9)
