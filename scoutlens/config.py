@@ -93,13 +93,14 @@ GBT_STEP = 0.1
 CALIBRATION_FOLDS = 5
 SEARCH_DRAWS = 60
 SEARCH_FOLDS = 5
-# Search space of the forest's randomised search (fixed values; 30 is Spark's greatest
-# depth and stands for "unlimited").
+# Search space of the forest's randomised search (fixed values; 30 levels stand for "unlimited").
 RF_GRID = {
     "num_trees": [100, 200, 300, 500, 700],
     "max_depth": [4, 6, 8, 10, 12, 15, 30],
-    "min_instances": [1, 2, 4, 8],
-    "feature_subset": ["sqrt", "log2", "0.3", "0.5", "0.7"],
+    "min_split": [2, 5, 10, 20, 30],
+    "min_leaf": [1, 2, 4, 8],
+    "features": ["sqrt", "log2", "0.3", "0.5", "0.7"],
+    "class_weight": ["balanced", "balanced_subsample"],
 }
 # ---------------------------------------------------------------------------
 

@@ -20,14 +20,11 @@ model parameters and per-fold scalar metrics.
 from __future__ import annotations
 
 import ast
-import random
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
                                        RandomForestClassifier)
-from pyspark.ml.evaluation import Evaluator
 from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
-from pyspark.ml.tuning import CrossValidator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +32,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..operators.rank import percentile_rank_avg
 from ..session import materialize
-from . import metrics
+from . import forest, metrics
 
 
 def oot_split(df: DataFrame, train_years=C.TRAIN_YEARS, test_years=C.TEST_YEARS,
@@ -235,65 +232,12 @@ def score_probability(df: DataFrame, p: str, part: str = "position",
     return percentile_rank_avg(s, [part], score).orderBy(F.col(score).desc())
 
 
-class AveragePrecisionEvaluator(Evaluator):
-    """Step-wise average precision (sklearn's definition) as a Spark ML evaluator.
-
-    Computed with the distributed threshold prefix sums of :mod:`.metrics`
-    (Spark's ``areaUnderPR`` interpolates and down-samples thresholds).
-    """
-
-    def __init__(self, labelCol: str = "label", probabilityCol: str = "probability"):
-        super().__init__()
-        self.label_col = labelCol
-        self.probability_col = probabilityCol
-
-    def _evaluate(self, dataset: DataFrame) -> float:
-        p = dataset.select(F.col(self.label_col).alias("_y"),
-                           vector_to_array(F.col(self.probability_col))[1].alias("_p"))
-        v = metrics.average_precision(p, "_y", "_p").first()[0]
-        return float(v) if v is not None else 0.0
-
-    def isLargerBetter(self) -> bool:
-        return True
-
-
-def tune_rf(df: DataFrame, cols: list[str], y: str, group: str, grid: dict, n_iter: int,
-            folds: int = C.SEARCH_FOLDS, seed: int = C.SEED, parallelism: int = 4) -> DataFrame:
-    """M-S13: randomised search over ``grid`` with grouped folds and AP scoring.
-
-    ``n_iter`` parameter maps are drawn (seeded) from the grid and evaluated by
-    Spark ML's ``CrossValidator`` with a grouped-stratified ``foldCol`` (a
-    group never spans two folds), ``parallelism`` concurrent fits, and the
-    step-wise average-precision evaluator. Returns one row per draw (mean CV
-    AP), the best marked; :func:`tuned_rf` refits the best on all rows.
-
-    The reference's smallest node to split (5 rows) has no counterpart in Spark's
-    trees; ``min_instances`` (rows in each child) is the nearest.
-    """
-    spark = df.sparkSession
-    keys = sorted(grid)
-    rnd = random.Random(seed)
-    space = [[]]
-    for k_ in keys:
-        space = [s + [v] for s in space for v in grid[k_]]
-    draws = rnd.sample(space, min(n_iter, len(space)))
-    data = materialize(metrics.grouped_folds(
-        with_balanced_weights(fill_features(df, cols), y), group, "label", folds, seed), "folds")
-    rf = RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight",
-                                seed=seed)
-    names = {"num_trees": rf.numTrees, "max_depth": rf.maxDepth,
-             "min_instances": rf.minInstancesPerNode, "feature_subset": rf.featureSubsetStrategy}
-    maps = [{names[k_]: v for k_, v in zip(keys, vals)} for vals in draws]
-    pipe = Pipeline(stages=[_assembler(cols), rf])
-    cv = CrossValidator(estimator=pipe, estimatorParamMaps=maps,
-                        evaluator=AveragePrecisionEvaluator(), foldCol="fold",
-                        numFolds=folds, parallelism=parallelism, seed=seed)
-    model = cv.fit(data)
-    rows = [(i, str(dict(zip(keys, vals))), float(m))
-            for i, (vals, m) in enumerate(zip(draws, model.avgMetrics))]
-    res = spark.createDataFrame(rows, "draw int, params string, cv_average_precision double")
-    best = max(range(len(rows)), key=lambda i: (rows[i][2], -i))
-    return res.withColumn("is_best", F.col("draw") == F.lit(best))
+def tune_rf(df: DataFrame, cols: list[str], y: str, group: str, grid: dict = C.RF_GRID, n_iter: int = C.SEARCH_DRAWS,
+            folds: int = C.SEARCH_FOLDS, seed: int = C.SEED) -> DataFrame:
+    """M-S13: randomised search over ``grid`` with grouped folds and step-wise average precision;
+    all forests of all draws and folds are grown together (:mod:`.forest`). One row per draw with its
+    mean average precision, the best marked; :func:`tuned_rf` also refits the best on all rows."""
+    return forest.search(df, cols, y, group, grid, n_iter, folds, seed)
 
 
 def tuned_rf(df: DataFrame, cols: list[str], y: str, group: str, grid: dict = C.RF_GRID,
@@ -301,7 +245,12 @@ def tuned_rf(df: DataFrame, cols: list[str], y: str, group: str, grid: dict = C.
     """M-S13 to its end: (search table, the best draw's forest refitted on all rows)."""
     search = tune_rf(df, cols, y, group, grid, n_iter, folds, seed)
     best = ast.literal_eval(search.where("is_best").first()["params"])
-    return search, train_rf(df, cols, y, seed=seed, **best)
+    return search, train_forest(df, cols, y, seed=seed, **best)
+
+
+def train_forest(df: DataFrame, cols: list[str], y: str, seed: int = C.SEED, **params) -> forest.Forest:
+    """One histogram forest with the search's parameters."""
+    return forest.fit(df, cols, y, forest.Spec(0, seed=seed, **params))
 
 
 def save_model(model: PipelineModel, path: str) -> str:

@@ -110,7 +110,7 @@ def scoring_stage(spark: SparkSession, feats: DataFrame, out: str | None = None,
     best_name = comparison.orderBy("rank").first()["model"]   # one row of a tiny table
     trainers = {"logistic_regression": lambda d: S.train_lr(d, cols, y),
                 "random_forest": lambda d: S.train_rf(d, cols, y),
-                "random_forest_tuned": lambda d: S.train_rf(d, cols, y, **tuned_args),
+                "random_forest_tuned": lambda d: S.train_forest(d, cols, y, **tuned_args),
                 "gbt": lambda d: S.train_gbt(d, cols, y)}
     fitted = S.fit_calibrated(train, cols, y, train_fn=trainers[best_name])
     raw_test = S.positive_probability(models[best_name], test, cols, "p_raw")
