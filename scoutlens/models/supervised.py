@@ -3,8 +3,7 @@
 Parity of *definitions* with the reference, not of solver bits:
 
 * logistic regression: standardise (mean + std), L2 with C = 0.1 and balanced
-  class weights. The reference minimises ½‖w‖² + C·Σ wᵢ·lossᵢ; Spark minimises
-  (Σ wᵢ·lossᵢ)/Σwᵢ + λ/2‖w‖², so λ = 1 / (C·Σwᵢ);
+  class weights: ½‖w‖²/C + Σ wᵢ·lossᵢ, by Newton's method for all folds at once (:mod:`.newton`);
 * random forest / gradient-boosted trees with the reference's sizes and class
   weighting through ``weightCol``;
 * Platt calibration: per fold, the base model is refitted on the other folds
@@ -13,26 +12,29 @@ Parity of *definitions* with the reference, not of solver bits:
   weight t and label 0 with weight 1 − t); the calibrated probability is the
   mean over the folds' (model, calibrator) pairs.
 
-Training data is cached before iterative fits; nothing is collected except
-model parameters and per-fold scalar metrics.
+Training data are stage tables; nothing is collected except model parameters and
+per-fold scalar metrics.
 """
 
 from __future__ import annotations
 
 import ast
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LogisticRegression,
-                                       RandomForestClassifier)
-from pyspark.ml.feature import ElementwiseProduct, StandardScaler, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.errors import AnalysisException
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..operators.rank import percentile_rank_avg
 from ..session import materialize
-from . import forest, metrics
+from . import forest, metrics, newton
+
+LOGISTIC = "logistic"      # folder of a saved logistic regression
 
 
 def oot_split(df: DataFrame, train_years=C.TRAIN_YEARS, test_years=C.TEST_YEARS,
@@ -67,24 +69,9 @@ def with_balanced_weights(df: DataFrame, y: str, out: str = "weight") -> DataFra
     return metrics.class_weights(_label(df, y), "label", out).drop("pos_weight")
 
 
-def train_lr(df: DataFrame, cols: list[str], y: str, c: float = C.LR_C,
-             max_iter: int = C.LR_MAX_ITER) -> PipelineModel:
-    """M-S4: standardised, L2 (λ = 1/(C·Σw)), balanced logistic regression."""
-    data = with_balanced_weights(fill_features(df, cols), y).cache()
-    total_w = data.agg(F.sum("weight")).first()[0] or 1.0   # one scalar
-    lr = LogisticRegression(featuresCol="scaled", labelCol="label", weightCol="weight",
-                            regParam=1.0 / (c * total_w), elasticNetParam=0.0,
-                            standardization=False, maxIter=max_iter, tol=1e-8)
-    # the scaler divides by the sample deviation; the factor makes it the population's
-    n = data.count()
-    pipe = Pipeline(stages=[_assembler(cols),
-                            StandardScaler(inputCol="features", outputCol="sampled",
-                                           withMean=True, withStd=True),
-                            ElementwiseProduct(scalingVec=[(n / (n - 1)) ** 0.5 if n > 1 else 1.0] * len(cols),
-                                               inputCol="sampled", outputCol="scaled"), lr])
-    model = pipe.fit(data)
-    data.unpersist()
-    return model
+def train_lr(df: DataFrame, cols: list[str], y: str, c: float = C.LR_C) -> newton.Logistic:
+    """M-S4: standardised, L2 (C), balanced logistic regression, solved by Newton's method to its optimum."""
+    return newton.fit(df, cols, y, c)
 
 
 def train_rf(df: DataFrame, cols: list[str], y: str, num_trees: int = C.RF_TREES,
@@ -96,7 +83,7 @@ def train_rf(df: DataFrame, cols: list[str], y: str, num_trees: int = C.RF_TREES
                                 numTrees=num_trees, maxDepth=max_depth, seed=seed,
                                 minInstancesPerNode=min_instances,
                                 featureSubsetStrategy=feature_subset)
-    return _fit_cached(data, cols, rf)
+    return _fit_staged(data, cols, rf)
 
 
 def train_gbt(df: DataFrame, cols: list[str], y: str, rounds: int = C.GBT_ROUNDS,
@@ -107,24 +94,23 @@ def train_gbt(df: DataFrame, cols: list[str], y: str, rounds: int = C.GBT_ROUNDS
                            .otherwise(F.lit(1.0)))
     gbt = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight",
                         maxIter=rounds, maxDepth=depth, stepSize=step, seed=seed)
-    return _fit_cached(data, cols, gbt)
+    return _fit_staged(data, cols, gbt)
 
 
-def _fit_cached(data: DataFrame, cols: list[str], estimator) -> PipelineModel:
-    """Assemble once, cache the (features, label, weight) vectors for the iterative
+def _fit_staged(data: DataFrame, cols: list[str], estimator) -> PipelineModel:
+    """Assemble once into a stage table of (features, label, weight) for the iterative
     learner, and return assembler + model as one PipelineModel."""
     asm = _assembler(cols)
-    vec = asm.transform(data).select("features", "label", "weight").cache()
-    try:
-        model = estimator.fit(vec)
-    finally:
-        vec.unpersist()
+    model = estimator.fit(materialize(asm.transform(data).select("features", "label", "weight"), "training"))
     return PipelineModel(stages=[asm, model])
 
 
 def positive_probability(model: PipelineModel, df: DataFrame, cols: list[str],
                          out: str = "p") -> DataFrame:
-    pred = model.transform(fill_features(df, cols))
+    filled = fill_features(df, cols)
+    if isinstance(model, newton.Logistic):
+        return filled.withColumn(out, model.probability())
+    pred = model.transform(filled)
     return pred.withColumn(out, vector_to_array(F.col("probability"))[1]).drop(
         "features", "sampled", "scaled", "rawPrediction", "probability", "prediction")
 
@@ -138,7 +124,6 @@ def importances(model: PipelineModel, cols: list[str]) -> DataFrame:
         vals = [float(v) for v in last.featureImportances.toArray()]
     tot = sum(vals) or 1.0
     rows = sorted(((c, v / tot) for c, v in zip(cols, vals)), key=lambda r: -r[1])
-    from pyspark.sql import SparkSession
     return SparkSession.getActiveSession().createDataFrame(rows, "feature string, importance double")
 
 
@@ -162,7 +147,6 @@ def fit_calibrated(df: DataFrame, cols: list[str], y: str, k: int = C.CALIBRATIO
     with weight t and as label 0 with weight 1 - t). Folds are stratified by
     class like the reference's, or given by ``fold_col`` (e.g. grouped folds).
     """
-    train_fn = train_fn or (lambda d: train_lr(d, cols, y))
     base = fill_features(df, cols)
     if fold_col is None:
         # stratified row folds (round-robin inside each class, pseudo-random order)
@@ -170,26 +154,24 @@ def fit_calibrated(df: DataFrame, cols: list[str], y: str, k: int = C.CALIBRATIO
         base = materialize(metrics.grouped_folds(base, "_rid", y, k, seed, out="_fold"), "folds")
         fold_col = "_fold"
     fitted = []
-    for i in range(k):
+    if train_fn is None:                                  # all folds' models, then all calibrations, at once
+        fitted = newton.fit_folds(base, cols, y, C.LR_C, fold_col, k)
+    for i in range(k) if train_fn else ():
         part = base.where(F.col(fold_col) != i)
         classes = part.agg(F.min(F.col(y).cast("int")).alias("lo"), F.max(F.col(y).cast("int")).alias("hi")).first()
         if classes["lo"] == classes["hi"]:
             continue                                      # one class (or no row): nothing to learn
         model = train_fn(part)
         held = model.transform(base.where(F.col(fold_col) == i))
-        held = _label(held.select(_calibration_input(model).alias("_m"), F.col(y)), y)
-        cnt = held.agg(F.sum("label").alias("p"), F.count("*").alias("n"))
-        n_pos = cnt.select("p").scalar()          # class counts as scalar subqueries
-        n_neg = cnt.select("n").scalar() - n_pos
-        t = F.when(F.col("label") == 1, (n_pos + 1) / (n_pos + 2)).otherwise(1 / (n_neg + 2))
-        two = held.withColumn("_t", t).select(
-            F.col("_m"), F.explode(F.array(
-                F.struct(F.lit(1.0).alias("label"), F.col("_t").alias("w")),
-                F.struct(F.lit(0.0).alias("label"), (1 - F.col("_t")).alias("w")))).alias("_r"))
-        two = two.select(array_to_vector(F.array("_m")).alias("mf"), "_r.label", "_r.w")
-        platt = LogisticRegression(featuresCol="mf", labelCol="label", weightCol="w",
-                                   regParam=0.0, maxIter=200, tol=1e-10).fit(two)
-        fitted.append((model, float(platt.coefficients[0]), float(platt.intercept)))
+        held = materialize(_label(held.select(_calibration_input(model).alias("_m"), F.col(y)), y), "held-out")
+        cnt = held.agg(F.sum("label").alias("p"), F.count("*").alias("n")).first()
+        pos, neg = cnt["p"] or 0, cnt["n"] - (cnt["p"] or 0)
+        if not cnt["n"]:
+            continue
+        t = F.when(F.col("label") == 1, (pos + 1) / (pos + 2)).otherwise(1 / (neg + 2))
+        soft = held.select(F.lit(0).cast("long").alias("fold"), t.alias("y"), F.array("_m").alias("x"))
+        b, a = newton.solve(soft, [newton.Problem(None, False, (1.0, 1.0), np.zeros(1), np.ones(1), 0.0)])[0]
+        fitted.append((model, float(a), float(b)))
     if not fitted:
         raise ValueError("calibration needs rows of both classes outside some fold")
     return fitted
@@ -199,6 +181,8 @@ def _calibration_input(model: PipelineModel):
     """Platt input: the decision margin of a linear model (finite, because a
     fold without both classes is never fitted), else the positive-class
     probability (trees have no decision function)."""
+    if isinstance(model, newton.Logistic):
+        return model.margin()
     if hasattr(model.stages[-1], "coefficients"):
         return vector_to_array(F.col("rawPrediction"))[1]
     return vector_to_array(F.col("probability"))[1]
@@ -211,8 +195,8 @@ def apply_calibrated(fitted: list, df: DataFrame, cols: list[str],
     scored = fill_features(df, cols)
     for i, (model, a, b) in enumerate(fitted):
         m = _calibration_input(model)
-        scored = model.transform(scored).withColumn(f"_p{i}", 1 / (1 + F.exp(-(a * m + b)))) \
-            .drop(*drop)
+        seen = scored if isinstance(model, newton.Logistic) else model.transform(scored)
+        scored = seen.withColumn(f"_p{i}", 1 / (1 + F.exp(-(a * m + b)))).drop(*drop)
     mean = sum(F.col(f"_p{i}") for i in range(len(fitted))) / len(fitted)
     return scored.withColumn(out, mean).drop(*[f"_p{i}" for i in range(len(fitted))])
 
@@ -253,12 +237,20 @@ def train_forest(df: DataFrame, cols: list[str], y: str, seed: int = C.SEED, **p
     return forest.fit(df, cols, y, forest.Spec(0, seed=seed, **params))
 
 
-def save_model(model: PipelineModel, path: str) -> str:
-    """S-A7: persist a fitted pipeline (Spark ML format)."""
-    model.write().overwrite().save(path)
+def save_model(model, path: str) -> str:
+    """S-A7: persist a fitted model: a pipeline in Spark ML's format, a logistic regression as one JSON line."""
+    if isinstance(model, newton.Logistic):
+        spark = SparkSession.getActiveSession()
+        spark.createDataFrame([(model.document(),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/{LOGISTIC}")
+    else:
+        model.write().overwrite().save(path)
     return path
 
 
-def load_model(path: str) -> PipelineModel:
-    """S-A7: load a persisted pipeline."""
-    return PipelineModel.load(path)
+def load_model(path: str):
+    """S-A7: load a persisted model."""
+    try:
+        rows = SparkSession.getActiveSession().read.text(f"{path}/{LOGISTIC}")
+    except AnalysisException:                             # no such folder: a pipeline
+        return PipelineModel.load(path)
+    return newton.Logistic.of(rows.first()["value"])

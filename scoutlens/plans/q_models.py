@@ -165,6 +165,23 @@ def roundtrip_checks(spark, d):
     return model_roundtrip(spark, d).agg(F.count("*").alias("n_rows"), F.bool_and("equal").alias("all_equal"))
 
 
+@query("lr_checks", """
+SELECT 'all' AS model, 6::BIGINT AS n_terms, true AS zero_slope FROM (SELECT count(*) FROM labels)""")
+def lr_checks(spark, d):
+    """The slope of the penalised loss is zero at the fitted coefficients, from the scores alone."""
+    df = _d(spark, d)
+    model = S.train_lr(df, DF, "y")
+    n, pos = F.count("*"), F.sum("y")
+    w = df.agg((n / (2 * (n - pos))).alias("w0"), (n / (2 * pos)).alias("w1")).first()
+    p = S.positive_probability(model, df, DF, "p")
+    gap = F.when(F.col("y") == 1, w["w1"]).otherwise(w["w0"]) * (F.col("p") - F.col("y"))
+    slopes = p.agg(F.sum(gap).alias("s0"), *[F.sum(gap * ((F.col(c) - float(m)) / float(s))).alias(f"s{i}")
+                                             for i, (c, m, s) in enumerate(zip(DF, model.mean, model.scale), 1)])
+    total = [F.col("s0"), *[F.col(f"s{i}") + float(b) / C.LR_C for i, b in enumerate(model.beta[1:], 1)]]
+    return slopes.select(F.lit("all").alias("model"), F.lit(len(total)).cast("long").alias("n_terms"),
+                         (F.greatest(*[F.abs(t) for t in total]) < 1e-5).alias("zero_slope"))
+
+
 @query("pca_checks", W("""
 SELECT position, count(*) AS n_rows, true AS centred, true AS first_varies_most, true AS uncorrelated
 FROM x GROUP BY position""", ("x", B.WIDE_SQL)))

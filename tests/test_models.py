@@ -98,3 +98,65 @@ def test_embedding_equals_numpy(spark):
         axes = np.linalg.svd(z, full_matrices=True)[2][:2] if len(ids) > 2 else np.zeros((2, 4))
         axes = axes * np.sign(axes[np.arange(2), abs(axes).argmax(axis=1)])[:, None]
         assert np.array([got[i] for i in ids]) == pytest.approx(z @ axes.T, abs=1e-9)
+
+
+def numpy_newton(x, y, w, ridge):
+    import numpy as np
+
+    z = np.column_stack([np.ones(len(x)), x])
+    beta = np.zeros(z.shape[1])
+    r = np.full(z.shape[1], ridge)
+    r[0] = 0.0
+    for _ in range(200):
+        p = 1 / (1 + np.exp(-z @ beta))
+        step = np.linalg.solve((z * (w * p * (1 - p))[:, None]).T @ z + np.diag(r), z.T @ (w * (p - y)) + r * beta)
+        beta = beta - step
+    return beta
+
+
+def test_newton_equals_numpy(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    x = rng.normal(0, [1, 5, 0.1], (500, 3)) + [3, 0, 7]
+    y = (x[:, 0] + 0.2 * x[:, 1] + rng.normal(0, 1, 500) > 3.6).astype(int)
+    fold = np.arange(500) % 4
+    rows = [(int(i), int(f), int(t), *map(float, v)) for i, (f, t, v) in enumerate(zip(fold, y, x))]
+    df = spark.createDataFrame(rows, "row_id long, f int, y int, a double, b double, c double").repartition(5)
+    cols = ["a", "b", "c"]
+
+    def expected(use):
+        mean, dev, n = x[use].mean(axis=0), x[use].std(axis=0), use.sum()
+        w = np.where(y[use] == 1, n / (2 * y[use].sum()), n / (2 * (1 - y[use]).sum()))
+        return mean, dev, numpy_newton((x[use] - mean) / dev, y[use], w, 1 / C.LR_C)
+
+    model = S.train_lr(df, cols, "y")
+    assert model.beta == pytest.approx(expected(np.ones(500, bool))[2], abs=1e-8)
+    fitted = S.fit_calibrated(df, cols, "y", k=4, fold_col="f")
+    assert len(fitted) == 4
+    p = np.zeros(500)
+    for k, (m, a, b) in enumerate(fitted):
+        mean, dev, beta = expected(fold != k)
+        assert m.beta == pytest.approx(beta, abs=1e-8)
+        margin = beta[0] + (x - mean) / dev @ beta[1:]
+        held = fold == k
+        pos = y[held].sum()
+        t = np.where(y[held] == 1, (pos + 1) / (pos + 2), 1 / (held.sum() - pos + 2))
+        platt = numpy_newton(margin[held][:, None], t, np.ones(held.sum()), 0.0)
+        assert (b, a) == (pytest.approx(platt[0], abs=1e-7), pytest.approx(platt[1], abs=1e-7))
+        p += 1 / (1 + np.exp(-(a * margin + b))) / 4
+    got = {r["row_id"]: r["p_calibrated"] for r in S.apply_calibrated(fitted, df, cols).collect()}
+    assert [got[i] for i in range(500)] == pytest.approx(p, abs=1e-9)
+    back = S.load_model(S.save_model(model, files.stage_path(spark, "logistic")))
+    assert (back.beta == model.beta).all() and back.cols == cols
+
+
+def test_newton_edges(spark):
+    flat = spark.createDataFrame([(i, i % 2, 1.0, None) for i in range(10)], "row_id long, y int, a double, b double")
+    model = S.train_lr(flat, ["a", "b"], "y")
+    assert model.beta == pytest.approx([0, 0, 0], abs=1e-9)
+    with pytest.raises(ValueError):
+        S.train_lr(flat.where("y = 0"), ["a"], "y")
+    apart = spark.createDataFrame([(i, int(i > 20), float(i)) for i in range(41)], "row_id long, y int, a double")
+    out = S.calibrated_scores(apart, ["a"], "y", k=5).agg(F.min("p_calibrated"), F.max("p_calibrated")).first()
+    assert 0 <= out[0] < 0.3 and 0.7 < out[1] <= 1
