@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +25,7 @@ from ..operators.stats import archetype_expr
 from ..session import materialize
 
 MAX_GROUPS = 1000      # groups that get models of their own
-INIT_ROWS = 2048       # rows of a group that K-Means starts are drawn from
+INIT_ROWS = 2048       # different vectors of a group that K-Means starts are drawn from, about
 
 
 def standardize(df: DataFrame, cols: list[str], part: list[str] | None = None,
@@ -120,16 +120,34 @@ def _points(df: DataFrame, cols: list[str], part: str) -> DataFrame:
     return materialize(z.select(F.col(part).alias("g"), _vec([f"{c}_std" for c in cols]).alias("x")), "points")
 
 
-def _plus_plus(x: np.ndarray, k: int, rng) -> np.ndarray:
-    """k-means++ start from the rows of ``x``."""
-    at = [int(rng.integers(len(x)))]
+def _plus_plus(x: np.ndarray, k: int, rng, w: np.ndarray | None = None) -> np.ndarray:
+    """k-means++ start from the rows of ``x``, which stand for ``w`` rows each."""
+    w = np.ones(len(x)) if w is None else w
+    at = [int(rng.choice(len(x), p=w / w.sum()))]
     d = ((x - x[at[0]]) ** 2).sum(axis=1)
     for _ in range(1, k):
-        at.append(int(rng.choice(len(x), p=d / d.sum()) if d.sum() > 0 else rng.integers(len(x))))
+        p = d * w
+        at.append(int(rng.choice(len(x), p=p / p.sum()) if p.sum() > 0 else rng.integers(len(x))))
         d = np.minimum(d, ((x - x[at[-1]]) ** 2).sum(axis=1))
     return x[at].copy()
 
 
+def start_sample(points: DataFrame, groups: list, seed: int = C.SEED, rows: int = INIT_ROWS) -> DataFrame:
+    """(g, x, w): different vectors of each group of (g, x), about ``rows`` of them, with the rows that each
+    stands for.
+
+    Equal vectors are one candidate. Each is taken by its own hash with a probability that is half by its
+    copies and half the same for all, so one vector with very many copies is in the sample and leaves
+    room for the others; a group of fewer vectors than half of ``rows`` is taken whole. Nothing is sorted and no
+    group meets in a task."""
+    each = materialize(points.where(F.col("g").isin(list(groups))).groupBy("g", "x").agg(F.count("*").alias("w")), "vectors")
+    size = each.groupBy("g").agg(F.sum("w").alias("rows"), F.count("*").alias("vectors"))
+    p = F.least(F.lit(1.0), rows / 2 * (F.col("w") / F.col("rows") + 1 / F.col("vectors")))
+    u = F.pmod(F.xxhash64("x", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    return join_small(each, size, ["g"], "inner").withColumn("p", p).where(u < F.col("p")).select(
+        "g", "x", (F.col("w") / F.col("p")).alias("w"))
+
+
 def _matrix(column) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
@@ -181,23 +199,21 @@ def kmeans_many(points: DataFrame, wanted: dict, dim: int, n_init: int, seed: in
 
     ``wanted``: the values of k for each group. Every iteration is one pass over ``points``
     (g, x) for all models that still move; tasks send one row per model and cluster. Starts
-    are k-means++ on at most ``INIT_ROWS`` rows of each group, the smallest by hash.
+    are k-means++ on a weighted sample of each group's different vectors (:func:`start_sample`).
     """
-    first = Window.partitionBy("g").orderBy(F.xxhash64("x", F.lit(seed)))
-    drawn = points.where(F.col("g").isin(list(wanted))).withColumn("n", F.row_number().over(first)) \
-        .where(F.col("n") <= INIT_ROWS).orderBy("g", "n").drop("n").toArrow()
-    labels, x = np.array(drawn["g"].to_pylist(), object), _matrix(drawn["x"].combine_chunks())
+    drawn = start_sample(points, list(wanted), seed).orderBy("g", F.xxhash64("x", F.lit(seed)), "x").toArrow()
+    labels, x, w = np.array(drawn["g"].to_pylist(), object), _matrix(drawn["x"].combine_chunks()), drawn["w"].to_numpy()
     centres: dict = {}
     spec: dict = {}
     for g, ks in wanted.items():
-        mine = x[labels == g]
+        mine, stand = x[labels == g], w[labels == g]
         rng = np.random.default_rng(seed)
         centres[g] = {}
         for k in ks:
             for _ in range(n_init):
                 m = len(centres[g])
                 spec[g, m] = k
-                centres[g][m] = _plus_plus(mine, min(k, len(mine)), rng)
+                centres[g][m] = _plus_plus(mine, min(k, len(mine)), rng, stand)
     moving = {g: dict(c) for g, c in centres.items()}
     for _ in range(max_iter):
         moving = {g: c for g, c in moving.items() if c}

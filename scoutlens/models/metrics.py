@@ -153,3 +153,11 @@ def model_comparison(df: DataFrame, y: str, scores: dict[str, str]) -> DataFrame
         rows = r if rows is None else rows.unionByName(r)
     w = Window.orderBy(F.col("average_precision").desc(), F.col("model"))
     return rows.withColumn("rank", F.row_number().over(w))
+
+
+def compare_scores(scores: DataFrame, model: str, y: str, p: str) -> DataFrame:
+    """M-S14 over a long table (model, y, p) of all models' scores: average precision, ROC AUC and Brier
+    score of each from shared passes, ranked by average precision (ties by name)."""
+    rows = average_precision(scores, y, p, [model]).join(roc_auc(scores, y, p, [model]), model) \
+        .join(scores.groupBy(model).agg(F.avg(F.pow(F.col(p) - _y(y), 2)).alias("brier")), model)
+    return rows.withColumn("rank", F.row_number().over(Window.orderBy(F.col("average_precision").desc(), F.col(model))))

@@ -401,6 +401,67 @@ def kmeans_global(spark, d):
     return finish(U.k_sweep(_x(spark, d), WIDE, None, ks=GLOBAL_KS))
 
 
+@query("kmeans_global_checks", """
+SELECT 7::BIGINT AS n_k, true AS falls_with_k, true AS scored, 1::BIGINT AS n_best FROM (SELECT count(*) FROM embeddings)""")
+def kmeans_global_checks(spark, d):
+    """All k are there, the inertia falls as k grows, silhouettes are in range, the highest is the best."""
+    s = files.materialize(kmeans_global(spark, d), "global-sweep")
+    steps = s.agg(F.array_sort(F.collect_list(F.struct("k", "inertia"))).alias("s"), F.count("*").alias("n_k"),
+                  F.bool_and(F.col("silhouette").between(-1, 1)).alias("scored"),
+                  F.count_if(F.col("is_best")).alias("n_best"))
+    return steps.select("n_k", F.forall(F.sequence(F.lit(2), F.size("s")), lambda i: F.element_at("s", i)["inertia"]
+                                        <= F.element_at("s", i - 1)["inertia"] * 1.02).alias("falls_with_k"), "scored", "n_best")
+
+
+# --- M-S14: trained models against each other ---------------------------------------------
+
+def _out_of_fold(spark, d):
+    """One score table of every model on the same held-out rows: (row_id, y, model, p). Rows are dealt by
+    group; every model learns from the rows of the other folds."""
+    df = files.materialize(metrics.grouped_folds(_d(spark, d), "group", "y", 3), "folds")
+    learn, held = df.where("fold <> 0"), df.where("fold = 0")
+    grid = {k: v[:2] for k, v in C.RF_GRID.items()}
+    models = {"logistic_regression": S.train_lr(learn, DF, "y"), "random_forest": S.train_rf(learn, DF, "y", num_trees=50),
+              "gbt": S.train_gbt(learn, DF, "y", rounds=20), "random_forest_tuned": S.tuned_rf(learn, DF, "y", "group", grid, 6, 3)[1]}
+    scores = None
+    for name, model in models.items():
+        p = S.positive_probability(model, held, DF, "p").select("row_id", "y", F.lit(name).alias("model"), "p")
+        scores = p if scores is None else scores.unionByName(p)
+    return files.materialize(scores, "model-scores"), learn, held
+
+
+@query("trained_comparison")
+def trained_comparison(spark, d):
+    """Logistic regression, forest, boosted trees and the tuned forest on held-out groups, best first."""
+    scores, _, _ = _out_of_fold(spark, d)
+    return finish(metrics.compare_scores(scores, "model", "y", "p"))
+
+
+@query("comparison_checks", """
+SELECT 4::BIGINT AS n_models, true AS same_rows, true AS precision_agrees, true AS auc_agrees, true AS calibrated_in_range
+FROM (SELECT count(*) FROM labels)""")
+def comparison_checks(spark, d):
+    """The table's metrics against plain SQL over the written scores, and the winner calibrated."""
+    scores, learn, held = _out_of_fold(spark, d)
+    table = metrics.compare_scores(scores, "model", "y", "p")
+    scores.createOrReplaceTempView("comparison_scores")
+    plain = spark.sql("""
+        WITH t AS (SELECT model, p, sum(y) AS pos, count(*) AS n FROM comparison_scores GROUP BY model, p),
+        c AS (SELECT model, p, pos, n, sum(pos) OVER w AS tp, sum(n) OVER w AS seen, sum(pos) OVER m AS all_pos, sum(n) OVER m AS rows
+              FROM t WINDOW w AS (PARTITION BY model ORDER BY p DESC), m AS (PARTITION BY model))
+        SELECT model, sum(pos / all_pos * tp / seen) AS ap,
+               sum((n - pos) * (tp - pos / 2)) / max(all_pos * (rows - all_pos)) AS auc, max(rows) AS n_rows FROM c GROUP BY model""")
+    best = table.where("rank = 1").first()["model"]
+    fit = {"logistic_regression": None, "random_forest": lambda x: S.train_rf(x, DF, "y", num_trees=50),
+           "gbt": lambda x: S.train_gbt(x, DF, "y", rounds=20), "random_forest_tuned": lambda x: S.train_forest(x, DF, "y", num_trees=100)}
+    p = S.apply_calibrated(S.fit_calibrated(learn, DF, "y", 3, train_fn=fit[best]), held, DF)
+    inside = p.agg(F.bool_and(F.col("p_calibrated").between(0, 1))).first()[0]
+    return table.join(plain, "model").agg(
+        F.count("*").alias("n_models"), (F.min("n_rows") == F.max("n_rows")).alias("same_rows"),
+        (F.max(F.abs(F.col("average_precision") - F.col("ap"))) < 1e-9).alias("precision_agrees"),
+        (F.max(F.abs(F.col("roc_auc") - F.col("auc"))) < 1e-9).alias("auc_agrees"), F.lit(bool(inside)).alias("calibrated_in_range"))
+
+
 # --- what SQL can say about a trained model's output ------------------------------------
 
 @query("kmeans_checks", W("""

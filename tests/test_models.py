@@ -160,3 +160,23 @@ def test_newton_edges(spark):
     apart = spark.createDataFrame([(i, int(i > 20), float(i)) for i in range(41)], "row_id long, y int, a double")
     out = S.calibrated_scores(apart, ["a"], "y", k=5).agg(F.min("p_calibrated"), F.max("p_calibrated")).first()
     assert 0 <= out[0] < 0.3 and 0.7 < out[1] <= 1
+
+
+def test_starts_are_different_vectors(spark):
+    """A group of which nine tenths are copies of one vector still gives k different starts."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    rows = [("hot", [1.0, 1.0])] * 18000 + [("hot", [float(v) for v in x]) for x in rng.normal(0, 3, (2000, 2))]
+    rows += [("few", [float(i), 0.0]) for i in range(5)] * 10 + [("one", [2.0, 2.0])] * 3000
+    points = spark.createDataFrame(rows, "g string, x array<double>").repartition(4)
+    drawn = U.start_sample(points, ["hot", "few", "one"]).collect()
+    by = {g: [r for r in drawn if r["g"] == g] for g in ("hot", "few", "one")}
+    assert len(by["few"]) == 5 and all(r["w"] == 10 for r in by["few"]) and len(by["one"]) == 1
+    assert 500 < len(by["hot"]) < 2500 and max(r["w"] for r in by["hot"]) == 18000
+    assert 15000 < sum(r["w"] for r in by["hot"]) < 25000
+    for seed in range(10):
+        x, w = np.array([r["x"] for r in by["hot"]]), np.array([r["w"] for r in by["hot"]])
+        assert len({tuple(c) for c in U._plus_plus(x, 9, np.random.default_rng(seed), w)}) == 9
+    found = U.kmeans_many(points, {"hot": [4], "few": [5], "one": [1]}, 2, 3)
+    assert len({tuple(c) for c in found["hot", 4][0]}) == 4 and found["few", 5][1] == pytest.approx(0) and found["one", 1][1] == 0
