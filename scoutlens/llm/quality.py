@@ -7,8 +7,8 @@ most common words plus one bin for all other words, by Jensen-Shannon distance (
 of the base-2 divergence, 0 to 1). A text is kept if both distances are small enough; a
 histogram of too few characters or words is not judged (minimum-length guards).
 
-Common words are chosen by a frequent-items sketch over every word (bounded per task and
-language, whatever a language's share), their counts are then exact sums over all texts.
+Common words are chosen by exact counts over every word: equal words are added up inside tasks
+first, and each task passes on a language's best words only, whatever the language's share.
 Only per-text figures are written between the passes, never texts. Windows are compared as
 chained 64-bit hashes inside one row.
 
@@ -19,7 +19,7 @@ each judged; further columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.joins import join_small
@@ -28,7 +28,6 @@ from .common import materialize, text_of
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
 COMMON = 32                 # common words of a language
-TRACKED = 4096              # items the sketch tracks
 MIN_WORDS, MIN_CHARS = 60, 300
 MAX_WORD_DISTANCE, MAX_CHAR_DISTANCE = 0.45, 0.25
 #: character classes: what is left of a text when all other characters are taken out
@@ -70,10 +69,13 @@ def counts(docs: DataFrame) -> DataFrame:
 
 
 def common_words(docs: DataFrame) -> DataFrame:
-    """(lang, common): each language's most common lower-case words, in a fixed order."""
-    word = docs.select("lang", F.explode(_words(F.lower("text"))).alias("word"))
-    found = word.groupBy("lang").agg(F.expr(f"approx_top_k(word, {COMMON}, {TRACKED})").alias("top"))
-    return found.select("lang", F.sort_array(F.transform("top", lambda x: x["item"])).alias("common"))
+    """(lang, common): each language's most common lower-case words (equal counts: the smaller word first), in
+    a fixed order. All words are counted; a task passes on its best words of a language only."""
+    word = docs.select("lang", F.explode(_words(F.lower("text"))).alias("word")).groupBy("lang", "word").count()
+    first = Window.partitionBy("lang").orderBy(F.col("count").desc(), "word")
+    top = word.withColumn("n", F.row_number().over(first)).where(F.col("n") <= COMMON)
+    found = top.groupBy("lang").agg(F.sort_array(F.collect_list("word")).alias("common"))
+    return docs.select("lang").distinct().join(found, "lang", "left").select("lang", F.coalesce("common", F.array()).alias("common"))
 
 
 def histograms(df: DataFrame) -> DataFrame:
@@ -83,7 +85,8 @@ def histograms(df: DataFrame) -> DataFrame:
     df = df.withColumn("found", F.filter(low, lambda x: x > 0))
     bins = F.transform(F.sequence(F.lit(1), F.size("common")), lambda k: F.size(F.filter("found", lambda x: x == k)))
     df = df.withColumn("hits", F.concat(bins, F.array(F.size("words") - F.size("found"))))
-    sizes = [F.length(F.regexp_replace("text", p, "")) for p in CLASSES.values()]
+    known = {"space": F.length("text") - F.col("word_chars").cast("int"), "symbol": F.col("n_symbols").cast("int")}
+    sizes = [known[c] if c in known else F.length(F.regexp_replace("text", p, "")) for c, p in CLASSES.items()]
     df = df.withColumn("classes", F.array(*sizes))
     total = F.aggregate("classes", F.lit(0), lambda a, x: a + x)
     return df.withColumn("chars", F.concat("classes", F.array(F.length("text") - total)))

@@ -75,3 +75,23 @@ def test_scan_abandons_most_and_keeps_what_reaches_the_floor():
     assert len(reached & set(zip(i, j))) >= 0.95 * len(reached)
     assert len(i) < 0.5 * score.size
     assert len(ann.scan(x, q, np.full(20, -np.inf), rotation)[0]) == score.size
+
+
+def test_queries_of_the_rows_dimension_are_kept(spark):
+    """The rows' commonest dimension counts, also where most queries have another one."""
+    rows = [(i, [float(i), 1.0]) for i in range(1, 40)] + [(20 * i, [1.0, 2.0, float(i)]) for i in (5, 6, 7)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = found(ann.search(df, df.where("vec_id % 20 = 0"), 20))
+    assert set(got) == {20} and got == brute(rows[:39], [rows[19]], 20)
+
+
+def test_recall_of_the_registered_setting(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(150, 32))
+    x = (centres[rng.integers(0, 150, 20000)] + 0.6 * rng.normal(size=(20000, 32))).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    got = found(ann.search(df, df.where("vec_id % 40 = 0")))
+    score = x[::40].astype(float) @ x.astype(float).T
+    score[np.arange(500), np.arange(0, 20000, 40)] = -np.inf
+    want = np.argpartition(-score, 19, axis=1)[:, :20]
+    assert sum(len({i for i, _ in got[40 * q]} & set(w.tolist())) for q, w in enumerate(want)) / (20 * 500) >= 0.93

@@ -88,3 +88,44 @@ def test_no_python_in_the_plan(spark, texts):
     for df in (quality.common_words(docs), quality.counts(docs.withColumnRenamed("doc_id", "key")), quality.verdicts(docs)):
         plan = df._jdf.queryExecution().toString()
         assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def bins(text, common):
+    """Histograms of one text: character classes and the rest of ASCII; common words and all others."""
+    words = WORD.findall(text)
+    classes = [r"[a-z]", r"[A-Z]", r"[0-9]", r"[\x20\x09-\x0D]", r"[#*$%&|<>]", r"[^\x00-\x7F]"]
+    chars = [len(re.findall(c, text)) for c in classes]
+    hits = [sum(w.lower() == c for w in words) for c in common]
+    return [*chars, len(text) - sum(chars)], [*hits, len(words) - sum(hits)]
+
+
+def test_common_words_and_verdict_by_brute_force(spark):
+    rng = random.Random(12)
+    vocabulary = {"en": [f"w{i}" for i in range(400)], "fr": [f"é{i}" for i in range(50)], "xx": ["a", "B", "b"]}
+    rows = []
+    for i in range(240):
+        lang = rng.choice(["en", "en", "fr", "xx", None])
+        words = vocabulary[lang or "fr"]
+        body = [rng.choice(words[:rng.choice([5, len(words)])]) for _ in range(rng.randint(0, 160))]
+        rows.append((i, rng.choice([" ", "\n", " # "]).join(w.upper() if rng.random() < 0.1 else w for w in body), lang))
+    rows += [(500, "", "empty"), (501, None, "empty")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    wanted = {}
+    for lang in {r[2] for r in rows}:
+        count = collections.Counter(w.lower() for _, t, g in rows if g == lang for w in WORD.findall(t or ""))
+        wanted[lang] = sorted(sorted(count, key=lambda w: (-count[w], w))[:quality.COMMON])
+    full = docs.select(F.coalesce("lang", F.lit("")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
+    assert {r["lang"]: r["common"] for r in quality.common_words(full).collect()} == {g or "": w for g, w in wanted.items()}
+    total = {}
+    for _, t, g in rows:
+        c, h = bins(t or "", wanted[g])
+        a, b = total.setdefault(g, ([0] * 7, [0] * len(h)))
+        total[g] = [x + y for x, y in zip(a, c)], [x + y for x, y in zip(b, h)]
+    for r in quality.verdicts(docs).collect():
+        _, text, lang = next(x for x in rows if x[0] == r["doc_id"])
+        c, h = bins(text or "", wanted[lang])
+        assert r["char_distance"] == (pytest.approx(js(c, total[lang][0])) if sum(c) else None)
+        assert r["word_distance"] == (pytest.approx(js(h, total[lang][1])) if sum(h) else None)
+        near = (sum(h) < quality.MIN_WORDS or r["word_distance"] <= quality.MAX_WORD_DISTANCE) and (
+            sum(c) < quality.MIN_CHARS or r["char_distance"] <= quality.MAX_CHAR_DISTANCE)
+        assert r["kept"] == (near and not r["base_failed"])
