@@ -40,8 +40,9 @@ def _words(t: Column) -> Column:
 
 
 def counts(docs: DataFrame) -> DataFrame:
-    """``docs`` (key, lang, text) with words and the plain counts; keeps ``words`` and ``text``."""
-    df = docs.withColumn("words", _words(F.col("text")))
+    """``docs`` (key, lang, text) with words and the plain counts; keeps ``words``, ``text`` and
+    ``tight``, the text without white space, in which the other character classes are counted."""
+    df = docs.withColumn("words", _words(F.col("text"))).withColumn("tight", F.regexp_replace("text", r"[\x20\x09-\x0D]+", ""))
     lines = F.filter(F.split("text", "\n"), lambda x: F.length(F.translate(x, " \t\n\x0b\x0c\r", "")) > 0)
     # every column that a lambda looks into is used twice or more in the next projection: the
     # optimizer then keeps it as a column and does not compute it anew for each element
@@ -60,10 +61,10 @@ def counts(docs: DataFrame) -> DataFrame:
         F.transform("places", lambda x, j: F.least(F.lit(WINDOW), F.coalesce(F.get("places", j + 1) - x, F.lit(WINDOW)))),
         F.lit(0), lambda a, x: a + x)
     return df.select(
-        "key", "lang", "text", "words",
+        "key", "lang", "text", "words", "tight",
         F.size("words").cast("long").alias("n_words"),
-        F.length(F.regexp_replace("text", r"[\x20\x09-\x0D]+", "")).cast("long").alias("word_chars"),
-        F.length(F.regexp_replace("text", CLASSES["symbol"], "")).cast("long").alias("n_symbols"),
+        F.length("tight").cast("long").alias("word_chars"),
+        F.length(F.regexp_replace("tight", CLASSES["symbol"], "")).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"))
 
@@ -86,7 +87,7 @@ def histograms(df: DataFrame) -> DataFrame:
     bins = F.transform(F.sequence(F.lit(1), F.size("common")), lambda k: F.size(F.filter("found", lambda x: x == k)))
     df = df.withColumn("hits", F.concat(bins, F.array(F.size("words") - F.size("found"))))
     known = {"space": F.length("text") - F.col("word_chars").cast("int"), "symbol": F.col("n_symbols").cast("int")}
-    sizes = [known[c] if c in known else F.length(F.regexp_replace("text", p, "")) for c, p in CLASSES.items()]
+    sizes = [known[c] if c in known else F.length(F.regexp_replace("tight", p, "")) for c, p in CLASSES.items()]
     df = df.withColumn("classes", F.array(*sizes))
     total = F.aggregate("classes", F.lit(0), lambda a, x: a + x)
     return df.withColumn("chars", F.concat("classes", F.array(F.length("text") - total)))
