@@ -84,7 +84,7 @@ def histograms(df: DataFrame) -> DataFrame:
     all other words)."""
     low = F.transform("words", lambda w: F.array_position("common", F.lower(w)))
     df = df.withColumn("found", F.filter(low, lambda x: x > 0))
-    bins = F.transform(F.sequence(F.lit(1), F.size("common")), lambda k: F.size(F.filter("found", lambda x: x == k)))
+    bins = F.transform(F.sequence(F.lit(1), F.size("common")), lambda k: F.size("found") - F.size(F.array_remove("found", k)))
     df = df.withColumn("hits", F.concat(bins, F.array(F.size("words") - F.size("found"))))
     known = {"space": F.length("text") - F.col("word_chars").cast("int"), "symbol": F.col("n_symbols").cast("int")}
     sizes = [known[c] if c in known else F.length(F.regexp_replace("tight", p, "")) for c, p in CLASSES.items()]
