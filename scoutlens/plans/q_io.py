@@ -38,6 +38,37 @@ def stage_roundtrip(spark, d):
     return finish(back.select(*flows.feature_table(spark, d).columns))
 
 
+@query("stage_replace", """
+SELECT o_orderkey, o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS _source_year,
+       CASE WHEN year(o_orderdate) = 1996 THEN 'corrected' END AS note
+FROM orders WHERE year(o_orderdate) <> 1996 OR o_orderpriority = '1-URGENT'""")
+def stage_replace(spark, d):
+    """A table of all years, then one year written anew with a further column."""
+    o = B.table(spark, d, "orders").select("o_orderkey", "o_orderpriority", F.year("o_orderdate").alias("_source_year"))
+    path = files.stage_path(spark, "orders")
+    files.replace_partitions(o, path)
+    files.replace_partitions(o.where("_source_year = 1996 AND o_orderpriority = '1-URGENT'")
+                             .withColumn("note", F.lit("corrected")), path)
+    return files.read_partitions(spark, path)
+
+
+@query("elbow_documents", """
+WITH s AS (SELECT c_mktsegment AS position, c_nationkey % 9 + 2 AS k, min(c_acctbal)::DOUBLE AS inertia,
+                  max(c_acctbal)::DOUBLE AS silhouette FROM customer GROUP BY ALL),
+b AS (SELECT position, arg_max(k, (silhouette, -k)) AS best_k FROM s GROUP BY 1)
+SELECT position, CAST(k AS INTEGER) AS k, inertia, silhouette, k = best_k AS is_best FROM s JOIN b USING (position)""")
+def elbow_documents(spark, d):
+    """Sweep rows per (position, k) nested into one document per position, written as JSON, and the
+    elbow table built from the stored documents."""
+    s = B.table(spark, d, "customer").groupBy(
+        F.col("c_mktsegment").alias("position"), (F.col("c_nationkey") % 9 + 2).cast("int").alias("k")).agg(
+        F.min("c_acctbal").cast("double").alias("inertia"), F.max("c_acctbal").cast("double").alias("silhouette"))
+    best = s.groupBy("position").agg(F.max_by("k", F.struct("silhouette", -F.col("k"))).alias("best"))
+    s = s.join(best, "position").withColumn("is_best", F.col("k") == F.col("best"))
+    path = files.write_json(files.sweep_documents(s), files.stage_path(spark, "sweep"))
+    return files.read_sweep(spark, path)
+
+
 @query("json_roundtrip", W("""
 SELECT league, position, count(*) AS n FROM m GROUP BY league, position""", ("m", B.M_SQL)))
 def json_roundtrip(spark, d):

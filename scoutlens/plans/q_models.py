@@ -380,8 +380,10 @@ def kmeans_k_sweep(spark, d):
 
 @query("elbow_table")
 def elbow_table(spark, d):
-    sw = U.k_sweep(_x(spark, d), WIDE, "position", ks=KS)
-    return finish(sw.select("position", "k", "inertia", "silhouette", "is_best"))
+    """Read from the sweep's stored documents."""
+    sweep = U.k_sweep(_x(spark, d), WIDE, "position", ks=KS)
+    path = files.write_json(files.sweep_documents(sweep), files.stage_path(spark, "sweep"))
+    return finish(files.read_sweep(spark, path))
 
 
 @query("cluster_by_position")

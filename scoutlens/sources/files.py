@@ -1,11 +1,9 @@
-"""File sources and sinks (S-A1 … S-A5).
+"""File sinks and sources of whole tables and documents (S-A2 … S-A5).
 
-* yearly CSV exports are read as all-string columns with a header, checked
-  against the required column list, tagged with their year and unioned by
-  name (missing columns become NULL);
 * stage tables are written as parquet partitioned by ``_source_year`` (year
   filters then prune files) and read back with booleans repaired when the
-  source is text;
+  source is text; :mod:`.stage_table` replaces single partitions, :mod:`.yearly`
+  reads the yearly exports;
 * nested results (metrics, profiles, sweeps, careers) go through Spark's JSON
   writer/reader with a declared schema.
 
@@ -15,18 +13,15 @@ Scratch and stage folders live under the session's shared checkpoint folder
 
 from __future__ import annotations
 
-import logging
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text_bool
-from ..operators.quality import SchemaValidationError, check_columns, check_numbers  # noqa: F401
+from ..operators.quality import SchemaValidationError  # noqa: F401
 from ..session import materialize, stage_path  # noqa: F401
-
-log = logging.getLogger(__name__)
+from .stage_table import read_partitions, replace_partitions  # noqa: F401
+from .yearly import load_yearly  # noqa: F401
 
 
 def write_yearly_csv(df: DataFrame, root: str, year_col: str) -> str:
@@ -37,44 +32,6 @@ def write_yearly_csv(df: DataFrame, root: str, year_col: str) -> str:
     return root
 
 
-def load_yearly(spark: SparkSession, root: str, years: list[int],
-                pattern: str = "{year}_*.csv", required=None, optional=(),
-                year_col: str = "_source_year", numeric=()) -> DataFrame:
-    """S-A1: multi-file yearly scan with provenance.
-
-    A missing year is skipped with a warning; a schema error (missing required
-    columns, text in one of the ``numeric`` columns) is raised naming every column.
-    Each file is read under its own header, so files may order columns differently.
-    All columns are read as text; typing is left to ``try_cast`` downstream.
-    """
-    parts = []
-    for y in years:
-        path = f"{root.rstrip('/')}/{pattern.format(year=y)}"
-        try:
-            names = spark.read.format("binaryFile").load(path).select("path").distinct().orderBy("path").collect()
-        except AnalysisException as e:
-            log.warning("year %s skipped: %s", y, str(e).splitlines()[0])
-            continue
-        # files with one header are one scan; another column order is a scan of its own
-        by_header: dict[tuple, list[str]] = {}
-        for r in names:                                   # one listing entry per file
-            header = tuple(spark.read.option("header", True).csv(r["path"]).columns)
-            by_header.setdefault(header, []).append(r["path"])
-        for paths in by_header.values():
-            df = spark.read.option("header", True).option("inferSchema", False).csv(paths)
-            if required is not None:
-                check_columns(df, required, optional)     # raises SchemaValidationError
-            if numeric:
-                check_numbers(df, numeric)
-            parts.append(df.withColumn(year_col, F.lit(int(y))))
-    if not parts:
-        raise FileNotFoundError(f"no yearly file under {root} for {years}")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out
-
-
 def repair_booleans(df: DataFrame, cols: list[str]) -> DataFrame:
     """S-A2 helper: text booleans -> ``lower(trim(x)) == 'true'`` (numeric 1 also true)."""
     for c in cols:
@@ -162,6 +119,30 @@ def read_careers(spark: SparkSession, path: str) -> DataFrame:
                        F.array_sort(F.array_distinct("leagues")).alias("leagues"))
 
 
+def read_sweep(spark: SparkSession, path: str) -> DataFrame:
+    """H-5: sweep documents, one per position with parallel lists over k, -> one row per (position, k).
+
+    Lists are paired by place; a list that is shorter than ``k_range`` gives null there, a document
+    without ``k_range`` (or an unreadable one) gives no row.
+    """
+    doc = read_json(spark, path, "position string, k_range array<int>, inertias array<double>, "
+                                 "silhouettes array<double>, best_k int")
+    at = doc.select("position", "best_k", "inertias", "silhouettes", F.posexplode("k_range").alias("i", "k"))
+    return at.select("position", "k", F.get("inertias", F.col("i")).alias("inertia"),
+                     F.get("silhouettes", F.col("i")).alias("silhouette"),
+                     F.coalesce(F.col("k") == F.col("best_k"), F.lit(False)).alias("is_best"))
+
+
+def sweep_documents(sweep: DataFrame, part: str = "position") -> DataFrame:
+    """H-5: one document per position from the sweep's (position, k, inertia, silhouette, is_best) rows;
+    its lists hold one entry per k, which the sweep's range bounds."""
+    per = sweep.groupBy(F.col(part).alias("position")).agg(
+        F.array_sort(F.collect_list(F.struct("k", "inertia", "silhouette"))).alias("s"),
+        F.min(F.when(F.col("is_best"), F.col("k"))).alias("best_k"))
+    return per.select("position", F.col("s.k").alias("k_range"), F.col("s.inertia").alias("inertias"),
+                      F.col("s.silhouette").alias("silhouettes"), "best_k")
+
+
 def read_k_scores(spark: SparkSession, path: str) -> DataFrame:
     """S-A5: k-sweep document -> one row per (position, k)."""
     return read_json(spark, path, "position string, k int, inertia double, silhouette double, "
