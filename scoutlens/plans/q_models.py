@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import config as C
 from ..models import cluster as U
-from ..models import density, metrics
+from ..models import audit, density, metrics
 from ..models import supervised as S
 from ..operators import stats
 from ..sources import files
@@ -152,6 +152,25 @@ def score_checks(spark, d):
         (F.avg(good.cast("double")) > 0.99).alias("percentile_is_rank"))
 
 
+TREE_CHECKS = """
+SELECT m.model, d.position, count(*) AS n_rows, true AS equal
+FROM d, (VALUES ('rf'), ('gbt')) m(model) GROUP BY 1, 2"""
+
+
+@query("tree_checks", W(TREE_CHECKS, ("d", B.D_ALL_SQL)))
+def tree_checks(spark, d):
+    """Every document's score, walked through the table of the ensemble's nodes, is the ensemble's own."""
+    every, parts = files.materialize(_all(spark, d), "documents"), []
+    for name, train in (("rf", S.train_rf), ("gbt", S.train_gbt)):
+        model = train(_d(spark, d), DF, "y")
+        own = S.positive_probability(model, every, DF, "own").select("row_id", "position", "own")
+        walked = audit.walk(audit.node_table(model), every, DF, "row_id", audit.depth(model), name == "gbt", "walked")
+        parts.append(own.join(walked, "row_id", "left").withColumn("model", F.lit(name)))
+    return parts[0].unionByName(parts[1]).groupBy("model", "position").agg(
+        F.count("*").alias("n_rows"),
+        F.bool_and(F.coalesce(F.abs(F.col("own") - F.col("walked")) < 1e-6, F.lit(False))).alias("equal"))
+
+
 @query("importance_checks", """
 SELECT model, 5::BIGINT AS n_features, true AS sums_to_one FROM (VALUES ('lr'), ('rf')) m(model), (SELECT count(*) FROM documents)""")
 def importance_checks(spark, d):
