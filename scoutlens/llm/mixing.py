@@ -4,14 +4,15 @@ Source weights are the source token shares raised to an exponent and normalised.
 exponent in [0, 1] is bisected: the largest whose weights reach a target entropy (given as
 a share of the largest possible), or the smallest whose most repeated source stays within
 a repetition limit; where both are given the repetition limit prevails. Each source then
-gets ``weight * budget`` tokens. Its texts are dealt to blocks by hash; every pass (epoch)
+gets ``weight * budget`` tokens. Its texts are dealt to blocks by a hash of key and text (rows
+without a key, or with one in common, spread like any others); every pass (epoch)
 over the source visits the blocks in an order of its own and the texts of a block in an
 order of their own; passes follow each other until the source's budget is used (the text
 that crosses it is the last one). Everything is DataFrame expressions.
 
-Only block totals are summed in order across a source (one row per ~``BLOCK`` texts), so a
-source with a third of all rows is sorted block by block in many tasks. The bisection holds
-one number per source.
+Only block totals are summed in order across a source (one row per ~``BLOCK`` texts), and
+these in up to 4096 ranges of their place in the order, so a source with a third of all rows
+is sorted in many tasks. The bisection holds one number per source.
 
 Texts with the same key, source and text are one unit that is chosen as a whole. Defined
 results: a null source is a source of its own; a null or empty text has no token and
@@ -31,6 +32,7 @@ from .common import materialize, text_of
 BLOCK = 1024                        # texts of a block, about
 STEPS = 40                          # halvings of the exponent's range
 DIGITS = 6                          # of the exponent
+RANGE = 3                           # hex digits of a block's draw: blocks are ordered in 16 ** RANGE ranges
 
 
 def n_words(text: str) -> Column:
@@ -39,10 +41,15 @@ def n_words(text: str) -> Column:
     return F.length(F.translate(marks, " \t\n\x0b\x0c\r", "")).cast("long")
 
 
+def content_of(text: str) -> Column:
+    """60 bits of the text's MD5: what tells texts of one key apart, in any engine."""
+    return F.conv(F.substring(F.md5(text_of(text)), 1, 15), 16, 10).cast("long")
+
+
 def _units(docs: DataFrame, key: str, source: str, text: str) -> DataFrame:
     return docs.select(
         F.col(key).alias("key"), F.col(source).cast("string").alias("source"),
-        F.xxhash64(text_of(text), F.length(text_of(text))).alias("content"), n_words(text).alias("tokens"),
+        content_of(text).alias("content"), n_words(text).alias("tokens"),
     ).groupBy("key", "source", "content").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("rows"))
 
 
@@ -107,7 +114,7 @@ def plan(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     # null-safe: the source as a text that is never null
     name = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit(""))
     rows = join_small(units.withColumn("_s", name), w.withColumn("_s", name).drop("source"), "_s", "inner")
-    mark = F.coalesce(F.col("key").cast("string"), F.lit(""))
+    mark = F.concat_ws("|", F.coalesce(F.col("key").cast("string"), F.lit("")), F.col("content").cast("string"))
 
     def draw(*parts):
         return F.md5(F.concat_ws("|", F.lit(str(seed)), *parts))
@@ -118,11 +125,17 @@ def plan(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
         "*", F.pmod(F.conv(F.substring(draw(mark), 1, 8), 16, 10).cast("long"), blocks).alias("block"),
         F.explode(F.sequence(F.lit(0), epochs - 1)).alias("epoch"))
     epoch = F.col("epoch").cast("string")
-    totals = rows.groupBy("_s", "epoch", "block").agg(F.sum("tokens").alias("size"))
     up_to = W.unboundedPreceding
-    by_block = W.partitionBy("_s", "epoch").orderBy(draw(epoch, F.col("_s"), F.col("block").cast("string")), "block") \
-        .rowsBetween(up_to, -1)
-    offsets = totals.withColumn("ahead", F.coalesce(F.sum("size").over(by_block), F.lit(0))).drop("size")
+    # blocks are visited in the order of their draws: ranges of draws first, then the blocks of a range
+    totals = rows.groupBy("_s", "epoch", "block").agg(F.sum("tokens").alias("size")) \
+        .withColumn("visit", draw(epoch, F.col("_s"), F.col("block").cast("string"))) \
+        .withColumn("range", F.substring("visit", 1, RANGE))
+    by_range = W.partitionBy("_s", "epoch").orderBy("range").rowsBetween(up_to, -1)
+    ranges = totals.groupBy("_s", "epoch", "range").agg(F.sum("size").alias("size")) \
+        .withColumn("before", F.coalesce(F.sum("size").over(by_range), F.lit(0))).drop("size")
+    by_block = W.partitionBy("_s", "epoch", "range").orderBy("visit", "block").rowsBetween(up_to, -1)
+    offsets = totals.withColumn("among", F.coalesce(F.sum("size").over(by_block), F.lit(0))) \
+        .join(ranges, ["_s", "epoch", "range"]).select("_s", "epoch", "block", (F.col("before") + F.col("among")).alias("ahead"))
     in_block = W.partitionBy("_s", "epoch", "block").orderBy("drawn", "key", "content").rowsBetween(up_to, -1)
     rows = rows.withColumn("drawn", draw(epoch, mark)) \
         .withColumn("inside", F.coalesce(F.sum("tokens").over(in_block), F.lit(0)))
@@ -142,7 +155,7 @@ def mix(docs: DataFrame, key: str = "doc_id", source: str = "source", text: str
     chosen = plan(docs, key, source, text, **how).select(F.col(key).alias("k"), name(source).alias("s"),
                                                          F.col("content").alias("c"))
     rows = docs.select(F.col(key).alias("k"), name(source).alias("s"),
-                       F.xxhash64(text_of(text), F.length(text_of(text))).alias("c"),
+                       content_of(text).alias("c"),
                        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     same = rows["k"].eqNullSafe(chosen["k"]) & (rows["s"] == chosen["s"]) & (rows["c"] == chosen["c"])
     return rows.join(chosen, same).select("row.*")

@@ -133,8 +133,9 @@ def _repeat(a: str) -> str:
 
 sql("op8_mixing", rf"""
 WITH RECURSIVE u AS MATERIALIZED (
-  SELECT doc_id, source, sum(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')))::BIGINT AS n_tokens
-  FROM documents GROUP BY doc_id, source, text),
+  SELECT doc_id, source, coalesce(doc_id::VARCHAR, '') || '|' || ('0x' || substr(md5(coalesce(text, '')), 1, 15))::BIGINT AS mark,
+         sum(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')))::BIGINT AS n_tokens
+  FROM documents GROUP BY ALL),
 s AS MATERIALIZED (SELECT source, count(*) AS docs, sum(n_tokens)::BIGINT AS total FROM u GROUP BY 1
                    HAVING sum(n_tokens) > 0),
 t AS MATERIALIZED (SELECT *, ln(total / (SELECT sum(total) FROM s)) AS l FROM s),
@@ -154,8 +155,8 @@ w AS (SELECT t.*, alpha, exp(alpha * l) / (SELECT sum(exp(alpha * l)) FROM t, a)
              (SELECT sum(total) FROM t) AS budget FROM t, a),
 q AS (SELECT *, floor(round(weight * budget, 3))::BIGINT AS quota FROM w),
 r AS (
-  SELECT u.doc_id, u.source, u.n_tokens, q.docs, q.total, q.quota, q.weight, q.alpha,
-         ('0x' || substr(md5('{MIX["seed"]}|' || coalesce(u.doc_id::VARCHAR, '')), 1, 8))::BIGINT
+  SELECT u.doc_id, u.source, u.mark, u.n_tokens, q.docs, q.total, q.quota, q.weight, q.alpha,
+         ('0x' || substr(md5('{MIX["seed"]}|' || u.mark), 1, 8))::BIGINT
            % ceil(q.docs / {mixing.BLOCK})::BIGINT AS block,
          unnest(range(ceil(q.quota / q.total)::BIGINT))::INTEGER AS epoch
   FROM u JOIN q ON u.source IS NOT DISTINCT FROM q.source WHERE q.quota > 0),
@@ -166,7 +167,7 @@ o AS (SELECT source, epoch, block, coalesce(sum(size) OVER (
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead FROM k),
 x AS (SELECT r.*, coalesce(sum(n_tokens) OVER (
         PARTITION BY source, epoch, block
-        ORDER BY md5('{MIX["seed"]}|' || epoch || '|' || coalesce(doc_id::VARCHAR, '')), doc_id
+        ORDER BY md5('{MIX["seed"]}|' || epoch || '|' || mark), doc_id, mark
         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS inside FROM r),
 y AS (SELECT x.*, (x.epoch * x.total + o.ahead + x.inside)::BIGINT AS stream_at
       FROM x JOIN o ON x.source IS NOT DISTINCT FROM o.source AND x.epoch = o.epoch AND x.block = o.block)

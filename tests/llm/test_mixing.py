@@ -35,7 +35,7 @@ def docs(spark, rows):
 
 def test_plan_matches_sql(spark, docs, tmp_path_factory, monkeypatch):
     folder = str(tmp_path_factory.mktemp("mix"))
-    docs.dropDuplicates(["doc_id"]).write.parquet(f"{folder}/documents.parquet")
+    docs.write.parquet(f"{folder}/documents.parquet")
     got = queries.QUERIES["op8_mixing"](spark, folder).toPandas()
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{folder}/documents.parquet/*.parquet')")
@@ -104,6 +104,27 @@ def test_mix_gives_rows_as_often_as_planned(docs):
     assert mixing.mix(docs.limit(0)).count() == 0 and mixing.plan(docs.limit(0)).count() == 0
 
 
+def test_rows_without_a_key_spread_over_all_blocks(spark):
+    n = 20 * mixing.BLOCK
+    docs = spark.range(n).selectExpr("CAST(NULL AS BIGINT) AS doc_id", "'a' AS source", "concat('text number ', id) AS text")
+    docs = docs.union(docs.where("text = 'text number 7'"))   # a repeated row is one unit of two rows
+    chosen = mixing.plan(docs, target_entropy=None, max_repeat=None, budget=3 * n + 3)
+    assert chosen.agg({"rows": "sum"}).first()[0] == n + 1
+    units = mixing._units(docs, "doc_id", "source", "text")
+    block = mixing.F.expr("pmod(conv(substring(md5(concat('7||', content)), 1, 8), 16, 10), 20)")
+    sizes = [r["count"] for r in units.groupBy(block.alias("b")).count().collect()]
+    assert len(sizes) == 20 and max(sizes) < 1.2 * mixing.BLOCK
+
+
+def test_order_of_blocks_is_the_order_of_their_draws(docs, monkeypatch):
+    cols = ["doc_id", "content", "epoch", "stream_at"]
+    monkeypatch.setattr(mixing, "BLOCK", 8)
+    fine = sorted(map(str, mixing.plan(docs).select(cols).collect()))
+    for digits in (1, 32):                                # 16 ranges; a range for each block
+        monkeypatch.setattr(mixing, "RANGE", digits)
+        assert sorted(map(str, mixing.plan(docs).select(cols).collect())) == fine
+
+
 def test_no_python_in_the_plan(docs):
     text = mixing.plan(docs)._jdf.queryExecution().toString()
     assert "Python" not in text and "Pandas" not in text and "Arrow" not in text
