@@ -1,7 +1,8 @@
 """License scan with a positional rare-token index.
 
-A small library of licence templates is indexed by word and position. Inverse document
-frequencies of the licence words come from all texts. For each template whose mandatory key
+A small library of licence templates is held as words by position; there is no table of postings
+from a word to templates, so work is texts times the templates whose phrases they hold. Inverse
+document frequencies of the licence words come from all texts. For each template whose mandatory key
 phrases stand in a text, the template's highest-IDF words are looked up with all their places,
 which gives the alignments (text position minus template position) to look at: so many words
 that no alignment with the least share can miss all of them, whatever else the text holds. An

@@ -2,8 +2,8 @@
 
 A text's 64-bit fingerprint is the bitwise majority over the XXH64 values of its word
 shingles. Two fingerprints link when they differ in at most ``max_bits`` bits. Distances to
-fixed reference fingerprints (pivots) are computed once per fingerprint; by the triangle
-inequality a pair whose distances to any pivot differ by more than ``max_bits`` cannot
+fixed reference fingerprints (pivots) are computed for the fingerprints of a cell when it is
+searched; by the triangle inequality a pair whose distances to any pivot differ by more than ``max_bits`` cannot
 link, so the maximum coordinate difference discards pairs and only survivors are verified
 by their differing bits. The rows meet in blocks: cut into ``b`` bit blocks, a linked pair
 agrees on ``b - max_bits`` of them at least (pigeonhole), so every such choice of blocks is
