@@ -46,7 +46,7 @@ class Model:
     probability: np.ndarray        # pieces x languages
 
 
-def _atoms(column: pa.Array):
+def _atoms(column: pa.Array, vocab: L.Vocabulary):
     """Distinct words of a chunk as byte ranges of ``data``; the distinct word of each word,
     and where each text's words begin: (data, start, end, inverse, bounds)."""
     data, offsets = T.buffers(pc.utf8_lower(column.fill_null("")))
@@ -60,7 +60,7 @@ def _atoms(column: pa.Array):
     body[at] = False
     spaced[body] = data[~NOT_LETTER[data]]
     pieces = np.cumsum([0, *w.counts])
-    start, end = L.atoms_cut(spaced, at, at + size + 1)
+    start, end = L.atoms_cut(vocab, spaced, at, at + size + 1)
     bounds = np.searchsorted(start, np.append(at, len(spaced))[pieces])
     _, first, inverse = np.unique(T.hashes(spaced, start, end), return_index=True, return_inverse=True)
     return spaced, start[first], end[first], inverse, bounds
@@ -75,16 +75,23 @@ def _expect(path: str, languages: list, probability: np.ndarray | None):
         counts = np.zeros((len(languages), len(vocab.pieces)))
         number = {x: i for i, x in enumerate(languages)}
         for c in T.chunks(batches, limit=CHUNK):
-            data, start, end, inverse, bounds = _atoms(c.column("text"))
+            data, start, end, inverse, bounds = _atoms(c.column("text"), vocab)
             if not len(start):
                 continue
             lang = np.array([number[x] for x in c.column("lang").to_pylist()])
             of = np.repeat(lang, np.diff(bounds))
             n = np.bincount(of * len(start) + inverse, minlength=len(languages) * len(start))
             n = n.reshape(len(languages), -1).astype(float)
-            lat = L.match(vocab, data, start, end)
+            small = end - start <= L.LONGEST
+            for i in np.flatnonzero(~small):
+                run = L.run(vocab, data[start[i]:end[i]])
+                a, b = L.log_forward(run, p), L.log_backward(run, p)
+                share = np.exp(a[run.start] + np.log(p[run.piece]) + b[run.start + run.length] - b[0])
+                for j in range(len(languages)):
+                    np.add.at(counts[j], run.piece, n[j, i] * share[:, j if share.shape[1] > 1 else 0])
+            lat = L.match(vocab, data, start[small], end[small])
             alpha, beta = L.forward(lat, p), L.backward(lat, p)
-            n = n[:, lat.order]
+            n = n[:, small][:, lat.order]
             z = beta[0]
             for length, atom, _, piece, cut in lat.edges:
                 for d in range(len(alpha) - length):
@@ -127,10 +134,9 @@ def _judge(column: pa.Array, model: Model, vocab: L.Vocabulary, p: np.ndarray):
     likelihood, and the second's."""
     rows, none = len(column), len(model.languages)
     best, share, second = np.full(rows, none), np.zeros(rows), np.zeros(rows)
-    data, start, end, inverse, bounds = _atoms(column)
+    data, start, end, inverse, bounds = _atoms(column, vocab)
     if len(start) and none:
-        lat = L.match(vocab, data, start, end)
-        mass = np.log(L.total(lat, L.forward(lat, p)))
+        mass = L.log_mass(vocab, data, start, end, p)
         doc = np.repeat(np.arange(rows), np.diff(bounds))
         like = np.stack([np.bincount(doc, mass[inverse, i], rows) for i in range(none)], axis=1)
         like = np.exp(like - like.max(axis=1, keepdims=True))

@@ -6,8 +6,10 @@ double-array trie for all positions together. Edges are grouped by piece length,
 dynamic-programming step adds at most one edge to a node and needs no scatter-add.
 
 Characters without a piece of their own fall back to byte pieces. Atoms longer than
-``LONGEST`` bytes are cut at character borders beforehand, which bounds the dynamic
-programme's depth and keeps linear-space masses above underflow; all bytes stay covered.
+``LONGEST`` bytes are cut where no piece crosses: every segmentation passes such a place, so
+the mass of an atom is the product of its parts' and nothing is lost. What has no such place
+for over ``LONGEST`` bytes (one character repeated, say) is a ``Run``, handled alone in log
+space with time and memory in proportion to its bytes.
 """
 
 from __future__ import annotations
@@ -17,7 +19,8 @@ from typing import NamedTuple
 
 import numpy as np
 
-LONGEST = 64                        # bytes of an atom
+LONGEST = 64                        # bytes of an atom that shares its steps with others
+WINDOW = 1 << 16                    # bytes of long atoms searched for cuts together
 MARK = "▁"
 PER_BYTE = 1.2                      # masses are scaled by exp(PER_BYTE * bytes)
 
@@ -51,8 +54,9 @@ def vocabulary(path: str) -> Vocabulary:
         elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
             text = name.replace(MARK, " ").encode()
             pieces[i] = text
-            if b" " not in text[1:] and len(text) <= LONGEST:   # runs of spaces never lie in one atom
-                words[text] = i
+            words[text] = i
+            if b" " in text.lstrip(b" ") or (len(text) > 1 and (b"\n" in text or b"\t" in text)):
+                raise ValueError(f"a piece crosses words: {name!r}")
     if (byte_id < 0).any():
         raise ValueError("the vocabulary has no piece for every byte")
     length = np.array([len(p) if p else 0 for p in pieces], np.int64)
@@ -109,8 +113,9 @@ class Lattice(NamedTuple):
     edges: list                     # (length, atom, start, piece, cut by start)
 
 
-def atoms_cut(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Cut atoms of over LONGEST bytes at character borders; order is kept."""
+def atoms_cut(vocab: Vocabulary, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Cut atoms of over LONGEST bytes at characters that no piece crosses, into parts of up to
+    LONGEST bytes where such places allow it; order is kept."""
     long = np.flatnonzero(end - start > LONGEST)
     if not len(long):
         return start, end
@@ -118,26 +123,39 @@ def atoms_cut(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.
     for i in long:
         starts.append(start[last:i])
         ends.append(end[last:i])
-        cuts, at, stop = [], int(start[i]), int(end[i])
-        while at < stop:
-            cuts.append(at)
-            to = min(at + LONGEST, stop)
-            while to < stop and data[to] & 0xC0 == 0x80:
-                to -= 1
-            at = to
+        free = start[i] + _uncrossed(vocab, data[start[i]:end[i]])
+        cuts, at = [], 0                                 # places in free; its last is the atom's end
+        while at < len(free) - 1:
+            cuts.append(free[at])
+            at = max(int(np.searchsorted(free, free[at] + LONGEST, "right")) - 1, at + 1)
         starts.append(np.array(cuts, np.int64))
-        ends.append(np.array([*cuts[1:], stop], np.int64))
+        ends.append(np.array([*cuts[1:], end[i]], np.int64))
         last = i + 1
     return np.concatenate([*starts, start[last:]]), np.concatenate([*ends, end[last:]])
 
 
-def match(vocab: Vocabulary, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> Lattice:
-    """All pieces at all characters of the atoms (each of 1..LONGEST bytes)."""
-    size = (end - start).astype(np.int64)
-    order = np.argsort((255 - size).astype(np.uint8), kind="stable")
-    start, size = start[order], size[order]
+def _uncrossed(vocab: Vocabulary, atom: np.ndarray) -> np.ndarray:
+    """Character borders of an atom, its ends included, that lie inside no piece at that place."""
+    n, reach = len(atom), int(vocab.length.max())
+    crossed = np.zeros(n + 1, np.int64)                  # +1 behind a piece's start, -1 at its end
+    for lo in range(0, n, WINDOW):
+        hi = min(lo + WINDOW, n)
+        part = atom[lo:hi + reach]                       # a piece that starts in the window ends in the part
+        for length, found in _pieces(vocab, part, np.array([0]), np.array([len(part)])).items():
+            at = lo + np.concatenate([rel for _, rel, _ in found])
+            at = at[at < hi]
+            if length > 1:                               # at most one piece of a length starts at a place
+                crossed[at + 1] += 1
+                crossed[at + length] -= 1
+    free = np.cumsum(crossed) <= 0
+    free[1:-1] &= (atom[1:] & 0xC0) != 0x80
+    free[[0, -1]] = True
+    return np.flatnonzero(free)
+
+
+def _pieces(vocab: Vocabulary, data: np.ndarray, start: np.ndarray, size: np.ndarray) -> dict:
+    """Pieces at all characters of the atoms: {length: [(atoms, places, pieces)]}."""
     n = len(size)
-    wide = n - np.searchsorted(size[::-1], np.arange(LONGEST + 2))
     atom = np.repeat(np.arange(n), size)
     rel = np.arange(len(atom)) - np.repeat(np.cumsum(size) - size, size)
     lead = data[start[atom] + rel]
@@ -168,6 +186,17 @@ def match(vocab: Vocabulary, data: np.ndarray, start: np.ndarray, end: np.ndarra
         have = lost[(width[lost] > k) & (left[lost] > k)]
         if len(have):
             found.setdefault(1, []).append((atom[have], rel[have] + k, vocab.byte_id[data[at[have] + k]]))
+    return found
+
+
+def match(vocab: Vocabulary, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> Lattice:
+    """All pieces at all characters of the atoms (each of 1..LONGEST bytes)."""
+    size = (end - start).astype(np.int64)
+    order = np.argsort((255 - size).astype(np.uint8), kind="stable")
+    start, size = start[order], size[order]
+    n = len(size)
+    wide = n - np.searchsorted(size[::-1], np.arange(LONGEST + 2))
+    found = _pieces(vocab, data, start, size)
     edges = []
     for length in sorted(found):
         a, s, p = (np.concatenate(x) for x in zip(*found[length]))
@@ -219,3 +248,69 @@ def total(lattice: Lattice, alpha: list[np.ndarray]) -> np.ndarray:
         lo, hi = int(lattice.wide[d + 1]), int(lattice.wide[d])
         out[lattice.order[lo:hi]] = alpha[d][lo:hi]
     return out
+
+
+class Run(NamedTuple):
+    """One atom of any size: edges by start, the longest first."""
+
+    first: np.ndarray               # edges that leave place d: first[d]:first[d + 1]
+    start: np.ndarray
+    length: np.ndarray
+    piece: np.ndarray
+
+
+def run(vocab: Vocabulary, atom: np.ndarray) -> Run:
+    """All pieces at all characters of one atom's bytes."""
+    found = _pieces(vocab, atom, np.array([0]), np.array([len(atom)]))
+    start, length, piece = (np.concatenate(x) for x in zip(*(
+        (s, np.full(len(s), size), p) for size, parts in found.items() for _, s, p in parts)))
+    by = np.lexsort((-length, start))
+    start, length, piece = start[by], length[by], piece[by]
+    return Run(np.searchsorted(start, np.arange(len(atom) + 2)), start, length, piece)
+
+
+def _log_sum(rows: np.ndarray) -> np.ndarray:
+    top = rows.max(axis=0)
+    return top + np.log(np.exp(rows - top).sum(axis=0))
+
+
+def log_backward(run: Run, p: np.ndarray) -> np.ndarray:
+    """log beta[d, column]: mass of all segmentations from place d on (-inf inside a character that
+    no byte piece enters)."""
+    log = np.log(p[run.piece])
+    n = len(run.first) - 2
+    beta = np.full((n + 1, p.shape[1]), -np.inf)
+    beta[n] = 0.0
+    first = run.first.tolist()
+    for d in range(n - 1, -1, -1):
+        lo, hi = first[d], first[d + 1]
+        if hi > lo:
+            beta[d] = _log_sum(log[lo:hi] + beta[d + run.length[lo:hi]])
+    return beta
+
+
+def log_forward(run: Run, p: np.ndarray) -> np.ndarray:
+    """log alpha[d, column]: mass of all segmentations of the first d bytes."""
+    end = run.start + run.length
+    by = np.argsort(end, kind="stable")
+    log, start = np.log(p[run.piece[by]]), run.start[by]
+    n = len(run.first) - 2
+    alpha = np.full((n + 1, p.shape[1]), -np.inf)
+    alpha[0] = 0.0
+    first = np.searchsorted(end[by], np.arange(n + 2)).tolist()
+    for d in range(1, n + 1):
+        lo, hi = first[d], first[d + 1]
+        if hi > lo:
+            alpha[d] = _log_sum(log[lo:hi] + alpha[start[lo:hi]])
+    return alpha
+
+
+def log_mass(vocab: Vocabulary, data: np.ndarray, start: np.ndarray, end: np.ndarray, p: np.ndarray) -> np.ndarray:
+    """Log mass of atoms of any size (atoms x columns)."""
+    out = np.empty((len(start), p.shape[1]))
+    small = end - start <= LONGEST
+    lat = match(vocab, data, start[small], end[small])
+    out[small] = np.log(total(lat, forward(lat, p)))
+    for i in np.flatnonzero(~small):
+        out[i] = log_backward(run(vocab, data[start[i]:end[i]]), p)[0]
+    return out

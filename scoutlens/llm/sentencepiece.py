@@ -12,7 +12,9 @@ inclusion score ``log P(sampled) = log(1 - exp(-exp(log_prob - threshold)))`` (0
 nothing is left).
 
 The lattice is over a fixed public vocabulary; a space is the word mark, and a mark is put
-in front of a non-empty text. Segments never cross a word mark or a line break. Piece
+in front of a non-empty text. It holds every segmentation of the text: atoms begin at the
+first of a run of spaces and at tabs and line feeds, which no piece crosses, and long atoms are cut only
+where no piece crosses either. Piece
 probabilities follow the vocabulary's merge order (Zipf's law); byte pieces spell characters that have
 no piece, so decoding gives back every text exactly. Draws depend only on the row key, the
 place in the text, the sample and the seed: not on batches, partitions or task attempts.
@@ -48,7 +50,7 @@ FAR = 7.0                           # nats of a beginning below which places sta
 CHUNK = 1 << 20                     # bytes of text encoded together
 PIECES = 1 << 18                    # pieces decoded together
 _BREAK = np.zeros(256, bool)
-_BREAK[[0x09, 0x0A, 0x0D]] = True
+_BREAK[[0x09, 0x0A]] = True         # no piece holds them beside other bytes
 
 
 def piece_weight(vocab: L.Vocabulary) -> np.ndarray:
@@ -71,31 +73,42 @@ class _Draws:
 
     def __init__(self, vocab: L.Vocabulary, data: np.ndarray, start: np.ndarray, end: np.ndarray):
         p = L.scaled(vocab, piece_weight(vocab)[:, None])
-        lat = L.match(vocab, data, start, end)
+        small = np.flatnonzero(end - start <= L.LONGEST)
+        lat = L.match(vocab, data, start[small], end[small])
         beta = L.backward(lat, p)
         size = lat.size
-        self.root = np.empty(len(size), np.int64)        # first node of the caller's atom
+        self.root = np.empty(len(start), np.int64)       # first node of the caller's atom
         first = np.cumsum(size + 1) - (size + 1)
-        self.root[lat.order] = first
+        self.root[small[lat.order]] = first
         count = int((size + 1).sum())
         degree = np.zeros(count, np.int64)
         for _, atom, s, _, _ in lat.edges:
             degree[first[atom] + s] += 1                 # one edge of a length per node
-        self.offset = np.append(0, np.cumsum(degree))
-        self.piece = np.empty(self.offset[-1], np.int32)
-        self.to = np.empty(self.offset[-1], np.int64)
-        self.p = np.empty(self.offset[-1])
-        fill = self.offset[:-1].copy()
+        offset = np.append(0, np.cumsum(degree))
+        edge_piece = np.empty(offset[-1], np.int32)
+        edge_to = np.empty(offset[-1], np.int64)
+        edge_p = np.empty(offset[-1])
+        fill = offset[:-1].copy()
         for length, atom, s, piece, cut in reversed(lat.edges):   # long pieces first
             node = first[atom] + s
             at = fill[node]
             fill[node] += 1
-            self.piece[at], self.to[at] = piece, node + length
+            edge_piece[at], edge_to[at] = piece, node + length
             for d in np.flatnonzero(np.diff(cut)):
                 lo, hi = cut[d], cut[d + 1]
                 a = atom[lo:hi]
-                self.p[at[lo:hi]] = p[piece[lo:hi], 0] * beta[d + length][a, 0] / beta[d][a, 0]
-
+                edge_p[at[lo:hi]] = p[piece[lo:hi], 0] * beta[d + length][a, 0] / beta[d][a, 0]
+        parts = [(degree, edge_piece, edge_to, edge_p)]
+        for i in np.flatnonzero(end - start > L.LONGEST):
+            run = L.run(vocab, data[start[i]:end[i]])
+            b = L.log_backward(run, p)[:, 0]
+            to = run.start + run.length
+            parts.append((np.diff(run.first), run.piece.astype(np.int32), count + to,
+                          np.exp(np.log(p[run.piece, 0]) + b[to] - b[run.start])))
+            self.root[i] = count
+            count += len(b)
+        degree, self.piece, self.to, self.p = (np.concatenate(x) for x in zip(*parts))
+        self.offset = np.append(0, np.cumsum(degree))
         self.forks = np.repeat(degree > 1, degree)       # edges of nodes with several
         self.log_p = np.log(np.maximum(self.p, 1e-300))
         # plain numbers for the search, which looks at a few nodes of each text
@@ -140,7 +153,7 @@ def _text(value: str) -> pa.Scalar:
     return pa.scalar(value, pa.large_string())
 
 
-def _atoms(column: pa.Array):
+def _atoms(column: pa.Array, vocab: L.Vocabulary):
     """Atoms of a string column, a word mark in front of each non-empty text."""
     column = column.fill_null("")
     if not pa.types.is_large_string(column.type):
@@ -148,11 +161,13 @@ def _atoms(column: pa.Array):
     mark = pc.if_else(pc.equal(pc.binary_length(column), 0), _text(""), _text(" "))
     data, offsets = T.buffers(pc.binary_join_element_wise(mark, column, _text("")))
     begins = np.zeros(len(data) + 1, bool)
+    space = data == 0x20
+    begins[:-1] |= space | _BREAK[data]
+    begins[1:-1] &= ~(space[1:] & space[:-1])            # a run of spaces is in one atom with the word behind it
     begins[offsets] = True
-    begins[:-1] |= (data == 0x20) | _BREAK[data]
     begins[1:] |= _BREAK[data]
     at = np.flatnonzero(begins[:len(data)])
-    start, end = L.atoms_cut(data, at, np.append(at[1:], len(data)))
+    start, end = L.atoms_cut(vocab, data, at, np.append(at[1:], len(data)))
     return data, start, end, np.searchsorted(start, offsets)
 
 
@@ -251,7 +266,7 @@ class _Search:
 
 def _encode_chunk(vocab, column, keys, samples, seed):
     """For each (text, sample): text number, sample, ids, log probability, inclusion."""
-    data, start, end, bounds = _atoms(column)
+    data, start, end, bounds = _atoms(column, vocab)
     out_doc, out_rank, out_log, out_in, ids, sizes = [], [], [], [], [], []
     if len(start):
         _, first, inverse = np.unique(T.hashes(data, start, end), return_index=True, return_inverse=True)

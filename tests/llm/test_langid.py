@@ -2,6 +2,7 @@
 
 import random
 
+import numpy as np
 import pytest
 
 from scoutlens.llm import langid
@@ -73,3 +74,19 @@ def test_expected_counts_are_those_of_all_segmentations(spark):
     total = sum(counts.values())
     for piece, n in counts.items():
         assert model.probability[piece, 0] == pytest.approx(max(n / total, 1e-12), abs=1e-9)
+
+
+def test_expected_counts_of_a_long_word(spark):
+    """Pieces of a word that no place cuts: counts times bytes give the word back."""
+    one = spark.createDataFrame([("x" * 200, "en")], "text string, lang string")
+    model = langid.fit(one, smooth=0.0)
+    vocab = L.vocabulary(langid.MODEL_PATH)
+    used = [i for i in range(len(vocab.pieces)) if model.probability[i, 0] > 1e-11]
+    assert {bytes(vocab.pieces[i]).strip(b" x") for i in used} == {b""} and len(used) > 3
+    run = L.run(vocab, np.frombuffer(b" " + b"x" * 200, np.uint8))
+    p = L.scaled(vocab, np.full((len(vocab.pieces), 1), 1.0 / len(vocab.pieces)))
+    a, b = L.log_forward(run, p), L.log_backward(run, p)
+    share = np.exp(a[run.start] + np.log(p[run.piece]) + b[run.start + run.length] - b[0])[:, 0]
+    assert (share * run.length).sum() == pytest.approx(201, rel=1e-9)
+    for i in used:
+        assert model.probability[i, 0] == pytest.approx(share[run.piece == i].sum() / share.sum(), abs=1e-9)

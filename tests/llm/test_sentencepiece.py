@@ -24,7 +24,7 @@ def segmentations(vocab, atom):
             yield ()
         for j in range(1, len(rest) + 1):
             piece = own.get(rest[:j])
-            if piece is not None and b" " not in rest[1:j]:
+            if piece is not None:
                 for more in rec(rest[j:]):
                     yield (piece, *more)
 
@@ -63,8 +63,36 @@ def test_all_segmentations_come_once_if_fewer_than_asked(vocab):
     assert sum(map(math.exp, log)) == pytest.approx(1.0)
 
 
+@pytest.mark.parametrize("text", ["  on", "it;\r\n", "a\r\r b"])
+def test_runs_of_spaces_and_carriage_returns_are_in_the_lattice(vocab, text):
+    every = segmentations(vocab, (" " + text).replace("\n", "").encode())
+    _, _, log, _, ids, _ = S._encode_chunk(vocab, pa.array([text]), np.array([4], np.uint64), 200, 1)
+    line_feed = int(vocab.byte_id[10])
+    assert sorted(tuple(i for i in x.tolist() if i != line_feed) for x in ids) == sorted(every)
+    assert sum(map(math.exp, log)) == pytest.approx(1.0)
+
+
+def test_long_words_follow_the_uncut_distribution(vocab):
+    """First pieces of a run that no place cuts, and log probabilities, against the uncut lattice."""
+    text, n = "x" * 150, 3000
+    weight = S.piece_weight(vocab)
+    raw = np.frombuffer((" " + text).encode(), np.uint8)
+    run = L.run(vocab, raw)
+    beta = L.log_backward(run, weight[:, None])[:, 0]
+    _, rank, log, _, ids, _ = S._encode_chunk(vocab, pa.array([text] * n), np.arange(n).astype(np.uint64), 2, 5)
+    for x, lp in list(zip(ids, log))[:40]:
+        assert lp == pytest.approx(np.log(weight[x]).sum() - beta[0], abs=1e-6)
+    edges = range(run.first[0], run.first[1])
+    p = {int(run.piece[e]): math.exp(math.log(weight[run.piece[e]]) + beta[run.length[e]] - beta[0]) for e in edges}
+    first = collections.Counter(int(x[0]) for x, r in zip(ids, rank) if r == 0)
+    assert sum(p.values()) == pytest.approx(1.0)
+    assert sum(abs(first[k] / n - q) for k, q in p.items()) / 2 < 0.04
+    start, end = L.atoms_cut(vocab, raw, np.array([0]), np.array([len(raw)]))
+    assert (end - start).max() > L.LONGEST
+
+
 ODD = ["", None, " ", "  two  spaces ", "a\nb\r\n\tc", "▁ literal ▁mark", "ünï çødé \U0001F600☃", "x" * 500, "\x00\x7f",
-       "ab " * 4000, "The quick brown fox", "The quick brown fox", "é" * 200]
+       "ab " * 4000, " " * 300 + "x", "我们看书" * 60, "=" * 3000, "The quick brown fox", "The quick brown fox", "é" * 200]
 
 
 def test_round_trip_and_determinism(spark):

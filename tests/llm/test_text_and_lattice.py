@@ -1,6 +1,8 @@
 """Byte-level words and hashes, and segmentation lattices, against plain Python."""
 
+import math
 import re
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +46,7 @@ def test_chunks_cover_all_rows():
 
 def brute_mass(vocab, atom, p):
     """Mass of all segmentations of the bytes of an atom."""
-    own = {x: i for i, x in enumerate(vocab.pieces) if x and i not in set(vocab.byte_id.tolist()) and b" " not in x[1:]}
+    own = {x: i for i, x in enumerate(vocab.pieces) if x and i not in set(vocab.byte_id.tolist())}
 
     def rec(i):
         if i == len(atom):
@@ -71,10 +73,58 @@ def test_forward_and_backward_sum_all_segmentations(word):
     assert L.backward(lat, weight)[0][0, 0] * scale == pytest.approx(expected, rel=1e-9)
 
 
-def test_long_atoms_are_cut_at_characters():
-    raw = np.frombuffer((" " + "é" * 100 + "x" * 70).encode(), np.uint8)
-    start, end = L.atoms_cut(raw, np.array([0]), np.array([len(raw)]))
+def plain_log_mass(vocab, atom, p):
+    """Log mass of all segmentations of any atom, uncut, by exact decimals."""
+    bytes_of = set(vocab.byte_id.tolist())
+    own = {x: Decimal(float(p[i])) for i, x in enumerate(vocab.pieces) if x and i not in bytes_of}
+    mass = [Decimal(1)] + [Decimal(0)] * len(atom)
+    for i in range(len(atom)):
+        if not mass[i] or atom[i] & 0xC0 == 0x80:
+            continue
+        width = 1 if atom[i] < 0x80 else 2 if atom[i] < 0xE0 else 3 if atom[i] < 0xF0 else 4
+        for j in range(i + 1, min(i + 40, len(atom)) + 1):
+            if atom[i:j] in own:
+                mass[j] += mass[i] * own[atom[i:j]]
+        if atom[i:i + width] not in own:
+            mass[i + width] += mass[i] * math.prod(Decimal(float(p[vocab.byte_id[x]])) for x in atom[i:i + width])
+    return float(mass[-1].ln())
+
+
+LONG = [" " + "x" * 300, " " * 300, "=" * 90 + "a", " https://example.org/" + "path/of/the/page-" * 12, " " + "我们在这里看见一本书" * 20,
+        " " + "ไม่มีอะไรเลย" * 12, " " + "é" * 100 + "x" * 70, " " + "\U0001F600" * 40, "   " + "0af9" * 40 + ";\r", "a" * 64, "a" * 65]
+
+
+@pytest.mark.parametrize("word", LONG)
+def test_no_segmentation_of_a_long_word_is_lost(word, monkeypatch):
+    monkeypatch.setattr(L, "WINDOW", 37)                 # windows meet inside pieces and characters
+    vocab = L.vocabulary(langid.MODEL_PATH)
+    p = np.random.default_rng(1).dirichlet(np.ones(len(vocab.pieces)), 2).T + 1e-9
+    raw = ("in front" + word).encode()
+    data = np.frombuffer(raw, np.uint8)
+    start, end = L.atoms_cut(vocab, data, np.array([0, 8]), np.array([8, len(raw)]))
     assert start[0] == 0 and end[-1] == len(raw) and (start[1:] == end[:-1]).all()
-    assert (end - start).max() <= L.LONGEST
     for a, b in zip(start, end):
-        bytes(raw[a:b]).decode()
+        bytes(raw[a:b]).decode()                         # cut between characters
+    got = L.log_mass(vocab, data, start, end, L.scaled(vocab, p)).sum(axis=0) - L.PER_BYTE * len(raw)
+    for i in range(2):
+        expected = plain_log_mass(vocab, raw[:8], p[:, i]) + plain_log_mass(vocab, raw[8:], p[:, i])
+        assert got[i] == pytest.approx(expected, rel=1e-10)
+
+
+def test_a_run_agrees_with_the_shared_steps():
+    vocab = L.vocabulary(langid.MODEL_PATH)
+    p = L.scaled(vocab, np.random.default_rng(2).dirichlet(np.ones(len(vocab.pieces)), 3).T)
+    for word in (" the", " ☃x", "      spaces", " \U0001F600a"):
+        raw = np.frombuffer(word.encode(), np.uint8)
+        lat, run = L.match(vocab, raw, np.array([0]), np.array([len(raw)])), L.run(vocab, raw)
+        alpha, beta = L.log_forward(run, p), L.log_backward(run, p)
+        assert np.exp(beta[0]) == pytest.approx(L.backward(lat, p)[0][0], rel=1e-10)
+        assert alpha[-1] == pytest.approx(beta[0], rel=1e-10)
+        assert np.exp(alpha) == pytest.approx(np.array([x[0] for x in L.forward(lat, p)]), rel=1e-10)
+
+
+def test_long_words_without_crossing_pieces_are_cut_short():
+    vocab = L.vocabulary(langid.MODEL_PATH)
+    raw = np.frombuffer((" " + "\U0001F600" * 5000).encode(), np.uint8)
+    start, end = L.atoms_cut(vocab, raw, np.array([0]), np.array([len(raw)]))
+    assert (end - start).max() <= L.LONGEST and len(start) < len(raw) / 40
