@@ -1,12 +1,13 @@
 """License scan with a positional rare-token index.
 
-A small library of licence templates is held as words by position; there is no table of postings
-from a word to templates, so work is texts times the templates whose phrases they hold. Inverse
-document frequencies of the licence words come from all texts. For each template whose mandatory key
-phrases stand in a text, the template's highest-IDF words are looked up with all their places,
-which gives the alignments (text position minus template position) to look at: so many words
-that no alignment with the least share can miss all of them, whatever else the text holds. An
-alignment is reported if enough of the template's words, and enough of their IDF, stand at it.
+Inverse document frequencies of the licence words come from all texts. Each template puts its
+highest-IDF words, with their places in it, into one table of postings (word to templates and
+places). The words of a text are looked up there; a posting's alignment is the text position minus
+the template position, and postings are intersected by it: an alignment needs as many of the
+template's rare words as any alignment with the least share must hold (two, or one where a single word
+carries the template), so none can be missed, whatever else the text holds. What is left is held
+to the template's mandatory key phrases, and reported if enough of the template's words, and
+enough of their IDF, stand at it.
 Base phrases are matched as consecutive words beside it and always reported.
 
 The words of a text are compared by 64-bit hash in byte buffers; only the words of the
@@ -83,6 +84,30 @@ TEMPLATES = (
     Template("unlicense", "This is free and unencumbered software released into the public domain",
              ("released into the public domain",)),
     Template("boost", "Distributed under the Boost Software License, Version 1.0", ("boost software license",)),
+    Template("mit", "The above copyright notice and this permission notice shall be included in all copies or "
+             "substantial portions of the Software", ("substantial portions of the software",)),
+    Template("apache", "Unless required by applicable law or agreed to in writing, software distributed under the License "
+             "is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied",
+             ("without warranties or conditions of any kind",)),
+    Template("bsd", "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and "
+             "the following disclaimer in the documentation and/or other materials provided with the distribution",
+             ("must reproduce the above copyright notice",)),
+    Template("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the "
+             "authors be held liable for any damages arising from the use of this software",
+             ("without any express or implied warranty",)),
+    Template("epl", "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+             "License", ("eclipse public license",)),
+    Template("cddl", "The contents of this file are subject to the terms of the Common Development and Distribution "
+             "License", ("common development and distribution license",)),
+    Template("gfdl", "Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free "
+             "Documentation License", ("gnu free documentation license",)),
+    Template("ofl", "This Font Software is licensed under the SIL Open Font License, Version 1.1", ("sil open font license",)),
+    Template("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+             ("creative commons attribution sharealike",)),
+    Template("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
+             ("creative commons attribution noncommercial",)),
+    Template("wtfpl", "Do What The Fuck You Want To Public License", ("do what the fuck you want",)),
+    Template("eupl", "Licensed under the European Union Public Licence", ("european union public licence",)),
 )
 
 AGREE = 3                # words that must agree on an alignment (or all, if the template has fewer)
@@ -95,6 +120,17 @@ def _split(text: str) -> list[str]:
     return [bytes(w.data[a:b]).decode() for a, b in zip(w.start, w.end)]
 
 
+@dataclass(frozen=True)
+class Postings:
+    """Rare words of the templates: the postings of word ``x`` are ``first[x]:first[x + 1]``."""
+
+    first: np.ndarray
+    template: np.ndarray
+    place: np.ndarray
+    votes: np.ndarray        # by template: postings that an alignment with the least share must hold
+    longest: int             # words of the longest template
+
+
 class Index:
     """Licence words by number, templates and phrases as word numbers."""
 
@@ -151,25 +187,56 @@ def frequencies(docs: DataFrame, index: Index) -> np.ndarray:
     return out
 
 
-def aligned(words: np.ndarray, idf: np.ndarray, ids: np.ndarray) -> list[tuple[int, float]]:
-    """All alignments of one template in one text: (start, weighted share), in order.
-
-    ``ids``: the licence words of the text by position, -1 elsewhere. The rarest words looked up
-    carry more than 1 - SHARE of the weight, so any alignment that holds SHARE of it holds one of them."""
+def postings(index: Index, idf: np.ndarray) -> Postings:
+    """Each template's rarest words, as many as its votes need.
+
+    An alignment with SHARE of the weight lacks at most 1 - SHARE of it. If the rare words without the
+    heaviest one weigh more than that, two of them at least stand at it."""
+    rows, votes = [], []
+    for t, (_, words, _) in enumerate(index.templates):
+        weight = idf[words]
+        rare = np.argsort(-weight, kind="stable")
+        lacking = (1 - SHARE) * weight.sum() * (1 + 1e-9)
+        sums = np.cumsum(weight[rare])
+        need = 2 if sums[-1] - sums[0] > lacking else 1
+        size = int(np.searchsorted(sums, lacking + (sums[0] if need == 2 else 0.0), "right")) + 1
+        rows += [(int(words[k]), t, int(k)) for k in rare[:size]]
+        votes.append(need)
+    word, template, place = np.array(sorted(rows), np.int64).reshape(-1, 3).T
+    return Postings(np.searchsorted(word, np.arange(len(index.words) + 1)), template, place, np.array(votes, np.int64),
+                    max((len(w) for _, w, _ in index.templates), default=0))
+
+
+def candidates(found: Postings, ids: np.ndarray, w: T.Words) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(template, text, start in it) of all alignments with enough postings, in this order."""
+    at = np.flatnonzero(ids >= 0)
+    lo = found.first[ids[at]]
+    n = found.first[ids[at] + 1] - lo
+    which = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    at = np.repeat(at, n)
+    doc = w.doc[at]
+    start = at - w.bounds[doc] - found.place[which] + found.longest       # >= 0, also where a notice is cut off in front
+    span, texts = int(w.counts.max(initial=0)) + found.longest + 1, len(w.counts)
+    both, votes = np.unique((found.template[which] * texts + doc) * span + start, return_counts=True)
+    pair, start = both // span, both % span - found.longest
+    template, doc = pair // max(texts, 1), pair % max(texts, 1)
+    enough = votes >= found.votes[template]
+    return template[enough], doc[enough], start[enough]
+
+
+def verified(words: np.ndarray, idf: np.ndarray, ids: np.ndarray, w: T.Words, doc: np.ndarray, start: np.ndarray):
+    """Which alignments of a template hold, and their weighted shares."""
     weight = idf[words]
-    rare = np.argsort(-weight, kind="stable")
-    rare = rare[:np.searchsorted(np.cumsum(weight[rare]), (1 - SHARE) * weight.sum() * (1 + 1e-9), "right") + 1]
-    # where the template would begin
-    start = np.unique(np.concatenate([np.flatnonzero(ids == words[k]) - k for k in rare]))
     held, agree = np.zeros(len(start)), np.zeros(len(start), np.int64)
+    first, size = w.bounds[doc], w.counts[doc]
     for k, word in enumerate(words):
         at = start + k
-        here = (at >= 0) & (at < len(ids)) & (ids[np.clip(at, 0, len(ids) - 1)] == word)
+        inside = (at >= 0) & (at < size)
+        here = inside & (ids[first + np.where(inside, at, 0)] == word)
         held += weight[k] * here
         agree += here
     share = held / weight.sum()
-    found = (share >= SHARE) & (agree >= min(AGREE, len(np.unique(words))))
-    return list(zip(start[found].tolist(), share[found].tolist()))
+    return (share >= SHARE) & (agree >= min(AGREE, len(np.unique(words)))), share
 
 
 def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", index: Index | None = None) -> DataFrame:
@@ -179,6 +246,7 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", index: Index
     rows = with_key(docs, key, text)
     seen = frequencies(rows, index)
     idf = np.log((seen[-1] + 1.0) / (seen[:-1] + 1.0)) + 1.0
+    rare = postings(index, idf)
 
     def apply(batches):
         for c in T.chunks(batches):
@@ -195,21 +263,21 @@ def scan(docs: DataFrame, key: str = "doc_id", text: str = "text", index: Index
                 np.maximum.at(last, d, at)
                 for x in np.unique(d):
                     base[x].add(label)
-            must = [np.flatnonzero(np.all([np.bincount(doc[phrase_places(ids, doc, m)], minlength=n) > 0
-                                           for m in mandatory], axis=0)) for _, _, mandatory in index.templates]
-            possible: dict[int, set] = {}                # templates with all their key phrases, by text
-            for t, texts in enumerate(must):
-                for x in texts:
-                    possible.setdefault(int(x), set()).add(t)
             labels, scores, starts = [], np.zeros(n), [[] for _ in range(n)]
             found: list[set] = [set(b) for b in base]
-            for x, allowed in possible.items():
-                for t in allowed:                        # its key phrases stand in the text
-                    label, words, _ = index.templates[t]
-                    for start, share in aligned(words, idf, ids[w.bounds[x]:w.bounds[x + 1]]):
-                        found[x].add(label)
-                        scores[x] = max(scores[x], share)
-                        starts[x].append((start, label))
+            template, text_of_it, start = candidates(rare, ids, w)
+            for t in np.unique(template):
+                label, words, mandatory = index.templates[t]
+                mine = template == t
+                d, at = text_of_it[mine], start[mine]
+                for phrase in mandatory:                 # the texts that hold the template's key phrases
+                    has = np.isin(d, doc[phrase_places(ids, doc, phrase)])
+                    d, at = d[has], at[has]
+                good, share = verified(words, idf, ids, w, d, at)
+                for x, begin, value in zip(d[good].tolist(), at[good].tolist(), share[good].tolist()):
+                    found[x].add(label)
+                    scores[x] = max(scores[x], value)
+                    starts[x].append((begin, label))
             scores = np.maximum(scores, [1.0 if b else 0.0 for b in base])
             join = lambda s: ",".join(sorted(s))
             none = base_n == 0

@@ -1,5 +1,6 @@
 """License scan: base places by brute force, labels of the method, key phrases."""
 
+import math
 import random
 import re
 
@@ -82,3 +83,46 @@ def test_every_notice_of_a_long_text_is_found(spark):
         assert wanted <= set(got["starts"].split(",")), wanted - set(got["starts"].split(","))
         assert set(got["labels"].split(",")) == {t.label for t in licenses.TEMPLATES}
         assert got["score"] == pytest.approx(1.0)
+
+
+def brute_alignments(texts):
+    """(label, start, share) of every text: each template held against each start, without postings."""
+    split = [WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), x or "")) for x in texts]
+    idf = lambda word: math.log((len(texts) + 1) / (sum(word in x for x in split) + 1)) + 1
+    out = []
+    for words in split:
+        joined, got = f" {' '.join(words)} ", []
+        for t in licenses.TEMPLATES:
+            wanted = WORD.findall(t.text.lower())
+            if not all(f" {' '.join(WORD.findall(m))} " in joined for m in t.mandatory):
+                continue
+            weight = [idf(x) for x in wanted]
+            for start in range(-len(wanted), len(words)):
+                here = [0 <= start + k < len(words) and words[start + k] == x for k, x in enumerate(wanted)]
+                share = sum(w for w, h in zip(weight, here) if h) / sum(weight)
+                if share >= licenses.SHARE and sum(here) >= min(licenses.AGREE, len(set(wanted))):
+                    got.append((start, t.label, share))
+        out.append(sorted(got))
+    return out
+
+
+def test_alignments_are_those_of_every_start(spark):
+    rng = random.Random(8)
+    texts = [None, "", "the"]
+    for _ in range(90):
+        words = []
+        for t in rng.choices(licenses.TEMPLATES, k=rng.randint(1, 3)):
+            part = t.text.split()
+            part = [x if rng.random() > rng.choice([0, 0.1, 0.4]) else rng.choice(["alpha", "the", "license"]) for x in part]
+            words += rng.choices(["the", "of", "alpha", "license", "software"], k=rng.randint(0, 6))
+            words += part[rng.choice([0, 0, 0, 2]):]     # some are cut off in front
+        texts.append(" ".join(words))
+    expected = brute_alignments(texts)
+    assert sum(map(bool, expected)) > 30 and any(start < 0 for got in expected for start, *_ in got)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(2)
+    for r in licenses.scan(docs).collect():
+        got = expected[r["doc_id"]]
+        assert r["starts"] == ",".join(f"{label}@{start}" for start, label, _ in got)
+        base = set(filter(None, r["base_labels"].split(",")))
+        assert r["labels"] == ",".join(sorted(base | {label for _, label, _ in got}))
+        assert r["score"] == pytest.approx(max([share for *_, share in got] + [1.0 if base else 0.0]))
