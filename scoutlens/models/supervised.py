@@ -127,6 +127,12 @@ def importances(model: PipelineModel, cols: list[str]) -> DataFrame:
     return SparkSession.getActiveSession().createDataFrame(rows, "feature string, importance double")
 
 
+def _ranked(scored: DataFrame, part: str, score: str) -> DataFrame:
+    """Percentiles of a stage table of the scores: ranking filters and reads a score several times, and
+    each time would run the models (and what their features are made of) again."""
+    return percentile_rank_avg(materialize(scored, "scored"), [part], score).orderBy(F.col(score).desc())
+
+
 def score_all(model: PipelineModel, df: DataFrame, cols: list[str],
               part: str = "position", feeders=None, league_col: str = "league",
               score: str = "talent_score") -> DataFrame:
@@ -134,7 +140,7 @@ def score_all(model: PipelineModel, df: DataFrame, cols: list[str],
     base = df if feeders is None else df.where(F.col(league_col).isin(list(feeders)))
     p = positive_probability(model, base, cols, "_p").withColumn(score, F.col("_p") * 100) \
         .drop("_p", "label", "weight")
-    return percentile_rank_avg(p, [part], score).orderBy(F.col(score).desc())
+    return _ranked(p, part, score)
 
 
 def fit_calibrated(df: DataFrame, cols: list[str], y: str, k: int = C.CALIBRATION_FOLDS,
@@ -212,8 +218,7 @@ def calibrated_scores(df: DataFrame, cols: list[str], y: str, k: int = C.CALIBRA
 def score_probability(df: DataFrame, p: str, part: str = "position",
                       score: str = "talent_score") -> DataFrame:
     """M-S16 from a probability column: score = p x 100, per-position percentile."""
-    s = df.withColumn(score, F.col(p) * 100)
-    return percentile_rank_avg(s, [part], score).orderBy(F.col(score).desc())
+    return _ranked(df.withColumn(score, F.col(p) * 100), part, score)
 
 
 def tune_rf(df: DataFrame, cols: list[str], y: str, group: str, grid: dict = C.RF_GRID, n_iter: int = C.SEARCH_DRAWS,

@@ -174,9 +174,10 @@ SELECT DISTINCT lower(position) AS position, cluster, archetype FROM k WHERE arc
 # --- D ----------------------------------------------------------------------------
 
 def supervised(spark: SparkSession, sf_dir: str, how: str = "inner") -> DataFrame:
-    """Labelled documents; ``how="left"``: every document, the labels NULL where there are none."""
+    """Labelled documents; ``how="left"``: every document, the labels NULL where there are none, with
+    ``labelled``: whether there is a row of labels."""
     d = table(spark, sf_dir, "documents")
-    lb = table(spark, sf_dir, "labels")
+    lb = table(spark, sf_dir, "labels").withColumn("labelled", F.lit(True))
     j = d.join(lb, "doc_id", how)
     words = F.size(F.split(F.trim(F.col("text")), r"\s+"))
     return j.select(
@@ -191,6 +192,7 @@ def supervised(spark: SparkSession, sf_dir: str, how: str = "inner") -> DataFram
         (F.col("n_chars") / F.greatest(words, F.lit(1))).cast("double").alias("f_word_len"),
         F.length(F.regexp_replace("text", r"[^0-9]", "")).cast("double").alias("f_digits"),
         F.length(F.regexp_replace("text", r"[^A-Z]", "")).cast("double").alias("f_upper"),
+        *([F.coalesce("labelled", F.lit(False)).alias("labelled")] if how == "left" else []),
     )
 
 
