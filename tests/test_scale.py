@@ -1,7 +1,12 @@
 """Steps that must not be repeated, or grow faster than their input."""
 
+import numpy as np
 import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
 
+from scoutlens import config as C
+from scoutlens.models import forest as R
 from scoutlens.plans import QUERIES
 
 
@@ -28,3 +33,39 @@ def test_texts_are_read_once(spark, tables, name):
     df = QUERIES[name](spark, tables)
     assert "regexp_replace" not in plan_of(df)
     assert df.count() == 62
+
+
+def test_forests_of_a_family_share_their_trees():
+    """Trees grown once and cut back are those that each forest grows by itself; few trees are grown for a whole search."""
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 30, (500, 5))
+    y, ids = (x[:, 0] + rng.normal(0, 8, 500) > 20).astype(float), np.arange(500)
+    specs = [R.Spec(i, t, d, split, 2, feats, fold=1) for i, (t, d, split, feats) in enumerate(
+        [(3, 4, 2, "sqrt"), (7, 30, 20, "0.5"), (5, 8, 5, "log2"), (4, 6, 2, "0.7")])]
+    (shared, forests), (alone, one) = R.families(specs, 5)
+    assert [s.forest for s in forests] == [0, 1, 2] and [s.forest for s in one] == [3]
+    assert (shared.num_trees, shared.max_depth, shared.min_split) == (7, 30, 2)
+    for of in (*forests, *one):
+        own = sum(R.grow(b, x, y, ids).predict(x) for b in R.batches_of(of, 2))
+        cut = sum(R.grow(b, x, y, ids).predict(x, of) for b in R.batches_of(shared if of in forests else alone, 4) if b.first < of.num_trees)
+        assert cut == pytest.approx(own)
+    every = [R.Spec(i, fold=f, **p) for i, p in enumerate(R.draws(C.RF_GRID, 60)) for f in range(5)]
+    assert sum(s.num_trees for s, _ in R.families(every, 5)) < 0.55 * sum(s.num_trees for s in every)
+
+
+def test_passes_over_partitions_are_bounded(spark, monkeypatch):
+    """Histograms travel in blocks and a pass counts few of them; the forest is the one grown at hand."""
+    monkeypatch.setattr(R, "BLOCK", 4)
+    monkeypatch.setattr(R, "PASS_NODES", 8)
+    asked, splits = [], R._splits
+    monkeypatch.setattr(R, "_splits", lambda rows, wave, weight, blocks: asked.append(len(blocks)) or splits(rows, wave, weight, blocks))
+    rng = np.random.default_rng(6)
+    rows = [(*map(float, rng.integers(0, 9, 2)), int(rng.random() < 0.3)) for _ in range(300)]
+    df = spark.createDataFrame(rows, "a double, b double, y int").repartition(2)
+    spec = R.Spec(0, 6, 3, class_weight="balanced_subsample")
+    far, near = (R.fit(df, ["a", "b"], "y", spec, local_rows=n) for n in (0, 1000))
+    assert max(asked) == 2 and len(asked) > 3
+    got = [f.transform(df).select("a", "b", F.round(vector_to_array("probability")[1], 9).alias("p")).distinct().orderBy("a", "b").collect()
+           for f in (far, near)]
+    assert len(got[0]) == len(got[1]) == len({(r["a"], r["b"]) for r in got[0]})
+    assert all(b.path is None and b.feature.dtype == np.int16 for f in (far, near) for b in f.batches)
