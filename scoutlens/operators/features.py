@@ -61,7 +61,6 @@ def aggregate_players(df: DataFrame, keys: list[str] | None = None,
     aggs = [
         F.count(roles.gameid).alias("games_played"),
         F.avg(roles.result).alias("win_rate"),
-        F.countDistinct(roles.champion).alias("champion_pool_size"),
     ]
     if roles.target in cols:
         aggs.append(F.coalesce(F.bool_or(roles.target), F.lit(False)).alias(roles.target))
@@ -70,7 +69,14 @@ def aggregate_players(df: DataFrame, keys: list[str] | None = None,
                        F.struct(F.col(roles.date), F.col(roles.gameid)))
         aggs.append(F.min_by(roles.original, order).alias(roles.original))
     aggs += [F.avg(c).alias(c) for c in mean_cols]
-    return base.groupBy(*keys).agg(*aggs)
+    # champions are counted apart: in one aggregate Spark would group all of them by key and champion, and
+    # shuffle the other sums at nearly one row per match; here only (key, champion) pairs travel
+    pairs = base.select(*keys, roles.champion).where(F.col(roles.champion).isNotNull()).distinct()
+    pool = pairs.groupBy(*keys).agg(F.count("*").alias("champion_pool_size"))
+    first = ["games_played", "win_rate"]
+    out = base.groupBy(*keys).agg(*aggs).join(pool, keys, "left")
+    return out.select(*keys, *first, F.coalesce("champion_pool_size", F.lit(0).cast("long")).alias("champion_pool_size"),
+                      *[c for c in out.columns if c not in (*keys, *first, "champion_pool_size")])
 
 
 def min_games(df: DataFrame, n: int = C.MIN_GAMES, col: str = "games_played") -> DataFrame:

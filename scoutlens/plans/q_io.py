@@ -33,9 +33,10 @@ def yearly_scan_counts(spark, d):
 
 @query("stage_roundtrip", sql_finish(W("SELECT * FROM f", *flows.FEATURE_CTES), flows.F_DOUBLES))
 def stage_roundtrip(spark, d):
-    path = files.write_stage(flows.feature_table(spark, d), files.stage_path(spark, "features"))
+    table = flows.feature_table(spark, d)
+    path = files.write_stage(table, files.stage_path(spark, "features"))
     back = files.read_stage(spark, path)
-    return finish(back.select(*flows.feature_table(spark, d).columns))
+    return finish(back.select(*table.columns))
 
 
 @query("stage_replace", """

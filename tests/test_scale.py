@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from scoutlens import config as C
 from scoutlens.models import forest as R
+from scoutlens.operators import features
 from scoutlens.plans import QUERIES
 
 
@@ -69,3 +70,15 @@ def test_passes_over_partitions_are_bounded(spark, monkeypatch):
            for f in (far, near)]
     assert len(got[0]) == len(got[1]) == len({(r["a"], r["b"]) for r in got[0]})
     assert all(b.path is None and b.feature.dtype == np.int16 for f in (far, near) for b in f.batches)
+
+
+def test_features_shuffle_pairs_of_key_and_champion_apart(spark):
+    """Only the distinct (key, champion) pairs are grouped by champion, and equal champions, nulls and keys count as before."""
+    rows = [("p", "L", 2024, "top", g, r, c, float(g)) for g, r, c in
+            ((1, 1, "a"), (2, 0, "a"), (3, 1, "b"), (4, 1, None))] + [("q", "L", 2024, "top", 5, 0, None, 2.0), (None, "L", 2024, "top", 6, 0, "a", 2.0)]
+    df = spark.createDataFrame(rows, "playername string, league string, _source_year int, position string, gameid long, result int, champion string, kills double")
+    out = features.aggregate_players(df, ["playername", "league", "_source_year", "position"], ["kills"])
+    assert {r["playername"]: (r["games_played"], r["champion_pool_size"], r["kills"]) for r in out.collect()} == {"p": (4, 2, 2.5), "q": (1, 0, 2.0)}
+    assert out.columns[4:7] == ["games_played", "win_rate", "champion_pool_size"]
+    grouped = [line for line in plan_of(out).split("== Physical Plan ==")[1].splitlines() if "HashAggregate" in line and "champion" in line.split("functions=")[0]]
+    assert grouped and all("functions=[]" in line for line in grouped)
