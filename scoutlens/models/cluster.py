@@ -115,9 +115,11 @@ def _groups(df: DataFrame, part: str, most: int = MAX_GROUPS) -> dict:
 
 
 def _points(df: DataFrame, cols: list[str], part: str) -> DataFrame:
-    """A stage table (g, x): standardised features of every row, missing ones 0 before scaling."""
+    """A stage table (g, x): standardised features of every row, missing ones 0 before scaling. It is passed over
+    very often, so it is dealt over the whole cluster however few files the table had."""
     z = standardize(fill_missing(df, cols), cols, [part], suffix="_std")
-    return materialize(z.select(F.col(part).alias("g"), _vec([f"{c}_std" for c in cols]).alias("x")), "points")
+    z = z.select(F.col(part).alias("g"), _vec([f"{c}_std" for c in cols]).alias("x"))
+    return materialize(z.repartition(2 * df.sparkSession.sparkContext.defaultParallelism), "points")
 
 
 def _plus_plus(x: np.ndarray, k: int, rng, w: np.ndarray | None = None) -> np.ndarray:
@@ -154,42 +156,99 @@ def _matrix(column) -> np.ndarray:
 
 def _assign(x: np.ndarray, centres: list[np.ndarray]):
     """Nearest centre and squared distance of each row, for every model."""
-    scores = x @ np.concatenate(centres).T
+    size = (x**2).sum(axis=1)
+    every = np.concatenate(centres)
+    scores = x @ every.T - (every**2).sum(axis=1) / 2
     at = 0
     for c in centres:
-        half = scores[:, at:at + len(c)] - (c**2).sum(axis=1) / 2
+        half = scores[:, at:at + len(c)]
         at += len(c)
         label = half.argmax(axis=1)
-        yield label, np.maximum((x**2).sum(axis=1) - 2 * half[np.arange(len(x)), label], 0.0)
+        yield label, np.maximum(size - 2 * half[np.arange(len(x)), label], 0.0)
+
+
+def _by_group(batch, groups, column: str):
+    """(group, row numbers) of the rows of ``groups`` in a batch."""
+    kinds = batch.column(column).dictionary_encode()
+    code = kinds.indices.fill_null(len(kinds.dictionary)).to_numpy(zero_copy_only=False)
+    order = np.argsort(code, kind="stable")
+    names = kinds.dictionary.to_pylist()
+    ends = np.searchsorted(code[order], np.arange(len(names) + 1))
+    for i, g in enumerate(names):
+        if g in groups:
+            yield g, order[ends[i]:ends[i + 1]]
 
 
 def _totals(points: DataFrame, centres: dict, dim: int) -> DataFrame:
-    """(g, model, cluster, n, cost, s0...): sums over all rows for every model, added up inside
-    each task first."""
-    names = [f"s{i}" for i in range(dim)]
+    """(g, model, cluster, n, cost, q, s0...): sums over all rows for every model (q: of squared norms), added up
+    inside each task first."""
+    names = ["n", "cost", "q", *(f"s{i}" for i in range(dim))]
 
     def apply(batches):
         sums: dict = {}
         for b in batches:
-            groups = b.column("g").to_pylist()
             x = _matrix(b.column("x"))
-            for g in set(groups) & set(centres):
-                rows = x[[h == g for h in groups]]
+            for g, mine in _by_group(b, centres, "g"):
+                rows = x[mine]
+                known = np.column_stack([(rows**2).sum(axis=1), rows])
                 models = list(centres[g])
                 for m, (label, cost) in zip(models, _assign(rows, [centres[g][m] for m in models])):
-                    hot = np.zeros((len(rows), len(centres[g][m])))
+                    k = len(centres[g][m])
+                    hot = np.zeros((len(rows), k))
                     hot[np.arange(len(rows)), label] = 1.0
-                    part = np.column_stack([hot.sum(axis=0), hot.T @ cost, hot.T @ rows])
+                    part = np.column_stack([np.bincount(label, minlength=k), np.bincount(label, cost, minlength=k), hot.T @ known])
                     sums[g, m] = sums[g, m] + part if (g, m) in sums else part
         for (g, m), part in sums.items():
             n = len(part)
             yield pa.record_batch([pa.array([g] * n), pa.array([m] * n), pa.array(np.arange(n)),
-                                   *map(pa.array, part.T)], ["g", "model", "cluster", "n", "cost", *names])
+                                   *map(pa.array, part.T)], ["g", "model", "cluster", *names])
+
+    kind = points.schema["g"].dataType.simpleString()
+    parts = points.mapInArrow(apply, f"g {kind}, model long, cluster long, " + ", ".join(f"{c} double" for c in names))
+    return parts.groupBy("g", "model", "cluster").agg(*[F.sum(c).alias(c) for c in names])
+
+
+def _model_silhouettes(points: DataFrame, best: dict, dim: int) -> DataFrame:
+    """(g, k, silhouette) of the models ``best`` ({(g, k): (centres, inertia)}): :func:`silhouette`'s definition, from
+    one pass for the clusters' sums and one in which each task adds up its rows' scores."""
+    centres: dict = {}
+    for (g, k), (c, _) in best.items():
+        centres.setdefault(g, {})[k] = c
+    t = _totals(points, centres, dim).toArrow()            # groups x k x clusters rows at most
+    sums = np.column_stack([t[c].to_numpy() for c in ("n", "q", *(f"s{i}" for i in range(dim)))])
+    known = {g: {k: np.zeros((len(c), 2 + dim)) for k, c in ms.items()} for g, ms in centres.items()}
+    for i, (g, k, c) in enumerate(zip(t["g"].to_pylist(), t["model"].to_pylist(), t["cluster"].to_pylist())):
+        known[g][k][c] = sums[i]
+
+    def scores(x: np.ndarray, label: np.ndarray, of: np.ndarray) -> np.ndarray:
+        n, q, s = of[:, 0], of[:, 1], of[:, 2:]
+        total = n * (x**2).sum(axis=1)[:, None] - 2 * x @ s.T + q       # squared distances to all of a cluster
+        rows = np.arange(len(x))
+        own = n[label]
+        a = total[rows, label] / np.maximum(own - 1, 1)
+        other = total / np.maximum(n, 1)
+        other[:, n == 0] = np.inf
+        other[rows, label] = np.inf
+        b = other.min(axis=1)
+        top = np.maximum(a, b)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            return np.where((own <= 1) | (top == 0), 0.0, (b - a) / top)
+
+    def apply(batches):
+        found: dict = {}
+        for b in batches:
+            x = _matrix(b.column("x"))
+            for g, mine in _by_group(b, centres, "g"):
+                rows, ks = x[mine], list(centres[g])
+                for k, (label, _) in zip(ks, _assign(rows, [centres[g][k] for k in ks])):
+                    some = (known[g][k][:, 0] > 0).sum()
+                    if 1 < some < known[g][k][:, 0].sum():               # undefined for one cluster or one point per cluster
+                        found[g, k] = found.get((g, k), 0.0) + scores(rows, label, known[g][k]).sum()
+        for (g, k), s in found.items():
+            yield pa.record_batch([pa.array([g]), pa.array([k], pa.int32()), pa.array([s / known[g][k][:, 0].sum()])], ["g", "k", "s"])
 
     kind = points.schema["g"].dataType.simpleString()
-    parts = points.mapInArrow(apply, f"g {kind}, model long, cluster long, n double, cost double, "
-                              + ", ".join(f"{c} double" for c in names))
-    return parts.groupBy("g", "model", "cluster").agg(*[F.sum(c).alias(c) for c in ("n", "cost", *names)])
+    return points.mapInArrow(apply, f"g {kind}, k int, s double").groupBy("g", "k").agg(F.sum("s").alias("silhouette"))
 
 
 def kmeans_many(points: DataFrame, wanted: dict, dim: int, n_init: int, seed: int = C.SEED,
@@ -266,24 +325,22 @@ def k_sweep(df: DataFrame, cols: list[str], part: str | None = "position", ks=C.
     else:
         best = kmeans_many(points, {g: list(ks) for g in groups}, len(cols), n_init, seed)
 
-        def label(batches):
-            for b in batches:
-                x, of = _matrix(b.column("x")), np.array(b.column("g").to_pylist(), object)
-                for g in set(of.tolist()) & set(groups):
-                    rows = np.flatnonzero(of == g)
-                    mine = b.take(pa.array(rows))
-                    for k, (c, _) in zip(ks, _assign(x[rows], [best[g, k][0] for k in ks])):
-                        yield pa.record_batch([mine.column("g"), pa.array(np.full(len(rows), k), pa.int32()),
-                                               pa.array(c, pa.int32()), mine.column("x")], ["g", "k", "_c", "_x"])
-
-        labelled = points.mapInArrow(label, f"g {kind}, k int, _c int, _x array<double>")
         if euclidean:
             from .density import silhouette_points
 
-            sil = silhouette_points(labelled.withColumn("w", F.lit(1.0)), ["g", "k"], len(cols))
+            def label(batches):
+                for b in batches:
+                    x = _matrix(b.column("x"))
+                    for g, rows in _by_group(b, groups, "g"):
+                        mine = b.take(pa.array(rows))
+                        for k, (c, _) in zip(ks, _assign(x[rows], [best[g, k][0] for k in ks])):
+                            yield pa.record_batch([mine.column("g"), pa.array(np.full(len(rows), k), pa.int32()),
+                                                   pa.array(c, pa.int32()), mine.column("x")], ["g", "k", "_c", "_x"])
+
+            labelled = points.mapInArrow(label, f"g {kind}, k int, _c int, _x array<double>")
+            sil = silhouette_points(labelled.withColumn("w", F.lit(1.0)), ["g", "k"], len(cols)).select("g", "k", "silhouette")
         else:
-            sil = _silhouette(labelled, ["g", "k"], len(cols))
-        sil = sil.select("g", "k", "silhouette")
+            sil = _model_silhouettes(points, best, len(cols))
         cost = spark.createDataFrame([(g, int(k), v[1]) for (g, k), v in best.items()], schema)
         sweep = cost.join(sil, ["g", "k"], "left")
     out = sweep.join(best_k(sweep, ["g"]), "g", "left") \
@@ -318,10 +375,8 @@ def cluster_by_position(df: DataFrame, cols: list[str], best: dict | DataFrame,
 
     def label(batches):
         for b in batches:
-            x, of = _matrix(b.column("_x")), np.array(b.column(part).to_pylist(), object)
-            out = np.full(b.num_rows, -1)
-            for g in set(of.tolist()) & set(centres):
-                rows = np.flatnonzero(of == g)
+            x, out = _matrix(b.column("_x")), np.full(b.num_rows, -1)
+            for g, rows in _by_group(b, centres, part):
                 out[rows] = next(_assign(x[rows], [centres[g]]))[0]
             yield pa.record_batch([*[b.column(c) for c in row], pa.array(out, pa.int32())], [*row, "cluster"])
 
