@@ -6,6 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from scoutlens import config as C
+from scoutlens.models import cluster, density
 from scoutlens.models import forest as R
 from scoutlens.operators import features
 from scoutlens.plans import QUERIES
@@ -82,3 +83,45 @@ def test_features_shuffle_pairs_of_key_and_champion_apart(spark):
     assert out.columns[4:7] == ["games_played", "win_rate", "champion_pool_size"]
     grouped = [line for line in plan_of(out).split("== Physical Plan ==")[1].splitlines() if "HashAggregate" in line and "champion" in line.split("functions=")[0]]
     assert grouped and all("functions=[]" in line for line in grouped)
+
+
+def test_sweep_points_are_spread_and_scored_in_tasks(spark):
+    """Points of one file are dealt over the cluster; the models' silhouettes are those of the general operator."""
+    rng = np.random.default_rng(7)
+    rows = [("a" if i % 3 else None if i % 2 else "b", *map(float, rng.normal(0, 1, 3) + 3 * (i % 4))) for i in range(240)]
+    rows += [("same", 1.0, 1.0, 1.0)] * 30
+    df = spark.createDataFrame(rows, "position string, x double, y double, z double").coalesce(1)
+    points = cluster._points(df, ["x", "y", "z"], "position")
+    assert len({r[0] for r in points.select(F.input_file_name()).collect()}) > 1
+    best = cluster.kmeans_many(points, {"a": [2, 4], "b": [3], "same": [2]}, 3, 2)
+    got = {(r["g"], r["k"]): r["silhouette"] for r in cluster._model_silhouettes(points, best, 3).collect()}
+    x = {g: np.array([r["x"] for r in points.where(F.col("g") == g).collect()]) for g in ("a", "b")}
+    for (g, k), (centres, _) in best.items():
+        if g == "same":                                      # one spot: one cluster, no silhouette
+            assert (g, k) not in got
+            continue
+        label = next(cluster._assign(x[g], [centres]))[0]
+        far = ((x[g][:, None] - x[g][None]) ** 2).sum(axis=2)
+        total = np.stack([far[:, label == c].sum(axis=1) for c in range(k)], axis=1)
+        n = np.bincount(label, minlength=k)
+        a = total[np.arange(len(label)), label] / np.maximum(n[label] - 1, 1)
+        b = np.where(np.arange(k) == label[:, None], np.inf, total / n).min(axis=1)
+        assert got[g, k] == pytest.approx(np.where(n[label] <= 1, 0, (b - a) / np.maximum(a, b)).mean())
+
+
+def test_small_clusters_send_one_number_per_row_and_tile(spark, monkeypatch):
+    """Very many clusters: what leaves the tiles grows with rows and tiles, not with clusters; the silhouette is exact."""
+    rng = np.random.default_rng(8)
+    x, label = rng.normal(0, 1, (240, 2)), rng.integers(0, 60, 240)
+    df = spark.createDataFrame([(int(c), *map(float, v)) for c, v in zip(label, x)], "c int, a double, b double")
+    sent, plain = [], density.join_small
+    monkeypatch.setattr(density, "join_small", lambda big, small, on, how="left": ("far" in big.columns and sent.append(big.count())) or plain(big, small, on, how))
+    got = density.silhouette_exact(df, "c", ["a", "b"], tile=64).first()["silhouette"]
+    far = np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2))
+    names = np.unique(label)
+    total = np.stack([far[:, label == c].sum(axis=1) for c in names], axis=1)
+    n, own = np.array([(label == c).sum() for c in names]), np.searchsorted(names, label)
+    a = total[np.arange(240), own] / np.maximum(n[own] - 1, 1)
+    b = np.where(np.arange(len(names)) == own[:, None], np.inf, total / n).min(axis=1)
+    assert got == pytest.approx(np.where(n[own] <= 1, 0, (b - a) / np.maximum(a, b)).mean())
+    assert sent[0] <= 240 * 5                                # own cluster and the least of others; 240 * 60 pairs before
