@@ -25,6 +25,7 @@ from ..operators.stats import archetype_expr
 from ..session import materialize
 
 MAX_GROUPS = 1000      # groups that get models of their own
+SLICE = 1024           # rows whose distances to all centres a task holds at once
 INIT_ROWS = 2048       # different vectors of a group that K-Means starts are drawn from, about
 
 
@@ -179,29 +180,47 @@ def _by_group(batch, groups, column: str):
             yield g, order[ends[i]:ends[i + 1]]
 
 
-def _totals(points: DataFrame, centres: dict, dim: int) -> DataFrame:
-    """(g, model, cluster, n, cost, q, s0...): sums over all rows for every model (q: of squared norms), added up
-    inside each task first."""
-    names = ["n", "cost", "q", *(f"s{i}" for i in range(dim))]
+def _totals(points: DataFrame, centres: dict, dim: int, cost: bool = False) -> DataFrame:
+    """(g, model, cluster, n, q, s0...): sums over all rows for every model (q: of squared norms), added up
+    inside each task first. ``cost``: also that of squared distances. All models of a group and k share their
+    matrix products, over SLICE rows at a time."""
+    names = [*(["cost"] if cost else []), "n", "q", *(f"s{i}" for i in range(dim))]
+    kinds: dict = {}                                       # by group and k: the models and their centres, the last column for |c|^2 / 2
+    for g, ms in centres.items():
+        for m, c in ms.items():
+            kinds.setdefault(g, {}).setdefault(len(c), []).append(m)
+    kinds = {g: [(k, ms, np.column_stack([every := np.concatenate([centres[g][m] for m in ms]), -(every**2).sum(axis=1) / 2]))
+                 for k, ms in by_k.items()] for g, by_k in kinds.items()}
 
     def apply(batches):
         sums: dict = {}
         for b in batches:
             x = _matrix(b.column("x"))
             for g, mine in _by_group(b, centres, "g"):
-                rows = x[mine]
-                known = np.column_stack([(rows**2).sum(axis=1), rows])
-                models = list(centres[g])
-                for m, (label, cost) in zip(models, _assign(rows, [centres[g][m] for m in models])):
-                    k = len(centres[g][m])
-                    hot = np.zeros((len(rows), k))
-                    hot[np.arange(len(rows)), label] = 1.0
-                    part = np.column_stack([np.bincount(label, minlength=k), np.bincount(label, cost, minlength=k), hot.T @ known])
-                    sums[g, m] = sums[g, m] + part if (g, m) in sums else part
-        for (g, m), part in sums.items():
-            n = len(part)
-            yield pa.record_batch([pa.array([g] * n), pa.array([m] * n), pa.array(np.arange(n)),
-                                   *map(pa.array, part.T)], ["g", "model", "cluster", *names])
+                for lo in range(0, len(mine), SLICE):
+                    rows = x[mine[lo:lo + SLICE]]
+                    size, one = (rows**2).sum(axis=1), np.ones(len(rows))
+                    known, turned = np.column_stack([one, size, rows]), np.vstack([rows.T, one])
+                    for k, ms, every in kinds[g]:
+                        score = (every @ turned).reshape(len(ms), k, len(rows))
+                        top = score.max(axis=1)
+                        hot = np.equal(score, top[:, None], out=score, casting="unsafe").reshape(-1, len(rows))
+                        part = hot @ known
+                        if part[:, 0].sum() != top.size:   # as near to several centres: the first
+                            hot = (hot.reshape(score.shape) * (hot.reshape(score.shape).cumsum(axis=1) == 1)).reshape(hot.shape)
+                            part = hot @ known
+                        part = part.reshape(len(ms), k, -1)
+                        if cost:
+                            far = hot.reshape(score.shape) @ np.maximum(size - 2 * top, 0.0)[:, :, None]
+                            part = np.concatenate([far, part], axis=2)
+                        sums[g, k] = sums[g, k] + part if (g, k) in sums else part
+        found = [(g, k, ms) for g, by_k in kinds.items() for k, ms, _ in by_k if (g, k) in sums]
+        if found:                                          # one batch: models are many and columns too
+            total = np.concatenate([sums[g, k].reshape(k * len(ms), -1) for g, k, ms in found])
+            yield pa.record_batch([pa.array([g for g, k, ms in found for _ in range(k * len(ms))]),
+                                   pa.array(np.concatenate([np.repeat(ms, k) for _, k, ms in found])),
+                                   pa.array(np.concatenate([np.tile(np.arange(k), len(ms)) for _, k, ms in found])),
+                                   *map(pa.array, total.T)], ["g", "model", "cluster", *names])
 
     kind = points.schema["g"].dataType.simpleString()
     parts = points.mapInArrow(apply, f"g {kind}, model long, cluster long, " + ", ".join(f"{c} double" for c in names))
@@ -293,7 +312,7 @@ def kmeans_many(points: DataFrame, wanted: dict, dim: int, n_init: int, seed: in
                     del moving[g][m]
                 else:
                     moving[g][m] = c
-    cost = _totals(points, centres, dim).groupBy("g", "model").agg(F.sum("cost").alias("cost")).collect()
+    cost = _totals(points, centres, dim, True).groupBy("g", "model").agg(F.sum("cost").alias("cost")).collect()
     best: dict = {}
     for r in sorted(cost, key=lambda r: r["model"]):
         at = r["g"], spec[r["g"], r["model"]]

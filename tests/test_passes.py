@@ -3,6 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from scoutlens.models import cluster as U
 from scoutlens.models import forest as R
 
 
@@ -38,3 +39,22 @@ def test_pieces_of_work_are_dealt_evenly(spark):
     parts = R._work(spark, 100).groupBy(F.spark_partition_id()).count().collect()
     assert len(parts) > spark.sparkContext.defaultParallelism
     assert max(r["count"] for r in parts) - min(r["count"] for r in parts) <= 1
+
+
+def test_totals_of_all_models_by_brute_force(spark):
+    rng = np.random.default_rng(7)
+    x = rng.integers(-2, 3, (3000, 2)).astype(float)                  # many rows as near to several centres
+    g = np.where(rng.random(3000) < 0.8, "a", "b")
+    points = spark.createDataFrame([(str(k), v.tolist()) for k, v in zip(g, x)], "g string, x array<double>").repartition(3)
+    centres = {k: {m: x[at].copy() for m, at in enumerate(([0, 1, 2], [3, 4], [5, 6, 7], [8, 8]))} for k in ("a", "b")}
+    got = {(r["g"], r["model"], r["cluster"]): r for r in U._totals(points, centres, 2, True).collect()}
+    assert len(got) == 2 * 10
+    for k in ("a", "b"):
+        for m, c in centres[k].items():
+            far = ((x[g == k][:, None] - c[None]) ** 2).sum(axis=2)
+            near = far.argmin(axis=1)
+            for i in range(len(c)):
+                r, mine = got[k, m, i], near == i
+                assert r["n"] == mine.sum() and abs(r["cost"] - far[mine, i].sum()) < 1e-8
+                assert np.allclose([r["s0"], r["s1"], r["q"]], [*x[g == k][mine].sum(axis=0), (x[g == k][mine] ** 2).sum()])
+    assert "cost" not in U._totals(points, centres, 2).columns
