@@ -176,10 +176,14 @@ SELECT DISTINCT lower(position) AS position, cluster, archetype FROM k WHERE arc
 def supervised(spark: SparkSession, sf_dir: str, how: str = "inner") -> DataFrame:
     """Labelled documents; ``how="left"``: every document, the labels NULL where there are none, with
     ``labelled``: whether there is a row of labels."""
-    d = table(spark, sf_dir, "documents")
+    words = F.size(F.split(F.trim(F.col("text")), r"\s+"))
+    # the texts' figures come first, so that no text is joined or shuffled; runs of other characters are taken out at once
+    d = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", "lang", "n_chars", words.alias("words"),
+        F.length(F.regexp_replace("text", r"[^0-9]+", "")).alias("digits"),
+        F.length(F.regexp_replace("text", r"[^A-Z]+", "")).alias("upper"))
     lb = table(spark, sf_dir, "labels").withColumn("labelled", F.lit(True))
     j = d.join(lb, "doc_id", how)
-    words = F.size(F.split(F.trim(F.col("text")), r"\s+"))
     return j.select(
         F.col("doc_id").alias("row_id"),
         F.col("source").alias("group"),
@@ -188,10 +192,10 @@ def supervised(spark: SparkSession, sf_dir: str, how: str = "inner") -> DataFram
         F.col("quality").alias("quality"),
         F.col("n_chars").cast("double").alias("score"),
         F.col("n_chars").cast("double").alias("f_chars"),
-        words.cast("double").alias("f_words"),
-        (F.col("n_chars") / F.greatest(words, F.lit(1))).cast("double").alias("f_word_len"),
-        F.length(F.regexp_replace("text", r"[^0-9]", "")).cast("double").alias("f_digits"),
-        F.length(F.regexp_replace("text", r"[^A-Z]", "")).cast("double").alias("f_upper"),
+        F.col("words").cast("double").alias("f_words"),
+        (F.col("n_chars") / F.greatest("words", F.lit(1))).cast("double").alias("f_word_len"),
+        F.col("digits").cast("double").alias("f_digits"),
+        F.col("upper").cast("double").alias("f_upper"),
         *([F.coalesce("labelled", F.lit(False)).alias("labelled")] if how == "left" else []),
     )
 

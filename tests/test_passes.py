@@ -3,8 +3,10 @@
 import numpy as np
 from pyspark.sql import functions as F
 
+from scoutlens import config as C
 from scoutlens.models import cluster as U
 from scoutlens.models import forest as R
+from scoutlens.plans import bindings as B
 
 
 def test_forests_of_a_family_are_asked_in_one_walk():
@@ -58,3 +60,30 @@ def test_totals_of_all_models_by_brute_force(spark):
                 assert r["n"] == mine.sum() and abs(r["cost"] - far[mine, i].sum()) < 1e-8
                 assert np.allclose([r["s0"], r["s1"], r["q"]], [*x[g == k][mine].sum(axis=0), (x[g == k][mine] ** 2).sum()])
     assert "cost" not in U._totals(points, centres, 2).columns
+
+
+def test_no_text_is_joined_with_its_labels(spark, sf_small):
+    for how in ("inner", "left"):
+        plan = B.supervised(spark, sf_small, how)._jdf.queryExecution().optimizedPlan().toString()
+        join = plan.index("Join")
+        assert "regexp_replace" not in plan[:join] and "regexp_replace" in plan[join:]
+
+
+def test_figures_of_odd_texts(spark, tmp_path):
+    texts = ["", None, "a1\nB22  É3", "   ", "\n\n", "ABC", "123", " x ", "é" * 70 + "7"]
+    rows = [(i, t, "s", "en", len(t or "")) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string, lang string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(2, 1, 0), (2, 0, 1)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = B.supervised(spark, str(tmp_path), "left").orderBy("row_id", "y").collect()
+    import re
+
+    assert [r["row_id"] for r in got] == [0, 1, 2, 2, 3, 4, 5, 6, 7, 8]
+    for r in got:
+        t = texts[r["row_id"]]
+        if t is None:
+            assert r["f_words"] is None and r["f_digits"] is None and r["f_upper"] is None
+            continue
+        assert r["f_digits"] == len(re.findall("[0-9]", t)) and r["f_upper"] == len(re.findall("[A-Z]", t))
+        assert r["f_words"] == len(re.split(r"[ \t\n\x0b\f\r]+", t.strip(" ")))
+        assert r["labelled"] == (r["row_id"] == 2)
+    assert B.supervised(spark, str(tmp_path)).count() == 2 and C.SEARCH_DRAWS == 60
