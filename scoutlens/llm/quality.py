@@ -46,10 +46,12 @@ def counts(docs: DataFrame) -> DataFrame:
     lines = F.filter(F.split("text", "\n"), lambda x: F.length(F.translate(x, " \t\n\x0b\x0c\r", "")) > 0)
     # every column that a lambda looks into is used twice or more in the next projection: the
     # optimizer then keeps it as a column and does not compute it anew for each element
-    at = F.sequence(F.lit(1), F.size("hashes") - (WINDOW - 1))
     df = df.withColumn("lines", lines).withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
-    df = df.withColumn("windows", F.when(F.size("hashes") >= WINDOW, F.transform(
-        at, lambda i: F.xxhash64(F.slice("hashes", i, WINDOW)))).otherwise(F.array().cast("array<bigint>")))
+    df, last, span = df.withColumn("chain", F.col("hashes")), F.size("hashes") - (WINDOW - 1), 1
+    while span < WINDOW:                                   # two neighbouring spans make one of twice the words; those beyond the end are cut off
+        df = df.withColumn("chain", F.zip_with("chain", F.slice("chain", span + 1, F.size("chain")), lambda a, b: F.xxhash64(a, b)))
+        span *= 2
+    df = df.withColumn("windows", F.when(last > 0, F.slice("chain", F.lit(1), F.greatest(last, F.lit(0)))).otherwise(F.array().cast("array<bigint>")))
     # windows with an equal: sorted with their places, next to one another
     again = F.size(F.array_distinct("windows")) < F.size("windows")
     df = df.withColumn("ranked", F.when(again, F.sort_array(
@@ -76,15 +78,26 @@ def common_words(docs: DataFrame) -> DataFrame:
     first = Window.partitionBy("lang").orderBy(F.col("count").desc(), "word")
     top = word.withColumn("n", F.row_number().over(first)).where(F.col("n") <= COMMON)
     found = top.groupBy("lang").agg(F.sort_array(F.collect_list("word")).alias("common"))
-    return docs.select("lang").distinct().join(found, "lang", "left").select("lang", F.coalesce("common", F.array()).alias("common"))
+    every = docs.select("lang").distinct().join(found, "lang", "left").select("lang", F.coalesce("common", F.array()).alias("common"))
+    # the same by length: the words of each, and their places in ``common``
+    lengths = F.sequence(F.lit(1), F.greatest(F.coalesce(F.array_max(F.transform("common", F.length)), F.lit(1)), F.lit(1)))
+    places = F.transform(lengths, lambda n: F.transform(F.filter("common", lambda w: F.length(w) == n), lambda w: F.array_position("common", w).cast("int")))
+    return every.withColumn("sized", F.transform(lengths, lambda n: F.filter("common", lambda w: F.length(w) == n))).withColumn("places", places)
 
 
 def histograms(df: DataFrame) -> DataFrame:
     """Adds ``chars`` (by class, then the rest of ASCII) and ``hits`` (by common word, then
     all other words)."""
-    low = F.transform("words", lambda w: F.array_position("common", F.lower(w)))
-    df = df.withColumn("found", F.filter(low, lambda x: x > 0))
-    bins = F.transform(F.sequence(F.lit(1), F.size("common")), lambda k: F.size("found") - F.size(F.array_remove("found", k)))
+    # a word is looked for among the common words of its length
+    df = df.withColumn("low", F.transform("words", lambda w: F.lower(w)))
+    at = lambda w: F.array_position(F.get("sized", F.length(w) - 1), w)
+    df = df.withColumn("found", F.filter(F.transform("low", lambda w: F.when(
+        at(w) > 0, F.get(F.get("places", F.length(w) - 1), (at(w) - 1).cast("int"))).otherwise(F.lit(0))), lambda x: x > 0))
+    # in order, each bin's place once more: bins begin where their number first stands
+    df = df.withColumn("ranked", F.sort_array(F.concat("found", F.sequence(F.lit(1), F.lit(COMMON + 1)))))
+    df = df.withColumn("starts", F.array(*[F.array_position("ranked", F.lit(k)).cast("int") for k in range(1, COMMON + 2)]))
+    bins = F.transform(F.sequence(F.lit(1), F.size("common")), lambda k: F.get("starts", k) - F.get("starts", k - 1) - 1)
+    bins = F.when(F.size("common") > 0, bins).otherwise(F.array().cast("array<int>"))
     df = df.withColumn("hits", F.concat(bins, F.array(F.size("words") - F.size("found"))))
     known = {"space": F.length("text") - F.col("word_chars").cast("int"), "symbol": F.col("n_symbols").cast("int")}
     sizes = [known[c] if c in known else F.length(F.regexp_replace("tight", p, "")) for c, p in CLASSES.items()]

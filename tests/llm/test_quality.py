@@ -129,3 +129,19 @@ def test_common_words_and_verdict_by_brute_force(spark):
         near = (sum(h) < quality.MIN_WORDS or r["word_distance"] <= quality.MAX_WORD_DISTANCE) and (
             sum(c) < quality.MIN_CHARS or r["char_distance"] <= quality.MAX_CHAR_DISTANCE)
         assert r["kept"] == (near and not r["base_failed"])
+
+
+def test_bins_of_common_words_of_all_lengths(spark):
+    """Words are looked for among the common words of their length, and counted from one sorted array."""
+    rng = random.Random(3)
+    known = ["a", "b", "de", "ß", "das", "été", "i̇x", "und", "oder", "x" * 30]
+    texts = [" ".join(rng.choice(known + [k.upper() for k in known] + ["zz", "İX", "rare%d" % rng.randrange(99)]) for _ in range(rng.randrange(90)))
+             for _ in range(40)] + ["", "zz"]
+    docs = spark.createDataFrame([(i, "l", t) for i, t in enumerate(texts)], "key long, lang string, text string")
+    common = quality.common_words(docs.where("key < 40"))
+    words = common.first()["common"]
+    rows = quality.histograms(quality.counts(docs).join(common, "lang")).select("key", "text", "hits").collect()
+    assert len(rows) == 42 and len(words) == quality.COMMON
+    for r in rows:
+        low = [w.lower() for w in r["text"].split()]
+        assert r["hits"] == [low.count(w) for w in words] + [sum(w not in words for w in low)]
