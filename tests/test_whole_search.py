@@ -109,10 +109,11 @@ def test_comparison_trains_whole_models(spark, df, monkeypatch):
     search = spark.createDataFrame([("{'num_trees': 9}", False), (str(best), True)], "params string, is_best boolean")
     monkeypatch.setattr(S, "tuned_rf", lambda x, cols, y, group, *a, **k: asked.append(("search", a, k)) or (search, lr(x, cols, y)))
     monkeypatch.setattr(Q, "DF", ["a", "b"])
-    monkeypatch.setattr(Q, "_d", lambda *_: df.withColumnRenamed("grp", "group"))
+    rows = df.withColumnRenamed("grp", "group").withColumn("y", F.when(F.col("row_id") % 50 > 0, F.col("y")))    # twelve labels unknown
+    monkeypatch.setattr(Q, "_d", lambda *_: rows)
     scores, train, learn, held = Q._out_of_fold(spark, "")
     assert asked == [("search", (), {}), ("rf", (), {}), ("gbt", (), {})]
-    assert scores.select("model").distinct().count() == 4 and learn.count() + held.count() == 600
+    assert scores.select("model").distinct().count() == 4 and learn.count() + held.count() == 588 == learn.unionByName(held).where('y IS NOT NULL').count()
     for name in train:
         if train[name]:
             train[name](learn)
