@@ -125,3 +125,13 @@ def test_folds_fitted_side_by_side(df):
     fit = lambda x: S.train_rf(x, ["a", "b"], "y", num_trees=3, max_depth=3)
     one, many = ([(a, b) for _, a, b in S.fit_calibrated(df, ["a", "b"], "y", 3, train_fn=fit, at_once=n)] for n in (1, 3))
     assert len(one) == 3 and [v for f in one for v in f] == pytest.approx([v for f in many for v in f], rel=1e-6)
+
+
+def test_a_tuned_forest_is_calibrated(df):
+    """A forest's scoring leaves the other folds' probabilities alone, whatever a column is called."""
+    fit = lambda x: S.train_forest(x, ["a", "b"], "y", num_trees=4, max_depth=3)
+    fitted = S.fit_calibrated(df, ["a", "b"], "y", 3, train_fn=fit)
+    rows = df.withColumn("_share", F.lit(7)).withColumn("_p1_own", F.lit(8))
+    got = S.apply_calibrated(fitted, rows, ["a", "b"])
+    assert len(fitted) == 3 and {"_share", "_p1_own"} <= set(got.columns) and "_share_" not in got.columns
+    assert got.where("p_calibrated BETWEEN 0 AND 1 AND _share = 7").count() == 600
